@@ -14,7 +14,16 @@ from pyspark.sql import functions as F
 
 from ..functions.timefmt import to_utc_wallclock
 from ..operators import enrich as EN
+from ..operators import feed as FD
+from ..operators import kpis as KP
+from ..operators import quality as QL
+from ..operators import versions as VS
 from ..operators import windows as WN
+from ..session import run_folder
+from ..sinks import files as SK
+from ..sources import codec as CD
+from ..sources import files as SF
+from ..sources import fixtures as FX
 from ..sources.fixtures import load_incidents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +93,156 @@ def q_hourly_rollup(spark, sf_dir):
 def q_counts_by_action(spark, sf_dir):
     inc = load_incidents(spark, sf_dir)
     return inc.groupBy("action", "level").agg(F.count(F.lit(1)).alias("count"))
+
+
+# --- KPIs ----------------------------------------------------------------------
+
+@register("kpis")
+def q_kpis(spark, sf_dir):
+    return KP.kpis(enriched(spark, sf_dir))
+
+
+@register("kpis_legacy")
+def q_kpis_legacy(spark, sf_dir):
+    return KP.kpis_legacy(EN.enrich_extended(enriched(spark, sf_dir)))
+
+
+# --- feed ----------------------------------------------------------------------
+
+FEED_TOP_N = 100
+FILTER_LEVEL = "WARNING"
+FILTER_SERVICE = "svc-03"
+
+
+@register("feed_clean")
+def q_feed_clean(spark, sf_dir):
+    return _out(FD.clean_feed(FX.feed_text(enriched(spark, sf_dir))))
+
+
+@register("feed_recent")
+def q_feed_recent(spark, sf_dir):
+    return _out(FD.feed_recent(enriched(spark, sf_dir), n=FEED_TOP_N, tiebreak=["event_id"]))
+
+
+@register("feed_filtered")
+def q_feed_filtered(spark, sf_dir):
+    df = FD.filter_feed(enriched(spark, sf_dir), level=FILTER_LEVEL, service=FILTER_SERVICE)
+    return _out(FD.feed_recent(df, tiebreak=["event_id"]))
+
+
+@register("feed_json")
+def q_feed_json(spark, sf_dir):
+    return FD.feed_json(enriched(spark, sf_dir))
+
+
+@register("has_incident_ids")
+def q_has_incident_ids(spark, sf_dir):
+    return FD.has_incident_ids(FD.filter_feed(enriched(spark, sf_dir), level=FILTER_LEVEL))
+
+
+@register("distinct_levels")
+def q_distinct_levels(spark, sf_dir):
+    return FD.distinct_levels(enriched(spark, sf_dir))
+
+
+@register("distinct_services")
+def q_distinct_services(spark, sf_dir):
+    return FD.distinct_services(enriched(spark, sf_dir))
+
+
+@register("distinct_incident_ids")
+def q_distinct_incident_ids(spark, sf_dir):
+    return FD.distinct_incident_ids(enriched(spark, sf_dir))
+
+
+@register("latest_per_incident")
+def q_latest_per_incident(spark, sf_dir):
+    return _out(FD.latest_per_incident(enriched(spark, sf_dir), tiebreak=["event_id"]))
+
+
+def chosen_incident(enr: DataFrame):
+    """The smallest incident id that has a service (a scalar subquery)."""
+    return enr.where(F.col("service").isNotNull()).agg(F.min("incident_id")).scalar()
+
+
+@register("lookup_incident")
+def q_lookup_incident(spark, sf_dir):
+    enr = enriched(spark, sf_dir)
+    return _out(FD.lookup_incident(enr, chosen_incident(enr), tiebreak=["event_id"]))
+
+
+# --- versions and files --------------------------------------------------------
+
+VERSION_SPLIT = "2024-01-01 06:00:00"
+
+
+@register("union_versions")
+def q_union_versions(spark, sf_dir):
+    enr = enriched(spark, sf_dir)
+    split = F.lit(VERSION_SPLIT).cast("timestamp")
+    v1 = enr.where(F.col("event_time") < split)
+    v2 = EN.enrich_extended(enr.where(F.col("event_time") >= split))
+    return _out(VS.union_versions(v1, v2))
+
+
+def _roundtrip(spark, sf_dir, fmt):
+    path = run_folder(spark, f"{fmt}-roundtrip")
+    SK.write_incidents(EN.fixed_order(enriched(spark, sf_dir)), path, fmt=fmt, mode="overwrite")
+    back = SF.read_incident_dir(spark, path, fmt=fmt)
+    if fmt == "csv":
+        back = FD.clean_feed(back, drop_bad_time=False)
+    return _out(back)
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    return _roundtrip(spark, sf_dir, "csv")
+
+
+@register("parquet_roundtrip")
+def q_parquet_roundtrip(spark, sf_dir):
+    return _roundtrip(spark, sf_dir, "parquet")
+
+
+# --- wire codec and quality ----------------------------------------------------
+
+def topic(spark, sf_dir) -> DataFrame:
+    return FX.wire_records(load_incidents(spark, sf_dir))
+
+
+@register("decode_framed")
+def q_decode_framed(spark, sf_dir):
+    return _out(CD.decode_framed(topic(spark, sf_dir), keep=["event_id"]))
+
+
+@register("decode_plain")
+def q_decode_plain(spark, sf_dir):
+    wire = CD.to_wire(load_incidents(spark, sf_dir), framed=False, keep=["event_id"])
+    return _out(CD.decode_plain(wire, keep=["event_id"]))
+
+
+@register("frame_schema_ids")
+def q_frame_schema_ids(spark, sf_dir):
+    v = F.col("value")
+    return (topic(spark, sf_dir)
+            .groupBy(CD.frame_magic(v).alias("magic"), CD.frame_schema_id(v).alias("schema_id"))
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
+@register("decode_registry")
+def q_decode_registry(spark, sf_dir):
+    registry = spark.createDataFrame([(1, "v1"), (2, "v2")], "schema_id long, version string")
+    return _out(CD.decode_by_schema(topic(spark, sf_dir), registry, keep=["event_id"]))
+
+
+@register("frame_roundtrip")
+def q_frame_roundtrip(spark, sf_dir):
+    wire = CD.to_wire(load_incidents(spark, sf_dir), schema_id=1, keep=["event_id"])
+    dec = CD.decode_framed(wire, check_magic=True, keep=["event_id", "key"])
+    return _out(dec.select("event_id", "event_time", "level", "message",
+                           CD.record_key(dec).alias("action")))
+
+
+@register("quality_split")
+def q_quality_split(spark, sf_dir):
+    return _out(QL.quality_split(CD.decode_framed(topic(spark, sf_dir), keep=["event_id"])))

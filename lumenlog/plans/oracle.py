@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from ..functions import patterns as P
 from ..sources import fixtures as FX
+from .catalog import FEED_TOP_N, FILTER_LEVEL, FILTER_SERVICE, VERSION_SPLIT
 
 
 def _q(s: str) -> str:
@@ -87,6 +88,26 @@ ext AS (
 )"""
 
 
+LATEST = """
+latest AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY incident_id ORDER BY event_time DESC NULLS LAST, event_id) AS rn
+    FROM enr WHERE incident_id IS NOT NULL) t
+  WHERE rn = 1
+)"""
+
+DEC = f"""
+dec AS (
+  SELECT CASE WHEN event_id % {FX.CUT_BODY_EVERY} = 0 OR event_id % {FX.BAD_TIME_EVERY} = 0
+              THEN NULL ELSE event_time END AS event_time,
+         CASE WHEN event_id % {FX.CUT_BODY_EVERY} = 0 OR event_id % {FX.NO_LEVEL_EVERY} = 0
+              THEN NULL ELSE level END AS level,
+         CASE WHEN event_id % {FX.CUT_BODY_EVERY} = 0 THEN NULL ELSE message END AS message,
+         event_id
+  FROM inc
+)"""
+
+
 def render_ts(col: str) -> str:
     """Twin of ``functions.timefmt.render_ts``."""
     return (f"CASE WHEN epoch_us({col}) % 1000000 = 0 THEN strftime({col}, '%Y-%m-%d %H:%M:%S') "
@@ -154,4 +175,82 @@ FROM enr WHERE event_time IS NOT NULL GROUP BY 1, 2""")
 
     q["counts_by_action"] = with_(INC, body="SELECT action, level, count(*) AS count FROM inc GROUP BY 1, 2")
 
+    # --- KPIs ---------------------------------------------------------------
+    q["kpis"] = with_(INC, ENR, body="""
+SELECT count(*) AS total,
+       count(*) FILTER (WHERE level = 'ERROR') AS critical,
+       count(*) FILTER (WHERE level = 'WARNING') AS warning,
+       count(DISTINCT service) AS services
+FROM enr""")
+    q["kpis_legacy"] = with_(INC, ENR, EXT, body="""
+SELECT count(*) AS total,
+       count(*) FILTER (WHERE is_critical) AS critical,
+       count(*) FILTER (WHERE upper(level) = 'ERROR') AS error,
+       count(DISTINCT service) AS services
+FROM ext""")
+
+    # --- feed ---------------------------------------------------------------
+    cols = "event_time, level, message, incident_id, service, category, event_id"
+    q["feed_clean"] = with_(INC, ENR, body=f"""
+SELECT * FROM (
+  SELECT TRY_CAST(txt AS TIMESTAMP) AS event_time, level, message, incident_id, service, category, event_id
+  FROM (SELECT *, CASE WHEN event_id % 7 = 3 THEN 'not-a-time'
+                       WHEN event_id % 11 = 5 THEN NULL
+                       WHEN event_id % 2 = 0 THEN {render_iso('event_time')}
+                       ELSE {render_ts('event_time')} END AS txt
+        FROM enr) t
+) c WHERE event_time IS NOT NULL""")
+    q["feed_recent"] = with_(INC, ENR, body=f"""
+SELECT {cols} FROM enr ORDER BY event_time DESC NULLS LAST, event_id LIMIT {FEED_TOP_N}""")
+    q["feed_filtered"] = with_(INC, ENR, body=f"""
+SELECT {cols} FROM enr WHERE level = {_q(FILTER_LEVEL)} AND service = {_q(FILTER_SERVICE)}
+ORDER BY event_time DESC NULLS LAST, event_id""")
+    q["feed_json"] = with_(INC, ENR, body=f"""
+SELECT to_json({{'event_time': {render_ts('event_time')}, 'level': level, 'message': message,
+                 'incident_id': incident_id, 'service': service, 'category': category}}) AS record
+FROM enr""")
+    q["has_incident_ids"] = with_(INC, ENR, body=f"""
+SELECT coalesce(bool_or(incident_id IS NOT NULL), false) AS has_incident_ids
+FROM enr WHERE level = {_q(FILTER_LEVEL)}""")
+    q["distinct_levels"] = with_(INC, ENR, body="SELECT DISTINCT level FROM enr")
+    q["distinct_services"] = with_(INC, ENR, body="SELECT DISTINCT service FROM enr WHERE service IS NOT NULL")
+    q["distinct_incident_ids"] = with_(INC, ENR, body=
+        "SELECT DISTINCT incident_id FROM enr WHERE incident_id IS NOT NULL")
+    q["latest_per_incident"] = with_(INC, ENR, LATEST, body=f"SELECT {cols} FROM latest")
+    q["lookup_incident"] = with_(INC, ENR, LATEST, body=f"""
+SELECT {cols} FROM latest
+WHERE incident_id = (SELECT min(incident_id) FROM enr WHERE service IS NOT NULL)""")
+
+    # --- versions and files ---------------------------------------------------
+    q["union_versions"] = with_(INC, ENR, EXT, body=f"""
+SELECT * FROM enr WHERE event_time < TIMESTAMP {_q(VERSION_SPLIT)}
+UNION ALL BY NAME
+SELECT * FROM ext WHERE event_time >= TIMESTAMP {_q(VERSION_SPLIT)}""")
+    six = "SELECT event_time, level, message, incident_id, service, category FROM enr"
+    q["csv_roundtrip"] = with_(INC, ENR, body=six)
+    q["parquet_roundtrip"] = with_(INC, ENR, body=six)
+
+    # --- wire codec and quality -------------------------------------------------
+    q["decode_framed"] = with_(INC, DEC, body="SELECT * FROM dec")
+    q["decode_plain"] = with_(INC, body="SELECT event_time, level, message, event_id FROM inc")
+    q["frame_schema_ids"] = with_(INC, body=f"""
+SELECT '00' AS magic,
+       CAST(CASE WHEN event_id % {FX.SCHEMA_V2_EVERY} = 0 THEN 2 ELSE 1 END AS BIGINT) AS schema_id,
+       count(*) AS count
+FROM inc GROUP BY 1, 2""")
+    q["decode_registry"] = with_(INC, DEC, body=f"""
+SELECT dec.*, CAST(CASE WHEN event_id % {FX.SCHEMA_V2_EVERY} = 0 THEN 2 ELSE 1 END AS BIGINT) AS schema_id,
+       CASE WHEN event_id % {FX.SCHEMA_V2_EVERY} = 0 THEN 'v2' ELSE 'v1' END AS version
+FROM dec""")
+    q["frame_roundtrip"] = with_(INC, body="SELECT event_id, event_time, level, message, action FROM inc")
+    q["quality_split"] = with_(INC, DEC, body="""
+SELECT * EXCLUDE (r),
+       CASE WHEN r IS NULL THEN 'valid' ELSE 'quarantine' END AS quality,
+       r AS reason
+FROM (SELECT *, CASE WHEN event_time IS NULL AND level IS NULL AND message IS NULL THEN 'unreadable'
+                     WHEN event_time IS NULL THEN 'missing_event_time'
+                     WHEN level IS NULL THEN 'missing_level'
+                     WHEN message IS NULL THEN 'missing_message' END AS r
+      FROM dec) t""")
+
     return q

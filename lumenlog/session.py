@@ -28,6 +28,7 @@ def build_session(master: str = "local[*]", app: str = "lumenlog",
     """
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in {**ENGINE_CONF, **(extra or {})}.items():
         b = b.config(k, v)

@@ -100,6 +100,57 @@ def incidents_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+# --- fixed values: dirty-topic rule -------------------------------------------
+# Which derived wire records are damaged, by event_id (first match wins):
+CUT_BODY_EVERY = 101        # JSON body cut after CUT_BODY_BYTES bytes (malformed)
+CUT_BODY_BYTES = 20
+NO_LEVEL_EVERY = 103        # body without the "level" key
+BAD_TIME_EVERY = 107        # timestamp text "nope"
+SCHEMA_V2_EVERY = 109       # framed with schema id 2 instead of 1
+BAD_TIME_TEXT = "nope"
+
+
+def wire_records(incidents: DataFrame) -> DataFrame:
+    """The topic as it arrives: (key, value, event_id) with framed JSON values.
+
+    Derived one-to-one from the incidents; a fixed share of records is
+    damaged by the dirty-topic rule above so decoding and quarantine have
+    real work on every scale factor.
+    """
+    from ..functions.timefmt import render_iso
+    from .codec import frame
+
+    eid = F.col("event_id")
+    ts_text = F.when(eid % BAD_TIME_EVERY == 0, F.lit(BAD_TIME_TEXT)).otherwise(render_iso(F.col("event_time")))
+    full = F.to_json(F.struct(ts_text.alias("timestamp"), F.col("level").alias("level"),
+                              F.col("message").alias("message")))
+    no_level = F.to_json(F.struct(ts_text.alias("timestamp"), F.col("message").alias("message")))
+    body = (F.when(eid % CUT_BODY_EVERY == 0, F.substring(full, 1, CUT_BODY_BYTES))
+            .when(eid % NO_LEVEL_EVERY == 0, no_level)
+            .otherwise(full))
+    schema_id = F.when(eid % SCHEMA_V2_EVERY == 0, F.lit(2)).otherwise(F.lit(1))
+    return incidents.select(F.encode(F.col("action"), "UTF-8").alias("key"),
+                            frame(body, schema_id).alias("value"), eid)
+
+
+def feed_text(enriched: DataFrame) -> DataFrame:
+    """The feed as a CSV reader sees it: event_time as text.
+
+    Even ids carry ISO text with offset, odd ids plain text; the fraction
+    is present only when not zero.  Damaged by rule: ``event_id % 7 == 3``
+    unreadable text, ``event_id % 11 == 5`` empty (missing).
+    """
+    from ..functions.timefmt import render_iso, render_ts
+
+    eid = F.col("event_id")
+    t = F.col("event_time")
+    text = (F.when(eid % 7 == 3, F.lit("not-a-time"))
+            .when(eid % 11 == 5, F.lit(None).cast("string"))
+            .when(eid % 2 == 0, render_iso(t))
+            .otherwise(render_ts(t)))
+    return enriched.withColumn("event_time", text)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
