@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import to_utc_wallclock
+from ..operators import correlate as CR
 from ..operators import enrich as EN
 from ..operators import feed as FD
 from ..operators import kpis as KP
@@ -246,3 +247,36 @@ def q_frame_roundtrip(spark, sf_dir):
 @register("quality_split")
 def q_quality_split(spark, sf_dir):
     return _out(QL.quality_split(CD.decode_framed(topic(spark, sf_dir), keep=["event_id"])))
+
+
+# --- correlation ---------------------------------------------------------------
+
+def primaries(enr: DataFrame) -> DataFrame:
+    """Latest row of every incident id: the primaries to correlate."""
+    return FD.latest_per_incident(enr, tiebreak=["event_id"])
+
+
+@register("correlate_pairs")
+def q_correlate_pairs(spark, sf_dir):
+    enr = enriched(spark, sf_dir)
+    return _out(CR.correlate_pairs(primaries(enr), enr))
+
+
+@register("correlate_one")
+def q_correlate_one(spark, sf_dir):
+    enr = enriched(spark, sf_dir)
+    prim = FD.lookup_incident(enr, chosen_incident(enr), tiebreak=["event_id"])
+    return _out(CR.correlate_pairs(prim, enr))
+
+
+@register("correlate_filtered")
+def q_correlate_filtered(spark, sf_dir):
+    enr = enriched(spark, sf_dir)
+    prim = primaries(FD.filter_feed(enr, level=FILTER_LEVEL))
+    return _out(CR.correlate_pairs(prim, enr))
+
+
+@register("correlate_counts")
+def q_correlate_counts(spark, sf_dir):
+    enr = enriched(spark, sf_dir)
+    return _out(CR.correlate_counts(primaries(enr), enr))

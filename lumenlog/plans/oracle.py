@@ -108,6 +108,11 @@ dec AS (
 )"""
 
 
+CORR_COND = (f"r.service = p.service AND r.event_time BETWEEN p.event_time - INTERVAL "
+             f"{P.CORRELATION_HALF_WIDTH_MINUTES} MINUTE AND p.event_time + INTERVAL "
+             f"{P.CORRELATION_HALF_WIDTH_MINUTES} MINUTE AND r.incident_id IS DISTINCT FROM p.incident_id")
+
+
 def render_ts(col: str) -> str:
     """Twin of ``functions.timefmt.render_ts``."""
     return (f"CASE WHEN epoch_us({col}) % 1000000 = 0 THEN strftime({col}, '%Y-%m-%d %H:%M:%S') "
@@ -253,4 +258,27 @@ FROM (SELECT *, CASE WHEN event_time IS NULL AND level IS NULL AND message IS NU
                      WHEN message IS NULL THEN 'missing_message' END AS r
       FROM dec) t""")
 
+    # --- correlation -----------------------------------------------------------
+    pair_cols = ("p.incident_id AS primary_id, p.event_time AS primary_time, r.event_time, r.level, "
+                 "r.message, r.incident_id, r.service, r.category, r.event_id")
+    q["correlate_pairs"] = with_(INC, ENR, LATEST, body=f"""
+SELECT {pair_cols} FROM latest p JOIN enr r ON {CORR_COND}""")
+    q["correlate_one"] = with_(INC, ENR, LATEST, body=f"""
+SELECT {pair_cols} FROM latest p JOIN enr r ON {CORR_COND}
+WHERE p.incident_id = (SELECT min(incident_id) FROM enr WHERE service IS NOT NULL)""")
+    latest_f = f"""
+latest_f AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY incident_id ORDER BY event_time DESC NULLS LAST, event_id) AS rn
+    FROM enr WHERE incident_id IS NOT NULL AND level = {_q(FILTER_LEVEL)}) t
+  WHERE rn = 1
+)"""
+    q["correlate_filtered"] = with_(INC, ENR, latest_f, body=f"""
+SELECT {pair_cols} FROM latest_f p JOIN enr r ON {CORR_COND}""")
+    q["correlate_counts"] = with_(INC, ENR, LATEST, body=f"""
+SELECT p.event_time, p.level, p.message, p.incident_id, p.service, p.category, p.event_id,
+       count(r.event_id) AS n_correlated
+FROM latest p LEFT JOIN enr r ON {CORR_COND}
+GROUP BY ALL""")
+
     return q
