@@ -17,6 +17,7 @@ from ..operators import correlate as CR
 from ..operators import enrich as EN
 from ..operators import feed as FD
 from ..operators import kpis as KP
+from ..operators import prompts as PR
 from ..operators import quality as QL
 from ..operators import versions as VS
 from ..operators import windows as WN
@@ -280,3 +281,40 @@ def q_correlate_filtered(spark, sf_dir):
 def q_correlate_counts(spark, sf_dir):
     enr = enriched(spark, sf_dir)
     return _out(CR.correlate_counts(primaries(enr), enr))
+
+
+# --- prompts -------------------------------------------------------------------
+
+CHAT_CONTEXT_SIZE = 10
+
+
+@register("rca_prompt")
+def q_rca_prompt(spark, sf_dir):
+    enr = enriched(spark, sf_dir)
+    return PR.rca_prompt(primaries(enr), enr)
+
+
+@register("rca_prompt_full")
+def q_rca_prompt_full(spark, sf_dir):
+    enr = enriched(spark, sf_dir)
+    return PR.rca_prompt_full(primaries(enr), enr)
+
+
+@register("single_prompt")
+def q_single_prompt(spark, sf_dir):
+    ext = EN.enrich_extended(enriched(spark, sf_dir))
+    return PR.single_prompt(FD.latest_per_incident(ext, tiebreak=["event_id"]))
+
+
+def conversations(spark, sf_dir) -> DataFrame:
+    return FX.read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+
+
+@register("chat_history")
+def q_chat_history(spark, sf_dir):
+    return PR.chat_history(conversations(spark, sf_dir))
+
+
+@register("chat_prompt")
+def q_chat_prompt(spark, sf_dir):
+    return PR.chat_prompt(conversations(spark, sf_dir), enriched(spark, sf_dir), CHAT_CONTEXT_SIZE)

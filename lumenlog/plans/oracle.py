@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from ..functions import patterns as P
 from ..sources import fixtures as FX
-from .catalog import FEED_TOP_N, FILTER_LEVEL, FILTER_SERVICE, VERSION_SPLIT
+from ..functions.text import render_sql
+from ..operators import prompts as PT
+from .catalog import CHAT_CONTEXT_SIZE, FEED_TOP_N, FILTER_LEVEL, FILTER_SERVICE, VERSION_SPLIT
 
 
 def _q(s: str) -> str:
@@ -281,4 +283,59 @@ SELECT p.event_time, p.level, p.message, p.incident_id, p.service, p.category, p
 FROM latest p LEFT JOIN enr r ON {CORR_COND}
 GROUP BY ALL""")
 
+    # --- prompts -----------------------------------------------------------------
+    line = render_sql(PT.CORRELATED_LINE, time=render_ts("event_time"), level="level", message="message")
+    def rca(template, order, extra):
+        txt = f"""
+pairs AS (SELECT p.incident_id AS primary_id, r.* FROM latest p JOIN enr r ON {CORR_COND}),
+txt AS (SELECT primary_id, string_agg({line}, chr(10) ORDER BY {order}, event_id) AS correlated
+        FROM pairs GROUP BY primary_id)"""
+        slots = dict(incident_id="p.incident_id", service="p.service", message="p.message",
+                     correlated=f"coalesce(txt.correlated, {_q(PT.NO_CORRELATED)})", **extra)
+        return with_(INC, ENR, LATEST, txt, body=f"""
+SELECT p.incident_id, {render_sql(template, **slots)} AS prompt
+FROM latest p LEFT JOIN txt ON txt.primary_id = p.incident_id""")
+    q["rca_prompt"] = rca(PT.RCA_TEMPLATE, "epoch_us(event_time) DESC", {})
+    q["rca_prompt_full"] = rca(PT.RCA_FULL_TEMPLATE, "epoch_us(event_time)",
+                               dict(level="p.level", category="p.category",
+                                    event_time=render_ts("p.event_time")))
+
+    latest_ext = """
+latest_ext AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY incident_id ORDER BY event_time DESC NULLS LAST, event_id) AS rn
+    FROM ext WHERE incident_id IS NOT NULL) t
+  WHERE rn = 1
+)"""
+    single = render_sql(PT.SINGLE_TEMPLATE, incident_id="incident_id", level="level", service="service",
+                        category="category", event_time=render_ts("event_time"), message="message",
+                        affected_users="affected_users", duration="duration", system_id="system_id",
+                        is_critical="CASE WHEN is_critical THEN 'True' WHEN NOT is_critical THEN 'False' END")
+    q["single_prompt"] = with_(INC, ENR, EXT, latest_ext, body=f"SELECT incident_id, {single} AS prompt FROM latest_ext")
+
+    hist_line = render_sql(PT.HISTORY_LINE, role="role", text="text")
+    chat = f"""
+lu AS (SELECT conv_id, max(turn) AS last_user FROM conversations WHERE role = 'user' GROUP BY conv_id),
+hist AS (
+  SELECT c.conv_id,
+         max(CASE WHEN c.turn = lu.last_user THEN c.text END) AS message,
+         coalesce(string_agg(CASE WHEN lu.last_user IS NULL OR c.turn < lu.last_user THEN {hist_line} END,
+                             chr(10) ORDER BY c.turn, {hist_line}), '') AS history,
+         count(*) FILTER (WHERE lu.last_user IS NULL OR c.turn < lu.last_user) AS history_turns
+  FROM conversations c LEFT JOIN lu ON c.conv_id = lu.conv_id
+  GROUP BY c.conv_id
+)"""
+    q["chat_history"] = with_(chat, body="SELECT conv_id, message, history, history_turns FROM hist")
+    ctx_line = render_sql(PT.CONTEXT_LINE, time=render_ts("event_time"), message="message")
+    ctx = f"""
+ctx AS (
+  SELECT coalesce(string_agg(line, chr(10) ORDER BY us DESC, event_id), '') AS context
+  FROM (SELECT {ctx_line} AS line, epoch_us(event_time) AS us, event_id
+        FROM enr WHERE event_time IS NOT NULL
+        ORDER BY event_time DESC, event_id LIMIT {CHAT_CONTEXT_SIZE}) t
+)"""
+    chat_p = render_sql(PT.CHAT_TEMPLATE, history="hist.history", context="(SELECT context FROM ctx)",
+                        message="hist.message")
+    q["chat_prompt"] = with_(INC, ENR, ctx, chat, body=f"SELECT hist.conv_id, {chat_p} AS prompt FROM hist")
+
     return q
