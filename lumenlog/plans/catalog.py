@@ -26,7 +26,10 @@ from ..sinks import files as SK
 from ..sources import codec as CD
 from ..sources import files as SF
 from ..sources import fixtures as FX
+from ..schemas import ENRICHED_COLUMNS
+from ..sources import stream as SS
 from ..sources.fixtures import load_incidents
+from ..streaming import jobs as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -318,3 +321,32 @@ def q_chat_history(spark, sf_dir):
 @register("chat_prompt")
 def q_chat_prompt(spark, sf_dir):
     return PR.chat_prompt(conversations(spark, sf_dir), enriched(spark, sf_dir), CHAT_CONTEXT_SIZE)
+
+
+# --- streaming (file-source stand-in for the topic, availableNow trigger) ----------
+
+def _land_topic(spark, sf_dir) -> str:
+    """Write the derived topic as wire files for a streaming source to pick up."""
+    landing = run_folder(spark, "topic")
+    topic(spark, sf_dir).select("key", "value").write.parquet(landing)
+    return landing
+
+
+@register("stream_enriched_sink")
+def q_stream_enriched_sink(spark, sf_dir):
+    root = run_folder(spark, "stream-enriched")
+    wire = SS.read_wire_files(spark, _land_topic(spark, sf_dir))
+    q = ST.start_enriched_sink(ST.incident_stream(wire), f"{root}/out", f"{root}/_checkpoint",
+                               trigger={"availableNow": True})
+    q.awaitTermination()
+    return _out(spark.read.parquet(f"{root}/out").select(*ENRICHED_COLUMNS))
+
+
+@register("stream_alerts_final")
+def q_stream_alerts_final(spark, sf_dir):
+    root = run_folder(spark, "stream-alerts")
+    wire = SS.read_wire_files(spark, _land_topic(spark, sf_dir))
+    q = ST.start_alert_sink(ST.incident_stream(wire), f"{root}/alerts", f"{root}/_checkpoint",
+                            trigger={"availableNow": True})
+    q.awaitTermination()
+    return _out(ST.final_alerts(spark, f"{root}/alerts"))

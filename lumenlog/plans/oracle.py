@@ -338,4 +338,19 @@ ctx AS (
                         message="hist.message")
     q["chat_prompt"] = with_(INC, ENR, ctx, chat, body=f"SELECT hist.conv_id, {chat_p} AS prompt FROM hist")
 
+    # --- streaming ---------------------------------------------------------------
+    dec_enr = f"""
+dec_enr AS (
+  SELECT event_time, level, message,
+         {_ex('message', P.INCIDENT_ID_PATTERN)} AS incident_id,
+         {_ex('message', P.SERVICE_PATTERN)} AS service,
+         {_ex('message', P.CATEGORY_PATTERN)} AS category
+  FROM dec
+)"""
+    q["stream_enriched_sink"] = with_(INC, DEC, dec_enr, body="SELECT * FROM dec_enr")
+    q["stream_alerts_final"] = with_(INC, DEC, dec_enr, WINDOW_COUNTS.replace("FROM enr", "FROM dec_enr"), body=f"""
+SELECT window_start, window_end, level, count,
+       {alert_text_sql('count', 'level', 'window_start', 'window_end')} AS alert_text
+FROM wc WHERE level = {_q(P.ALERT_LEVEL)} AND count >= {P.ALERT_MIN_COUNT}""")
+
     return q
