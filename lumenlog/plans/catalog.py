@@ -270,7 +270,7 @@ def q_correlate_pairs(spark, sf_dir):
 def q_correlate_one(spark, sf_dir):
     enr = enriched(spark, sf_dir)
     prim = FD.lookup_incident(enr, chosen_incident(enr), tiebreak=["event_id"])
-    return _out(CR.correlate_pairs(prim, enr))
+    return _out(CR.correlate_pairs(prim, enr, join_hint=None))
 
 
 @register("correlate_filtered")

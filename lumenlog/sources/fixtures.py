@@ -159,4 +159,18 @@ def load_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log events derived from ``{sf_dir}/events.parquet``."""
     pin_utc(spark)
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    return incidents_from_events(events)
+    return incidents_from_events(spread_small_scan(spark, events, "event_id"))
+
+
+def spread_small_scan(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer partitions than the cluster has cores.
+
+    A single small file (one row group) is read by one task; spreading it
+    lets the per-row derivation run on every core.  A large scan already
+    has at least that many splits and is returned unchanged (no shuffle).
+    Hash on ``key`` keeps the placement deterministic on task retry.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    return df
