@@ -29,6 +29,10 @@ from ..sources.codec import decode_framed, decode_plain
 
 DEFAULT_TRIGGER = {"processingTime": "1 minute"}
 
+# Alert table written by the alert sink (batch_id is the partition column).
+ALERT_TABLE_SCHEMA = ("window_start timestamp, window_end timestamp, level string, count long, "
+                      "alert_text string, batch_id long")
+
 
 def incident_stream(wire: DataFrame, framed: bool = True,
                     watermark: str = WATERMARK_DELAY) -> DataFrame:
@@ -89,6 +93,11 @@ def start_alert_sink(incidents: DataFrame, path: str, checkpoint: str,
     return _trigger(w, trigger).start()
 
 
+def read_alert_table(spark: SparkSession, path: str) -> DataFrame:
+    """Every alert emission; empty (not an error) before the first alert."""
+    return spark.read.schema(ALERT_TABLE_SCHEMA).parquet(path)
+
+
 def final_alerts(spark: SparkSession, path: str) -> DataFrame:
     """The last emission of every alerting window (= its final count).
 
@@ -96,7 +105,7 @@ def final_alerts(spark: SparkSession, path: str) -> DataFrame:
     the final count.  A bounded top-1 per key (WindowGroupLimit).
     """
     from pyspark.sql import Window
-    a = spark.read.parquet(path)
+    a = read_alert_table(spark, path)
     w = Window.partitionBy("window_start", "level").orderBy(F.col("batch_id").desc())
     return (a.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
             .select("window_start", "window_end", "level", "count", "alert_text"))

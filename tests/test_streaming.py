@@ -1,0 +1,144 @@
+"""Streaming goldens: file source, one file per micro-batch, forced order.
+
+Each case writes small wire files with increasing modification times and
+drives the real queries with ``availableNow`` + ``maxFilesPerTrigger=1``.
+"""
+
+import datetime as dt
+import json
+import os
+import struct
+import time
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from lumenlog.operators.windows import alerts
+from lumenlog.plans.catalog import enriched
+from lumenlog.sources import codec as CD
+from lumenlog.sources.fixtures import load_incidents
+from lumenlog.sources.stream import read_wire_files
+from lumenlog.streaming import jobs as ST
+
+NOW = {"availableNow": True}
+
+
+def framed(ts, level, message="m"):
+    body = json.dumps({"timestamp": ts, "level": level, "message": message}).encode()
+    return b"\x00" + struct.pack(">I", 1) + body
+
+
+def land(dirpath, batches, first=0):
+    """One parquet file per batch; mtimes force the processing order."""
+    os.makedirs(dirpath, exist_ok=True)
+    t0 = time.time() - 10_000
+    for i, values in enumerate(batches, start=first):
+        path = os.path.join(dirpath, f"batch-{i:03d}.parquet")
+        tbl = pa.table({"key": pa.array([b"k"] * len(values), pa.binary()),
+                        "value": pa.array(values, pa.binary())})
+        pq.write_table(tbl, path)
+        os.utime(path, (t0 + i * 10, t0 + i * 10))
+
+
+def run_alerts(spark, root, incidents_fn=None):
+    wire = read_wire_files(spark, f"{root}/in", max_files_per_trigger=1)
+    inc = ST.incident_stream(wire)
+    if incidents_fn:
+        inc = incidents_fn(inc)
+    q = ST.start_alert_sink(inc, f"{root}/alerts", f"{root}/ck-alerts", trigger=NOW)
+    q.awaitTermination()
+    return q
+
+
+def run_enriched(spark, root, ck="ck-enr"):
+    wire = read_wire_files(spark, f"{root}/in", max_files_per_trigger=1)
+    q = ST.start_enriched_sink(ST.incident_stream(wire), f"{root}/enr", f"{root}/{ck}", trigger=NOW)
+    q.awaitTermination()
+    return q
+
+
+def alert_rows(spark, root):
+    return ST.read_alert_table(spark, f"{root}/alerts").orderBy("batch_id").collect()
+
+
+def ts(m, s=0):
+    return f"2024-01-01T00:{m:02d}:{s:02d}+00:00"
+
+
+def test_alerts_repeat_and_final_state(spark, tmp_dir):
+    land(f"{tmp_dir}/in", [
+        [framed(ts(1, s), "ERROR") for s in (1, 2, 3)],
+        [framed(ts(2), "ERROR"), framed(ts(3), "INFO")],
+    ])
+    run_alerts(spark, tmp_dir)
+    got = [(r["count"], r["batch_id"]) for r in alert_rows(spark, tmp_dir)]
+    assert got == [(3, 0), (4, 1)]             # one alert per update of the window
+    final = ST.final_alerts(spark, f"{tmp_dir}/alerts").collect()
+    assert [(r["level"], r["count"]) for r in final] == [("ERROR", 4)]
+
+
+def test_late_row_dropped_from_count_kept_in_sink(spark, tmp_dir):
+    land(f"{tmp_dir}/in", [
+        [framed(ts(1, s), "ERROR") for s in (1, 2, 3)],
+        [framed(ts(20), "INFO")],
+        [framed(ts(21), "INFO")],
+        [framed(ts(2), "ERROR", "late")],       # its window closed two batches ago
+    ])
+    run_alerts(spark, tmp_dir)
+    final = ST.final_alerts(spark, f"{tmp_dir}/alerts").collect()
+    assert [(r["window_start"].minute, r["count"]) for r in final] == [(0, 3)]
+    run_enriched(spark, tmp_dir)
+    msgs = [r.message for r in spark.read.parquet(f"{tmp_dir}/enr").collect()]
+    assert "late" in msgs and len(msgs) == 6
+
+
+def test_watermark_pushdown_regression(spark, tmp_dir):
+    """The level rule lives in foreachBatch: INFO rows still move the watermark."""
+    land(f"{tmp_dir}/in", [
+        [framed(ts(1, 1), "ERROR"), framed(ts(1, 2), "ERROR")],
+        [framed(ts(30), "INFO")],
+        [framed(ts(31), "INFO")],
+        [framed(ts(1, 3), "ERROR", "late")],
+    ])
+    run_alerts(spark, tmp_dir)
+    assert alert_rows(spark, tmp_dir) == []    # late ERROR dropped: window stays at 2
+
+
+def test_null_time_and_malformed_frames(spark, tmp_dir):
+    land(f"{tmp_dir}/in", [[framed(ts(1, 1), "ERROR"), framed("nope", "ERROR"), b"\x00\x00\x00\x00\x01{bad",
+                            framed(ts(1, 2), "ERROR"), framed(ts(1, 3), "ERROR")]])
+    run_enriched(spark, tmp_dir)
+    enr = spark.read.parquet(f"{tmp_dir}/enr")
+    assert enr.count() == 5
+    assert enr.where(F.col("event_time").isNull()).count() == 2
+    run_alerts(spark, tmp_dir)
+    assert [r["count"] for r in alert_rows(spark, tmp_dir)] == [3]
+
+
+def test_restart_from_checkpoint_no_duplicates(spark, tmp_dir):
+    land(f"{tmp_dir}/in", [[framed(ts(1, 1), "INFO")], [framed(ts(1, 2), "INFO")]])
+    q = run_enriched(spark, tmp_dir)
+    progress = [p for p in q.recentProgress if p.get("numInputRows")]
+    assert progress and progress[0]["observedMetrics"]["batch_rows"]["rows"] == 1
+    assert spark.read.parquet(f"{tmp_dir}/enr").count() == 2
+    run_enriched(spark, tmp_dir)                 # nothing new: no duplicates
+    assert spark.read.parquet(f"{tmp_dir}/enr").count() == 2
+    land(f"{tmp_dir}/in", [[framed(ts(2, 0), "INFO")]], first=900)
+    run_enriched(spark, tmp_dir)                 # resumes with only the new file
+    assert spark.read.parquet(f"{tmp_dir}/enr").count() == 3
+
+
+def test_stream_equals_batch_on_fixture(spark, tmp_dir):
+    """In-order time slices, one per micro-batch: final alerts == batch alerts."""
+    inc = load_incidents(spark, SF_SMALL)
+    wire = CD.to_wire(inc, keep=["event_time"]).toPandas().sort_values("event_time")
+    slices = [list(part["value"]) for part in
+              (wire.iloc[i * 250:(i + 1) * 250] for i in range(4))]
+    land(f"{tmp_dir}/in", slices)
+    run_alerts(spark, tmp_dir)
+    streamed = ST.final_alerts(spark, f"{tmp_dir}/alerts")
+    batch = alerts(enriched(spark, SF_SMALL))
+    assert streamed.count() == 27
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
