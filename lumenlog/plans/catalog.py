@@ -96,8 +96,11 @@ def q_hourly_rollup(spark, sf_dir):
 
 @register("counts_by_action")
 def q_counts_by_action(spark, sf_dir):
-    inc = load_incidents(spark, sf_dir)
-    return inc.groupBy("action", "level").agg(F.count(F.lit(1)).alias("count"))
+    """Events per record key (action name) and level, read off the wire."""
+    wire = CD.to_wire(load_incidents(spark, sf_dir), key_col="action")
+    dec = CD.decode_framed(wire, keep=["key"])
+    return (dec.groupBy(CD.record_key(dec).alias("action"), "level")
+            .agg(F.count(F.lit(1)).alias("count")))
 
 
 # --- KPIs ----------------------------------------------------------------------

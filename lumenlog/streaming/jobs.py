@@ -73,20 +73,34 @@ def window_count_stream(incidents: DataFrame, duration: str = ALERT_WINDOW) -> D
     return incidents.groupBy(F.window("event_time", duration), F.col("level")).count()
 
 
-def alert_batch_writer(path: str):
+def alert_batch_writer(path: str, first_only: bool = False):
     """foreachBatch handler: apply the alert rule to the emitted counts and
-    overwrite this batch's partition of the alert table."""
+    overwrite this batch's partition of the alert table.
+
+    By default a window alerts again every time its count changes (update
+    mode re-emits it).  ``first_only`` keeps only the first crossing: an
+    anti-join against windows already alerted by *earlier* batches (the
+    batch's own partition is excluded, so a replay rewrites the same rows).
+    The alert table holds at most one row per window and level per batch,
+    so this lookup stays small next to the event stream.
+    """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        alerts = alert_rule(flatten_window(batch)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        alerts = alert_rule(flatten_window(batch))
+        if first_only:
+            seen = (read_alert_table(batch.sparkSession, path)
+                    .where(F.col("batch_id") < batch_id).select("window_start", "level"))
+            alerts = alerts.join(seen, ["window_start", "level"], "left_anti")
+        alerts = alerts.withColumn("batch_id", F.lit(batch_id).cast("long"))
         (alerts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(path))
     return handle
 
 
 def start_alert_sink(incidents: DataFrame, path: str, checkpoint: str,
-                     trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
+                     trigger: dict | None = None, query_name: str | None = None,
+                     first_only: bool = False) -> StreamingQuery:
     w = (window_count_stream(incidents).writeStream.outputMode("update")
-         .foreachBatch(alert_batch_writer(path))
+         .foreachBatch(alert_batch_writer(path, first_only))
          .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
@@ -95,6 +109,9 @@ def start_alert_sink(incidents: DataFrame, path: str, checkpoint: str,
 
 def read_alert_table(spark: SparkSession, path: str) -> DataFrame:
     """Every alert emission; empty (not an error) before the first alert."""
+    from ..sources.files import path_exists
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], ALERT_TABLE_SCHEMA)
     return spark.read.schema(ALERT_TABLE_SCHEMA).parquet(path)
 
 

@@ -42,12 +42,10 @@ def land(dirpath, batches, first=0):
         os.utime(path, (t0 + i * 10, t0 + i * 10))
 
 
-def run_alerts(spark, root, incidents_fn=None):
+def run_alerts(spark, root, first_only=False):
     wire = read_wire_files(spark, f"{root}/in", max_files_per_trigger=1)
     inc = ST.incident_stream(wire)
-    if incidents_fn:
-        inc = incidents_fn(inc)
-    q = ST.start_alert_sink(inc, f"{root}/alerts", f"{root}/ck-alerts", trigger=NOW)
+    q = ST.start_alert_sink(inc, f"{root}/alerts", f"{root}/ck-alerts", trigger=NOW, first_only=first_only)
     q.awaitTermination()
     return q
 
@@ -79,6 +77,17 @@ def test_alerts_repeat_and_final_state(spark, tmp_dir):
     assert [(r["level"], r["count"]) for r in final] == [("ERROR", 4)]
 
 
+def test_first_crossing_only(spark, tmp_dir):
+    land(f"{tmp_dir}/in", [
+        [framed(ts(1, s), "ERROR") for s in (1, 2, 3)],
+        [framed(ts(2), "ERROR"), framed(ts(3), "INFO")],
+        [framed(ts(6, s), "ERROR") for s in (1, 2, 3)],
+    ])
+    run_alerts(spark, tmp_dir, first_only=True)
+    got = [(r["window_start"].minute, r["count"], r["batch_id"]) for r in alert_rows(spark, tmp_dir)]
+    assert got == [(0, 3, 0), (5, 3, 2)]
+
+
 def test_late_row_dropped_from_count_kept_in_sink(spark, tmp_dir):
     land(f"{tmp_dir}/in", [
         [framed(ts(1, s), "ERROR") for s in (1, 2, 3)],
