@@ -44,23 +44,33 @@ def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
 
 def read_incident_dir(spark: SparkSession, path: str, fmt: str = "csv",
                       schema: StructType | None = None, min_bytes: int = 10,
-                      na_values: list[str] | None = None) -> DataFrame:
+                      na_values: list[str] | None = None,
+                      hour_range: tuple[str, str] | None = None,
+                      hour_col: str = "ingest_hour") -> DataFrame:
     """All incident files under ``path`` as one DataFrame.
 
     CSV keeps ``event_time`` as text (parse with ``feed.clean_feed``);
-    Parquet reads the typed schema.  Columns missing from a file read as
-    null.  ``na_values`` optionally lists extra text tokens meaning missing.
+    Parquet reads the typed schema.  Columns missing from a Parquet file
+    read as null; CSV columns are taken by position in the declared order.
+    ``na_values`` optionally lists extra text tokens meaning missing.
+
+    Flat folders of files and hour-partitioned sink output
+    (``<hour_col>=yyyy-MM-dd_HH/``) both work.  ``hour_range`` (inclusive
+    ``yyyy-MM-dd_HH`` bounds) filters on the partition column, so only the
+    matching hour folders are listed and read (partition pruning).
     """
     if schema is None:
         schema = ENRICHED_TEXT_SCHEMA if fmt == "csv" else ENRICHED_SCHEMA
     if not path_exists(spark, path):
         return empty_frame(spark, schema)
-    reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
+    reader = spark.read.schema(schema)
     if fmt == "csv":
         df = reader.options(**CSV_OPTIONS).option("pathGlobFilter", "*.csv").csv(path)
     else:
         df = (reader.option("ignoreCorruptFiles", "true").option("pathGlobFilter", "*.parquet")
               .parquet(path))
+    if hour_range is not None:
+        df = df.where(F.col(hour_col).between(*hour_range))
     df = df.where(F.col("_metadata.file_size") > min_bytes).select(*schema.fieldNames())
     if na_values:
         df = df.select(*[F.when(F.col(f.name).isin(na_values), None).otherwise(F.col(f.name)).alias(f.name)

@@ -111,3 +111,15 @@ def test_feed_json_keeps_nulls(spark):
     rec = FD.feed_json(df).first()[0]
     assert rec == ('{"event_time":"2024-01-01 00:00:01","level":"INFO","message":"m",'
                    '"incident_id":null,"service":"svc","category":null}')
+
+
+def test_hour_range_prunes_partitions(spark, tmp_dir):
+    enr = fixed_order(enriched(spark, SF_SMALL))
+    out = os.path.join(tmp_dir, "by-hour")
+    write_incidents(enr, out, fmt="parquet", mode="overwrite")
+    df = read_incident_dir(spark, out, fmt="parquet", hour_range=("2024-01-01_02", "2024-01-01_03"),
+                           hour_col="event_hour")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_hour" in plan
+    expected = enr.where("event_time >= '2024-01-01 02:00:00' AND event_time < '2024-01-01 04:00:00'").count()
+    assert df.count() == expected > 0

@@ -151,3 +151,14 @@ def test_stream_equals_batch_on_fixture(spark, tmp_dir):
     batch = alerts(enriched(spark, SF_SMALL))
     assert streamed.count() == 27
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_run_both_queries_over_one_definition(spark, tmp_dir):
+    land(f"{tmp_dir}/in", [[framed(ts(1, s), "ERROR") for s in (1, 2, 3)], [framed(ts(9), "INFO")]])
+    wire = read_wire_files(spark, f"{tmp_dir}/in", max_files_per_trigger=1)
+    qs = ST.run_both(spark, wire, f"{tmp_dir}/out", trigger=NOW, await_any=False)
+    for q in qs:
+        q.awaitTermination()
+    assert spark.read.parquet(f"{tmp_dir}/out/enriched").count() == 4
+    assert [r["count"] for r in ST.final_alerts(spark, f"{tmp_dir}/out/alerts").collect()] == [3]
+    assert os.path.isdir(f"{tmp_dir}/out/_checkpoints/enriched") and os.path.isdir(f"{tmp_dir}/out/_checkpoints/alerts")
