@@ -5,7 +5,7 @@ All operators are lazy DataFrame transforms; none collects.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -81,15 +81,19 @@ def has_incident_ids(df: DataFrame) -> DataFrame:
 def latest_per_incident(df: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
     """Latest row of every incident id (ties: ``tiebreak`` ascending).
 
-    ``row_number() = 1`` is planned with a partial WindowGroupLimit before
-    the shuffle, so a heavily repeated id ships one row per task, not all.
+    A grouped ``min_by`` over an ordering key (time present first, newest
+    first, then the tie-break columns).  It aggregates partially in every
+    task before the shuffle, so a heavily repeated id ships one row per
+    task, never its whole group.
     """
     tiebreak = tiebreak or ["message"]
-    w = Window.partitionBy("incident_id").orderBy(*newest_first(df, tiebreak))
+    row = F.struct(*[F.col(c) for c in df.columns])
+    t = F.col("event_time")
+    order = F.struct(t.isNull().alias("_o0"), (-F.unix_micros(t.cast("timestamp"))).alias("_o1"),
+                     *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tiebreak)])
     return (df.where(F.col("incident_id").isNotNull())
-            .withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") == 1)
-            .drop("_rn"))
+            .groupBy("incident_id").agg(F.min_by(row, order).alias("_r"))
+            .select(*[F.col("_r").getField(c).alias(c) for c in df.columns]))
 
 
 def lookup_incident(df: DataFrame, incident_id, tiebreak: list[str] | None = None) -> DataFrame:
