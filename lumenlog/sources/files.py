@@ -32,10 +32,14 @@ CSV_OPTIONS = {
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Metadata check through the Hadoop FileSystem of ``path`` (no data read)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(p))
+    except Exception:  # noqa: BLE001 — no JVM gateway (Connect session): local paths only
+        import os
+        return os.path.exists(path.removeprefix("file:"))
 
 
 def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:

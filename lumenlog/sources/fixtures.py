@@ -170,7 +170,9 @@ def spread_small_scan(spark: SparkSession, df: DataFrame, key: str) -> DataFrame
     has at least that many splits and is returned unchanged (no shuffle).
     Hash on ``key`` keeps the placement deterministic on task retry.
     """
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()      # planning only, no job
+    except Exception:  # noqa: BLE001 — no RDD API (e.g. a Connect session): leave the scan as is
+        return df
+    return df.repartition(cores, key) if splits < cores else df

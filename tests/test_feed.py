@@ -123,3 +123,12 @@ def test_hour_range_prunes_partitions(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(event_hour" in plan
     expected = enr.where("event_time >= '2024-01-01 02:00:00' AND event_time < '2024-01-01 04:00:00'").count()
     assert df.count() == expected > 0
+
+
+def test_strict_times_fail_on_bad_text(spark):
+    import pytest
+    ok = spark.createDataFrame([("2024-01-01 00:00:01",), (None,)], "event_time string")
+    assert FD.strict_times(ok).where("event_time IS NULL").count() == 1     # missing kept
+    bad = spark.createDataFrame([("nope",)], "event_time string")
+    with pytest.raises(Exception):
+        FD.strict_times(bad).collect()

@@ -162,3 +162,18 @@ def test_run_both_queries_over_one_definition(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/out/enriched").count() == 4
     assert [r["count"] for r in ST.final_alerts(spark, f"{tmp_dir}/out/alerts").collect()] == [3]
     assert os.path.isdir(f"{tmp_dir}/out/_checkpoints/enriched") and os.path.isdir(f"{tmp_dir}/out/_checkpoints/alerts")
+
+
+def test_csv_stream_sink_reads_back(spark, tmp_dir):
+    land(f"{tmp_dir}/in", [[framed("2024-01-01T00:00:01.5+00:00", "ERROR", 'say "hi", then'),
+                            framed(ts(1, 2), "INFO")]])
+    wire = read_wire_files(spark, f"{tmp_dir}/in")
+    q = ST.start_enriched_sink(ST.incident_stream(wire), f"{tmp_dir}/csv", f"{tmp_dir}/ck", fmt="csv",
+                               trigger=NOW)
+    q.awaitTermination()
+    from lumenlog.operators.feed import clean_feed
+    from lumenlog.sources.files import read_incident_dir
+    back = sorted(clean_feed(read_incident_dir(spark, f"{tmp_dir}/csv")).collect(), key=lambda r: r.event_time)
+    assert [(r.event_time, r.message) for r in back] == [
+        (dt.datetime(2024, 1, 1, 0, 0, 1, 500000), 'say "hi", then'),
+        (dt.datetime(2024, 1, 1, 0, 1, 2), "m")]
