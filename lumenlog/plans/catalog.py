@@ -289,6 +289,12 @@ def q_correlate_counts(spark, sf_dir):
     return _out(CR.correlate_counts(primaries(enr), enr))
 
 
+@register("correlate_counts_granular")
+def q_correlate_counts_granular(spark, sf_dir):
+    enr = enriched(spark, sf_dir)
+    return _out(CR.correlate_counts_by_granule(primaries(enr), enr))
+
+
 # --- prompts -------------------------------------------------------------------
 
 CHAT_CONTEXT_SIZE = 10

@@ -69,8 +69,24 @@ def test_correlation_matches_brute_force(spark, evs, width, salt):
 
     counts = {r.incident_id: r.n_correlated
               for r in CR.correlate_counts(prims, df, bucket_minutes=width).collect()}
+    granular = {r.incident_id: r.n_correlated
+                for r in CR.correlate_counts_by_granule(prims, df, granule_seconds=width * 13).collect()}
     for p in expected_prims:
-        assert counts[p[3]] == sum(1 for (pid, _) in expected if pid == p[3])
+        n = sum(1 for (pid, _) in expected if pid == p[3])
+        assert counts[p[3]] == n and granular[p[3]] == n
+
+
+@settings(**SETTINGS)
+@given(evs=st.lists(event, max_size=40), granule=st.sampled_from([1, 60, 600, 7200]))
+def test_granule_counts_for_every_row_as_primary(spark, evs, granule):
+    """Every row as a primary, nulls included: granule counts == brute force."""
+    rows = to_rows(evs)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.event_id: r.n_correlated for r in CR.correlate_counts_by_granule(df, df, granule_seconds=granule).collect()}
+    for p in rows:
+        n = 0 if p[4] is None else sum(
+            1 for r in rows if r[4] == p[4] and p[0] - HALF <= r[0] <= p[0] + HALF and r[3] != p[3])
+        assert got[p[6]] == n
 
 
 @settings(**SETTINGS)
