@@ -47,14 +47,17 @@ def incidents_from_events(events: DataFrame) -> DataFrame:
     Output: event_id, event_time (timestamp, UTC), level, action, message.
     """
     eid = F.col("event_id")
-    base = f"unix_micros(timestamp'{BASE_TIME}')"
+    t0 = f"unix_micros(timestamp'{BASE_TIME}')"
     event_time = F.expr(
-        f"timestamp_micros({base} + (unix_micros(cast(ts as timestamp)) - {base}) div {TIME_COMPRESSION})")
-
-    level = (F.when(F.col("event_type") == "error", "ERROR")
-             .when(F.col("event_type") == "click", "WARNING")
-             .otherwise("INFO"))
-    tpl = (F.when(level == "ERROR", 6).when(level == "WARNING", 3).otherwise(0) + eid % 3)
+        f"timestamp_micros({t0} + (unix_micros(cast(ts as timestamp)) - {t0}) div {TIME_COMPRESSION})")
+
+    level = F.lit("INFO")
+    for event_type, lvl in LEVEL_OF_EVENT_TYPE.items():
+        level = F.when(F.col("event_type") == event_type, lvl).otherwise(level)
+    base = F.lit(TEMPLATE_BASE["INFO"])
+    for lvl, b in TEMPLATE_BASE.items():
+        base = F.when(level == lvl, b).otherwise(base)
+    tpl = base + eid % 3
 
     inc = F.concat(F.lit("INC-"), F.upper(F.substring(F.md5(eid.cast("string")), 1, 8)))
     sysid = F.concat(F.lit("SYS-"), _lpad_num(eid % 500 + 1, 4))

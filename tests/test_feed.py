@@ -132,3 +132,12 @@ def test_strict_times_fail_on_bad_text(spark):
     bad = spark.createDataFrame([("nope",)], "event_time string")
     with pytest.raises(Exception):
         FD.strict_times(bad).collect()
+
+
+def test_na_tokens_only_when_asked(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "na")
+    write(f"{d}/a.csv", HEADER + "2024-01-01 00:00:01,INFO,NA,null,svc-01,\n")
+    plain = read_incident_dir(spark, d).first()
+    assert (plain.message, plain.incident_id, plain.category) == ("NA", "null", None)   # only empty is null
+    tokens = read_incident_dir(spark, d, na_values=["NA", "null"]).first()
+    assert (tokens.message, tokens.incident_id, tokens.service) == (None, None, "svc-01")
