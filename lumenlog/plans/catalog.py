@@ -263,10 +263,14 @@ def primaries(enr: DataFrame) -> DataFrame:
     return FD.latest_per_incident(enr, tiebreak=["event_id"])
 
 
+PRIMARY_KEY_COLUMNS = ["incident_id", "event_time", "service", "event_id"]
+
+
 @register("correlate_pairs")
 def q_correlate_pairs(spark, sf_dir):
     enr = enriched(spark, sf_dir)
-    return _out(CR.correlate_pairs(primaries(enr), enr))
+    # only the key columns of a primary travel through the latest-row shuffle
+    return _out(CR.correlate_pairs(primaries(enr.select(*PRIMARY_KEY_COLUMNS)), enr))
 
 
 @register("correlate_one")
@@ -279,7 +283,7 @@ def q_correlate_one(spark, sf_dir):
 @register("correlate_filtered")
 def q_correlate_filtered(spark, sf_dir):
     enr = enriched(spark, sf_dir)
-    prim = primaries(FD.filter_feed(enr, level=FILTER_LEVEL))
+    prim = primaries(FD.filter_feed(enr, level=FILTER_LEVEL).select(*PRIMARY_KEY_COLUMNS))
     return _out(CR.correlate_pairs(prim, enr))
 
 

@@ -141,3 +141,9 @@ def test_na_tokens_only_when_asked(spark, tmp_dir):
     assert (plain.message, plain.incident_id, plain.category) == ("NA", "null", None)   # only empty is null
     tokens = read_incident_dir(spark, d, na_values=["NA", "null"]).first()
     assert (tokens.message, tokens.incident_id, tokens.service) == (None, None, "svc-01")
+
+
+def test_kpis_with_absent_columns(spark):
+    df = spark.createDataFrame([("x",), ("y",)], "message string")
+    assert tuple(kpis(df).first()) == (2, 0, 0, 0)
+    assert tuple(kpis_legacy(df).first()) == (2, None, None, None)
