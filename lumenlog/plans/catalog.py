@@ -360,6 +360,7 @@ def q_stream_alerts_final(spark, sf_dir):
     root = run_folder(spark, "stream-alerts")
     wire = SS.read_wire_files(spark, _land_topic(spark, sf_dir))
     q = ST.start_alert_sink(ST.incident_stream(wire), f"{root}/alerts", f"{root}/_checkpoint",
-                            trigger={"availableNow": True})
+                            trigger={"availableNow": True},
+                            state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return _out(ST.final_alerts(spark, f"{root}/alerts"))

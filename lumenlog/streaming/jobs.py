@@ -98,13 +98,29 @@ def alert_batch_writer(path: str, first_only: bool = False):
 
 def start_alert_sink(incidents: DataFrame, path: str, checkpoint: str,
                      trigger: dict | None = None, query_name: str | None = None,
-                     first_only: bool = False) -> StreamingQuery:
+                     first_only: bool = False, state_partitions: int | None = None) -> StreamingQuery:
+    """Start the stateful window count in update mode with the alert writer.
+
+    ``state_partitions`` sets the number of state-store partitions.  It is
+    read from ``spark.sql.shuffle.partitions`` when the query first starts
+    and then fixed by the checkpoint, so it is applied for the start call
+    only and the session value is restored afterwards.
+    """
     w = (window_count_stream(incidents).writeStream.outputMode("update")
          .foreachBatch(alert_batch_writer(path, first_only))
          .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
-    return _trigger(w, trigger).start()
+    if state_partitions is None:
+        return _trigger(w, trigger).start()
+    spark = incidents.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return _trigger(w, trigger).start()
+    finally:
+        spark.conf.set(key, before)
 
 
 def read_alert_table(spark: SparkSession, path: str) -> DataFrame:

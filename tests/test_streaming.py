@@ -177,3 +177,16 @@ def test_csv_stream_sink_reads_back(spark, tmp_dir):
     assert [(r.event_time, r.message) for r in back] == [
         (dt.datetime(2024, 1, 1, 0, 0, 1, 500000), 'say "hi", then'),
         (dt.datetime(2024, 1, 1, 0, 1, 2), "m")]
+
+
+def test_state_partitions_fixed_per_query(spark, tmp_dir):
+    land(f"{tmp_dir}/in", [[framed(ts(1, s), "ERROR") for s in (1, 2, 3)]])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    wire = read_wire_files(spark, f"{tmp_dir}/in")
+    q = ST.start_alert_sink(ST.incident_stream(wire), f"{tmp_dir}/alerts", f"{tmp_dir}/ck", trigger=NOW,
+                            state_partitions=3)
+    q.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    ops = q.lastProgress["stateOperators"]
+    assert ops and ops[0]["numShufflePartitions"] == 3
+    assert [r["count"] for r in alert_rows(spark, tmp_dir)] == [3]
