@@ -14,6 +14,15 @@ from ..functions.timefmt import render_ts
 
 HOUR_FORMAT = "yyyy-MM-dd_HH"
 
+# Text written exactly: header per part file, doubled quotes, no trimming of
+# leading/trailing whitespace (Spark's CSV writer trims by default).
+CSV_WRITE_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def ingest_hour() -> Column:
     """Processing-time hour bucket (fixed for one micro-batch / one job)."""
@@ -49,7 +58,7 @@ def write_incidents(df: DataFrame, path: str, fmt: str = "parquet", hour: str =
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     if fmt == "csv":
-        w.option("header", "true").option("escape", '"').csv(path)
+        w.options(**CSV_WRITE_OPTIONS).csv(path)
     else:
         w.parquet(path)
 

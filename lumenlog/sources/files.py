@@ -25,6 +25,8 @@ CSV_OPTIONS = {
     "escape": '"',            # quotes inside a field are doubled (RFC 4180)
     "mode": "PERMISSIVE",
     "multiLine": "true",      # a quoted message may contain a newline
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
     "ignoreCorruptFiles": "true",
     "ignoreMissingFiles": "true",
 }

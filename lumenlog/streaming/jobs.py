@@ -24,7 +24,7 @@ from ..functions.patterns import ALERT_WINDOW, WATERMARK_DELAY
 from ..functions.timefmt import render_ts
 from ..operators.enrich import enrich, fixed_order
 from ..operators.windows import alert_rule, flatten_window
-from ..sinks.files import with_hour
+from ..sinks.files import CSV_WRITE_OPTIONS, with_hour
 from ..sources.codec import decode_framed, decode_plain
 
 DEFAULT_TRIGGER = {"processingTime": "1 minute"}
@@ -62,7 +62,7 @@ def start_enriched_sink(incidents: DataFrame, path: str, checkpoint: str, fmt: s
     w = (out.writeStream.outputMode("append").format(fmt).partitionBy(part)
          .option("checkpointLocation", checkpoint).option("path", path))
     if fmt == "csv":
-        w = w.option("header", "true").option("escape", '"')
+        w = w.options(**CSV_WRITE_OPTIONS)
     if query_name:
         w = w.queryName(query_name)
     return _trigger(w, trigger).start()
