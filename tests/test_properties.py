@@ -122,3 +122,41 @@ def test_text_roundtrips_through_wire_and_csv(spark, tmp_dir, msgs):
     write_incidents(df, out, fmt="csv", mode="overwrite")
     back = clean_feed(read_incident_dir(spark, out))
     assert sorted(r.message for r in back.collect()) == sorted(msgs)
+
+
+turn = st.tuples(st.integers(0, 3), st.integers(0, 6), st.sampled_from(["system", "user", "assistant"]),
+                 st.sampled_from(["a", "b c", "d\ne", None]))
+
+
+@settings(**SETTINGS)
+@given(turns=st.lists(turn, max_size=20, unique_by=lambda t: (t[0], t[1])))
+def test_chat_history_matches_brute_force(spark, turns):
+    from lumenlog.operators.prompts import chat_history
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: (r.message, r.history, r.history_turns) for r in chat_history(df).collect()}
+    expected = {}
+    for cid in {t[0] for t in turns}:
+        ts = sorted((t for t in turns if t[0] == cid), key=lambda t: t[1])
+        users = [t[1] for t in ts if t[2] == "user"]
+        last = max(users) if users else None
+        msg = next((t[3] for t in ts if t[1] == last), None) if last is not None else None
+        hist = [t for t in ts if last is None or t[1] < last]
+        text = "\n".join(f"- {t[2]}: {'None' if t[3] is None else t[3]}" for t in hist)
+        expected[cid] = (msg, text, len(hist))
+    assert got == expected
+
+
+@settings(**SETTINGS)
+@given(evs=st.lists(event, max_size=60), k=st.sampled_from([1, 2, 3]))
+def test_first_crossing_matches_brute_force(spark, evs, k):
+    from lumenlog.operators.windows import alerts_first_crossing
+    rows = to_rows(evs)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {(r.window_start, r.crossing_event_id) for r in alerts_first_crossing(df, min_count=k).collect()}
+    by_window = {}
+    for r in rows:
+        if r[1] == "ERROR":
+            start = BASE + dt.timedelta(minutes=5 * ((r[0] - BASE) // dt.timedelta(minutes=5)))
+            by_window.setdefault(start, []).append((r[0], r[6]))
+    expected = {(w, sorted(v)[k - 1][1]) for w, v in by_window.items() if len(v) >= k}
+    assert got == expected
