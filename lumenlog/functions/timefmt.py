@@ -15,22 +15,28 @@ def parse_event_time(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
+def _render(ts: Column, date_part: str, suffix: str = "") -> Column:
+    """``date_part`` + ``.ffffff`` only when the fraction is not zero + ``suffix``."""
+    whole = F.date_format(ts, f"{date_part}{suffix}")
+    frac = F.date_format(ts, f"{date_part}.SSSSSS{suffix}")
+    return F.when(F.unix_micros(ts.cast("timestamp")) % 1_000_000 == 0, whole).otherwise(frac)
+
+
 def render_ts(ts: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` plus ``.ffffff`` only when the fraction is not zero.
+    """``yyyy-MM-dd HH:mm:ss[.ffffff]``: how a time prints in text outputs
+    (prompt lines, alert text).  The session zone is UTC."""
+    return _render(ts, "yyyy-MM-dd HH:mm:ss")
 
-    This is how a timestamp prints in the text outputs (prompt lines, alert
-    text).  The session zone is UTC.
-    """
-    whole = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
-    frac = F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return F.when(F.unix_micros(ts.cast("timestamp")) % 1_000_000 == 0, whole).otherwise(frac)
+
+def render_iso_local(ts: Column) -> Column:
+    """ISO-8601 without offset (``yyyy-MM-ddTHH:mm:ss[.ffffff]``), as Python's
+    ``datetime.isoformat()`` prints a naive time in JSON responses."""
+    return _render(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
 
 def render_iso(ts: Column) -> Column:
-    """ISO-8601 with an explicit UTC offset, fraction only when not zero."""
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssxxx")
-    frac = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
-    return F.when(F.unix_micros(ts.cast("timestamp")) % 1_000_000 == 0, whole).otherwise(frac)
+    """ISO-8601 with an explicit UTC offset (``+00:00``), fraction only when not zero."""
+    return _render(ts, "yyyy-MM-dd'T'HH:mm:ss", "xxx")
 
 
 def to_utc_wallclock(df):

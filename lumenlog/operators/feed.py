@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ..functions.timefmt import parse_event_time, render_ts
+from ..functions.timefmt import parse_event_time, render_iso_local
 
 ALL = "All"
 
@@ -106,7 +106,7 @@ def lookup_incident(df: DataFrame, incident_id, tiebreak: list[str] | None = Non
 
 
 def feed_json(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One JSON record per row; times rendered as text, nulls written as null."""
+    """One JSON record per row; times as ISO-8601 text, nulls written as null."""
     columns = columns or ["event_time", "level", "message", "incident_id", "service", "category"]
-    fields = [render_ts(F.col(c)).alias(c) if c == "event_time" else F.col(c) for c in columns]
+    fields = [render_iso_local(F.col(c)).alias(c) if c == "event_time" else F.col(c) for c in columns]
     return df.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("record"))

@@ -121,6 +121,11 @@ def render_ts(col: str) -> str:
             f"ELSE strftime({col}, '%Y-%m-%d %H:%M:%S.%f') END")
 
 
+def render_iso_local(col: str) -> str:
+    return (f"CASE WHEN epoch_us({col}) % 1000000 = 0 THEN strftime({col}, '%Y-%m-%dT%H:%M:%S') "
+            f"ELSE strftime({col}, '%Y-%m-%dT%H:%M:%S.%f') END")
+
+
 def render_iso(col: str) -> str:
     return (f"CASE WHEN epoch_us({col}) % 1000000 = 0 THEN strftime({col}, '%Y-%m-%dT%H:%M:%S') || '+00:00' "
             f"ELSE strftime({col}, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END")
@@ -213,7 +218,7 @@ SELECT {cols} FROM enr ORDER BY event_time DESC NULLS LAST, event_id LIMIT {FEED
 SELECT {cols} FROM enr WHERE level = {_q(FILTER_LEVEL)} AND service = {_q(FILTER_SERVICE)}
 ORDER BY event_time DESC NULLS LAST, event_id""")
     q["feed_json"] = with_(INC, ENR, body=f"""
-SELECT to_json({{'event_time': {render_ts('event_time')}, 'level': level, 'message': message,
+SELECT to_json({{'event_time': {render_iso_local('event_time')}, 'level': level, 'message': message,
                  'incident_id': incident_id, 'service': service, 'category': category}}) AS record
 FROM enr""")
     q["has_incident_ids"] = with_(INC, ENR, body=f"""

@@ -109,7 +109,7 @@ def test_filters_distinct_and_recent(spark):
 def test_feed_json_keeps_nulls(spark):
     df = spark.createDataFrame([(T(2024, 1, 1, 0, 0, 1), "INFO", "m", None, "svc", None)], ENRICHED_SCHEMA)
     rec = FD.feed_json(df).first()[0]
-    assert rec == ('{"event_time":"2024-01-01 00:00:01","level":"INFO","message":"m",'
+    assert rec == ('{"event_time":"2024-01-01T00:00:01","level":"INFO","message":"m",'
                    '"incident_id":null,"service":"svc","category":null}')
 
 
