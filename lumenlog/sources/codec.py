@@ -66,15 +66,16 @@ def decode_plain(wire: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def decode_by_schema(wire: DataFrame, registry: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Registry-aware decode: split the frame and join the schema id to a
-    small ``registry(schema_id, version)`` table.
+    ``registry(schema_id, version)`` table.
 
-    The registry has one row per registered schema — its size does not
-    grow with the data — so it is broadcast.  Unknown ids and wrong magic
-    bytes decode to nulls; ``version`` tells which schema applied.
+    The registry has one row per registered schema, so Spark's size check
+    (``spark.sql.autoBroadcastJoinThreshold``) broadcasts it; a registry
+    over the threshold falls back to a shuffle join.  Unknown ids and wrong
+    magic bytes decode to nulls; ``version`` tells which schema applied.
     """
     v = F.col("value")
     framed = wire.select("*", frame_magic(v).alias("magic"), frame_schema_id(v).alias("schema_id"))
-    joined = framed.join(F.broadcast(registry.select("schema_id", "version")), "schema_id", "left")
+    joined = framed.join(registry.select("schema_id", "version"), "schema_id", "left")
     ok = (F.col("magic") == FRAME_MAGIC_HEX) & F.col("version").isNotNull()
     data = F.from_json(F.when(ok, frame_body(v)), LOG_EVENT_SCHEMA)
     return joined.select(*_events_from_struct(data), "schema_id", "version",
