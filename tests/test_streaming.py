@@ -190,3 +190,24 @@ def test_state_partitions_fixed_per_query(spark, tmp_dir):
     ops = q.lastProgress["stateOperators"]
     assert ops and ops[0]["numShufflePartitions"] == 3
     assert [r["count"] for r in alert_rows(spark, tmp_dir)] == [3]
+
+
+def test_alert_writer_replay_is_idempotent(spark, tmp_dir):
+    """A batch re-run after a failure rewrites its own partition only."""
+    rows_b0 = [((dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2024, 1, 1, 0, 5)), "ERROR", 3)]
+    rows_b1 = [((dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2024, 1, 1, 0, 5)), "ERROR", 5),
+               ((dt.datetime(2024, 1, 1, 0, 5), dt.datetime(2024, 1, 1, 0, 10)), "ERROR", 4)]
+    schema = "window struct<start: timestamp, end: timestamp>, level string, count long"
+    for first_only in (False, True):
+        path = f"{tmp_dir}/alerts-{first_only}"
+        handle = ST.alert_batch_writer(path, first_only=first_only)
+        handle(spark.createDataFrame(rows_b0, schema), 0)
+        handle(spark.createDataFrame(rows_b1, schema), 1)
+        before = sorted(tuple(r) for r in ST.read_alert_table(spark, path).collect())
+        handle(spark.createDataFrame(rows_b1, schema), 1)          # replay of batch 1
+        after = sorted(tuple(r) for r in ST.read_alert_table(spark, path).collect())
+        assert before == after
+        counts = sorted((r["window_start"].minute, r["count"], r["batch_id"])
+                        for r in ST.read_alert_table(spark, path).collect())
+        expected = [(0, 3, 0), (5, 4, 1)] if first_only else [(0, 3, 0), (0, 5, 1), (5, 4, 1)]
+        assert counts == expected
