@@ -45,9 +45,10 @@ def write_incidents(df: DataFrame, path: str, fmt: str = "parquet", hour: str =
     """Write enriched rows partitioned by hour bucket.
 
     CSV output renders ``event_time`` as text (microseconds kept) with a
-    header per part file and doubled quotes.  The hour column is written
-    as the partition directory.  Rows are clustered by hour first so each
-    task writes one file per hour it holds.
+    header per part file and doubled quotes.  The hour column becomes the
+    partition directory.  Every task writes its own file for each hour
+    present in its rows (no shuffle); ``max_records_per_file`` bounds file
+    size and ``compact`` merges small files per hour afterwards.
     """
     part = "event_hour" if hour == "event" else "ingest_hour"
     out = with_hour(df, hour)
