@@ -211,3 +211,16 @@ def test_alert_writer_replay_is_idempotent(spark, tmp_dir):
                         for r in ST.read_alert_table(spark, path).collect())
         expected = [(0, 3, 0), (5, 4, 1)] if first_only else [(0, 3, 0), (0, 5, 1), (5, 4, 1)]
         assert counts == expected
+
+
+def test_late_row_in_next_batch_is_still_counted(spark, tmp_dir):
+    """One-batch lag: late input is filtered with the previous batch's
+    watermark, so a row whose window just closed is counted once more."""
+    land(f"{tmp_dir}/in", [
+        [framed(ts(1, s), "ERROR") for s in (1, 2, 3)],
+        [framed(ts(20), "INFO")],                  # moves the watermark past the window
+        [framed(ts(2), "ERROR", "late")],          # the very next batch
+    ])
+    run_alerts(spark, tmp_dir)
+    final = ST.final_alerts(spark, f"{tmp_dir}/alerts").collect()
+    assert [(r["window_start"].minute, r["count"]) for r in final] == [(0, 4)]
