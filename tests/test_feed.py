@@ -147,3 +147,13 @@ def test_kpis_with_absent_columns(spark):
     df = spark.createDataFrame([("x",), ("y",)], "message string")
     assert tuple(kpis(df).first()) == (2, 0, 0, 0)
     assert tuple(kpis_legacy(df).first()) == (2, None, None, None)
+
+
+def test_corrupt_parquet_file_is_skipped(spark, tmp_dir):
+    enr = fixed_order(enriched(spark, SF_SMALL))
+    out = os.path.join(tmp_dir, "with-corrupt")
+    write_incidents(enr, out, fmt="parquet", hour="event", mode="overwrite")
+    hour_dir = sorted(d for d in os.listdir(out) if d.startswith("event_hour="))[0]
+    with open(os.path.join(out, hour_dir, "broken.parquet"), "wb") as f:
+        f.write(b"this is not a parquet file at all" * 4)
+    assert read_incident_dir(spark, out, fmt="parquet").count() == 1000
