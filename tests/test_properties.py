@@ -78,15 +78,19 @@ def test_correlation_matches_brute_force(spark, evs, width, salt):
 
 @settings(**SETTINGS)
 @given(evs=st.lists(event, max_size=40), granule=st.sampled_from([1, 60, 600, 7200]))
-def test_granule_counts_for_every_row_as_primary(spark, evs, granule):
-    """Every row as a primary, nulls included: granule counts == brute force."""
+def test_counts_for_every_row_as_primary(spark, evs, granule):
+    """Every row as a primary, null ids and services included: both count
+    methods == brute force."""
     rows = to_rows(evs)
     df = spark.createDataFrame(rows, SCHEMA)
-    got = {r.event_id: r.n_correlated for r in CR.correlate_counts_by_granule(df, df, granule_seconds=granule).collect()}
+    by_granule = {r.event_id: r.n_correlated
+                  for r in CR.correlate_counts_by_granule(df, df, granule_seconds=granule).collect()}
+    by_bucket = {r.event_id: r.n_correlated
+                 for r in CR.correlate_counts(df, df, bucket_minutes=max(1, granule // 60)).collect()}
     for p in rows:
         n = 0 if p[4] is None else sum(
             1 for r in rows if r[4] == p[4] and p[0] - HALF <= r[0] <= p[0] + HALF and r[3] != p[3])
-        assert got[p[6]] == n
+        assert by_granule[p[6]] == n and by_bucket[p[6]] == n
 
 
 @settings(**SETTINGS)
