@@ -7,6 +7,7 @@ drives the real queries with ``availableNow`` + ``maxFilesPerTrigger=1``.
 import datetime as dt
 import json
 import os
+import re
 import struct
 import time
 
@@ -224,3 +225,11 @@ def test_late_row_in_next_batch_is_still_counted(spark, tmp_dir):
     run_alerts(spark, tmp_dir)
     final = ST.final_alerts(spark, f"{tmp_dir}/alerts").collect()
     assert [(r["window_start"].minute, r["count"]) for r in final] == [(0, 4)]
+
+
+def test_enriched_sink_layout_by_ingest_hour(spark, tmp_dir):
+    land(f"{tmp_dir}/in", [[framed(ts(1, 1), "INFO")]])
+    run_enriched(spark, tmp_dir)
+    dirs = [d for d in os.listdir(f"{tmp_dir}/enr") if not d.startswith(("_", "."))]
+    assert len(dirs) == 1 and re.fullmatch(r"ingest_hour=\d{4}-\d{2}-\d{2}_\d{2}", dirs[0])
+    assert os.path.isdir(f"{tmp_dir}/enr/_spark_metadata")      # exactly-once commit log
