@@ -157,3 +157,17 @@ def test_corrupt_parquet_file_is_skipped(spark, tmp_dir):
     with open(os.path.join(out, hour_dir, "broken.parquet"), "wb") as f:
         f.write(b"this is not a parquet file at all" * 4)
     assert read_incident_dir(spark, out, fmt="parquet").count() == 1000
+
+
+def test_compaction_one_file_per_hour(spark, tmp_dir):
+    enr = fixed_order(enriched(spark, SF_SMALL))
+    src, dst = os.path.join(tmp_dir, "many"), os.path.join(tmp_dir, "one")
+    write_incidents(enr.repartition(8), src, fmt="parquet", mode="overwrite", max_records_per_file=20)
+    compact(spark, src, dst, fmt="parquet", files_per_hour=1)
+    hours = [d for d in os.listdir(dst) if d.startswith("event_hour=")]
+    assert len(hours) == 12
+    for h in hours:
+        files = [f for f in os.listdir(os.path.join(dst, h)) if f.endswith(".parquet")]
+        assert len(files) == 1, (h, files)
+    back = read_incident_dir(spark, dst, fmt="parquet")
+    assert back.exceptAll(enr).count() == 0 and enr.exceptAll(back).count() == 0
