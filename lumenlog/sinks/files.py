@@ -78,3 +78,9 @@ def compact(spark, src: str, dst: str, fmt: str = "parquet", files_per_hour: int
     spread = F.pmod(F.xxhash64("message", "event_time"), F.lit(files_per_hour))
     out = with_hour(df, "event").repartition("event_hour", spread).drop("event_hour")
     write_incidents(out, dst, fmt=fmt, mode="overwrite")
+
+
+def write_quality_split(checked: DataFrame, path: str, mode: str = "append") -> None:
+    """Route valid and quarantined rows in one pass: ``quality=valid`` and
+    ``quality=quarantine`` partition folders under ``path`` (Parquet)."""
+    checked.write.mode(mode).partitionBy("quality").parquet(path)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import struct
 
 from pyspark.sql import functions as F
@@ -79,3 +80,15 @@ def test_roundtrip_on_fixture(spark):
         back.select("event_id", "event_time", "level", "message"))
     assert diff.count() == 0
     assert back.count() == inc.count() == 1000
+
+
+def test_quality_split_routes_in_one_write(spark, tmp_dir):
+    from lumenlog.operators.quality import quality_split
+    from lumenlog.sinks.files import write_quality_split
+    vals = [framed(ev("2024-01-01T00:00:01+00:00")), framed(b"{bad"), framed(ev("nope"))]
+    checked = quality_split(CD.decode_framed(wire(spark, vals)))
+    write_quality_split(checked, f"{tmp_dir}/q", mode="overwrite")
+    back = spark.read.parquet(f"{tmp_dir}/q")
+    got = sorted((r.quality, r.reason) for r in back.collect())
+    assert got == [("quarantine", "missing_event_time"), ("quarantine", "unreadable"), ("valid", None)]
+    assert sorted(os.listdir(f"{tmp_dir}/q"))[-2:] == ["quality=quarantine", "quality=valid"]
