@@ -16,9 +16,13 @@ import argparse
 from pyspark.sql import SparkSession
 
 
-def _session() -> SparkSession:
+def _session(ui: bool = False) -> SparkSession:
+    """Session for a command; the web UI stays off unless ``--ui`` is given."""
     from .session import ENGINE_CONF
-    spark = SparkSession.builder.appName("lumenlog").getOrCreate()
+    spark = (SparkSession.builder.appName("lumenlog")
+             .config("spark.ui.enabled", str(ui).lower())
+             .config("spark.ui.showConsoleProgress", "false")
+             .getOrCreate())
     for k, v in ENGINE_CONF.items():
         spark.conf.set(k, v)
     return spark
@@ -28,7 +32,7 @@ def cmd_stream(args) -> None:
     from .session import run_folder, shared_root
     from .sources.stream import read_kafka
     from .streaming.jobs import incident_stream, start_alert_sink, start_enriched_sink
-    spark = _session()
+    spark = _session(args.ui)
     root = args.root or run_folder(spark, "stream")
     if not args.root:
         print(f"output under {root} (from {shared_root(spark)})")
@@ -45,7 +49,7 @@ def cmd_stream(args) -> None:
 
 def cmd_report(args) -> None:
     from .plans.readside import load_feed, report
-    spark = _session()
+    spark = _session(args.ui)
     hours = tuple(args.hours.split(",")) if args.hours else None
     feed = load_feed(spark, args.input, fmt=args.format, hour_range=hours, hour_col=args.hour_col)
     out = report(feed, args.name, level=args.level, service=args.service)
@@ -55,6 +59,7 @@ def cmd_report(args) -> None:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="lumenlog")
+    ap.add_argument("--ui", action="store_true", help="enable the Spark web UI (off by default)")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
     s = sub.add_parser("stream", help="run the enriched sink and the alert sink")
