@@ -44,6 +44,13 @@ def benchmark_grams(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
             .select(F.xxhash64(_hashes(F.col("gram"))).alias("h"), "gram", "items"))
 
 
+def _windows(m: int):
+    """Every window of ``m`` words as (position, length, hash)."""
+    each = F.transform(F.sequence(F.lit(1), F.size("hw") - (m - 1)), lambda i: F.struct(
+        i.alias("p"), F.lit(m).alias("m"), F.xxhash64(F.slice("hw", i, m)).alias("h")))
+    return F.when(F.size("hw") >= m, each).otherwise(F.array().cast("array<struct<p:int,m:int,h:bigint>>"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_key, n_words, spans (sorted
     hit windows as (start, end), 0-based word positions), items (sorted)."""
@@ -55,9 +62,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> Dat
     if not sizes:
         return counted.withColumns({"spans": F.array().cast("array<struct<s:int,e:int>>"), "items": F.array().cast("array<string>")})
     probe = F.broadcast(grams) if sum(r["count"] for r in sizes) <= MAX_BROADCAST_GRAMS else grams
-    windows = [F.when(F.size("hw") >= m, F.transform(F.sequence(F.lit(1), F.size("hw") - (m - 1)), lambda i, m=m: F.struct(
-        i.alias("p"), F.lit(m).alias("m"), F.xxhash64(F.slice("hw", i, m)).alias("h")))).otherwise(F.array().cast("array<struct<p:int,m:int,h:bigint>>"))
-        for m in sorted(r["m"] for r in sizes)]
+    windows = [_windows(m) for m in sorted(r["m"] for r in sizes)]
     hits = (base.withColumn("hw", _hashes(F.col("w")))
             .select("doc_id", "text_key", "w", F.inline(F.concat(*windows) if len(windows) > 1 else windows[0]))
             .join(probe, "h")

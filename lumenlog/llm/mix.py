@@ -126,7 +126,7 @@ def op4_mix(spark, sf_dir):
 
 ORACLE = r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
-s AS (SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '')) AS BIGINT) AS size,
+s AS (SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size,
       1.0 / (1.0 + CAST(20.0 AS DOUBLE) * len(regexp_extract_all(t, '[#*$%&|<>]')) / greatest(length(t), 1)) AS wt,
       (CAST('0x' || substr(md5('0:' || CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) + 0.5) / CAST(281474976710656 AS DOUBLE) AS u FROM d),
 k AS (SELECT *, -ln(u) / CAST(wt AS DOUBLE) AS key FROM s),

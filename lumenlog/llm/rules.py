@@ -70,7 +70,7 @@ def measure(docs: DataFrame) -> DataFrame:
     """doc_id and every measurement that a rule uses."""
     text = F.coalesce(F.col("text"), F.lit(""))
     hashes, ordered, flagged, starts, union = _repeat_words()
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     d = docs.select("doc_id", text.alias("t"), split_words(F.col("text")).alias("w"))
     d = d.withColumns({
         "lines": lines, "joined": F.array_join("w", ""),
@@ -126,10 +126,10 @@ def op2_quality_rules(spark, sf_dir):
 
 
 ORACLE = r"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
       CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
-      list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+      list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
 g AS (SELECT doc_id, i, list_slice(w, i, i + 4) AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
 twice AS (SELECT doc_id, s FROM g GROUP BY doc_id, s HAVING count(*) > 1),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT g.doc_id, unnest(range(i, i + 5)) AS p FROM g JOIN twice ON g.doc_id = twice.doc_id AND g.s = twice.s) GROUP BY doc_id),
@@ -137,7 +137,7 @@ v AS (SELECT m.doc_id, n_words, word_chars, n_symbols, CAST(len(l) - len(list_di
       CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words FROM m LEFT JOIN rep ON m.doc_id = rep.doc_id),
 f AS (SELECT v.*, n_words < 10 AS b0, 100 * n_repeat_words > 20 * n_words AS b1, 10 * n_symbols > n_words AS b2, 10 * n_dup_lines > 5 * n_lines AS b3,
       word_chars < 2 * n_words AS b4, word_chars > 15 * n_words AS b5,
-      n_words > 0 AND coalesce(list_max(list_transform(d.w, x -> length(x))), 0) > 200 AS b6,
+      n_words > 0 AND coalesce(list_max(list_transform(d.w, lambda x: length(x))), 0) > 200 AS b6,
       2 * len(regexp_extract_all(array_to_string(d.w, ''), '[A-Z]')) > word_chars AS b7 FROM v JOIN d ON v.doc_id = d.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, b0 OR b1 AS base_failed,
        NOT (b0 OR b1 OR b2 OR b3 OR b4 OR b5) AS kept,
