@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mix, rules
+from . import decontaminate, mix, neardup, rules, substrings, tokens, urls
 
 
 def queries() -> dict:
     return {
+        "op1_substring_dedup": substrings.op1_substring_dedup,
         "op2_quality_rules": rules.op2_quality_rules,
         "op4_mix": mix.op4_mix,
+        "op5_near_dedup": neardup.op5_near_dedup,
+        "op7_url_filters": urls.op7_url_filters,
         "op9_decontaminate": decontaminate.op9_decontaminate,
+        "op10_token_ids": tokens.op10_token_ids,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_substring_dedup": substrings.ORACLE,
         "op2_quality_rules": rules.ORACLE,
         "op4_mix": mix.ORACLE,
         "op9_decontaminate": decontaminate.ORACLE,
