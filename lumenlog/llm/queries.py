@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mix, neardup, rules, substrings, tokens, urls
+from . import decontaminate, lm, mix, neardup, rules, substrings, tokens, urls
 
 
 def queries() -> dict:
     return {
         "op1_substring_dedup": substrings.op1_substring_dedup,
         "op2_quality_rules": rules.op2_quality_rules,
+        "op3_lm_scores": lm.op3_lm_scores,
         "op4_mix": mix.op4_mix,
         "op5_near_dedup": neardup.op5_near_dedup,
         "op7_url_filters": urls.op7_url_filters,
