@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lm, mix, neardup, rules, substrings, tokens, urls
+from . import decontaminate, html, lm, mix, neardup, quality, rules, substrings, tokens, urls
 
 
 def queries() -> dict:
@@ -12,7 +12,9 @@ def queries() -> dict:
         "op3_lm_scores": lm.op3_lm_scores,
         "op4_mix": mix.op4_mix,
         "op5_near_dedup": neardup.op5_near_dedup,
+        "op6_main_text": html.op6_main_text,
         "op7_url_filters": urls.op7_url_filters,
+        "op8_quality_classifier": quality.op8_quality_classifier,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_token_ids": tokens.op10_token_ids,
     }
