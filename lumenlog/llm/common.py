@@ -60,3 +60,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def packed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """``docs`` as one struct ``row`` beside ``keys``: whatever columns a caller
+    has, none can clash with the keys.  ``select("row.*")`` unpacks."""
+    return docs.select(F.struct("*").alias("row"), *(c.alias(name) for name, c in keys.items()))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, split_words, table
+from .common import lower_ascii, packed, split_words, table
 
 WINDOW = 10
 MAX_BROADCAST_GRAMS = 200_000
@@ -97,20 +97,20 @@ def remove(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, mode: str = "
     with the hit words cut from their texts, separators that follow them
     included (``mode="spans"``).  All columns are kept."""
     found = (contamination(docs, benchmark, n).where(F.size("spans") > 0)
-             .groupBy("doc_id", "text_key").agg(F.first("spans").alias("__spans"))
-             .select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k"), "__spans"))
-    on = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__k"))
+             .groupBy("doc_id", "text_key").agg(F.first("spans").alias("spans")))
+    rows = packed(docs, k=F.col("doc_id"), t=F.xxhash64("text"))
+    on = F.col("k").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_key"))
     if mode == "documents":
-        return docs.join(found, on, "left_anti")
+        return rows.join(found, on, "left_anti").select("row.*")
     word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     rest = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
-    pieces = F.regexp_extract_all("text", F.lit(f"({word}{rest})"), 1)
-    kept = F.filter(F.transform(pieces, lambda x, i: F.when(F.exists("__spans", lambda s: (s["s"] <= i) & (i < s["e"])), F.lit(None)).otherwise(x)),
+    text = F.col("row.text")
+    pieces = F.regexp_extract_all(text, F.lit(f"({word}{rest})"), 1)
+    kept = F.filter(F.transform(pieces, lambda x, i: F.when(F.exists("spans", lambda s: (s["s"] <= i) & (i < s["e"])), F.lit(None)).otherwise(x)),
                     lambda x: x.isNotNull())
-    cut = F.concat(F.regexp_extract("text", f"^({rest})", 1), F.array_join(kept, ""))
-    return (docs.join(found, on, "left")
-            .withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut))
-            .drop("__d", "__k", "__spans"))
+    cut = F.concat(F.regexp_extract(text, f"^({rest})", 1), F.array_join(kept, ""))
+    changed = F.col("row").withField("text", F.when(F.col("spans").isNull(), text).otherwise(cut))
+    return rows.join(found, on, "left").select(changed.alias("row")).select("row.*")
 
 
 def op9_decontaminate(spark, sf_dir):

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, stored, table
+from .common import SPACE, packed, stored, table
 
 SOURCE_WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -110,14 +110,19 @@ def report(docs: DataFrame, seed: int = 0, weight=None) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = 0, weight=None) -> DataFrame:
-    """The mixture: every document as many times as it is taken, all columns."""
+    """The mixture: every document as many times as it is taken, all columns.
+
+    Equal rows (id, text and source) are counted together: their copies differ by
+    one at most, so the first of them take one copy more."""
     rows = stored(sized(docs, seed, weight), "mix-sizes")
-    copies = (take(rows).groupBy("doc_id", "tie").agg(F.array_sort(F.collect_list("copies")).alias("__all"))
-              .select(F.col("doc_id").alias("__d"), F.col("tie").alias("__t"), "__all"))
-    keyed = docs.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source")))
-    on = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t"))
-    return (keyed.join(copies, on).withColumn("__copy", F.explode(F.sequence(F.lit(0), F.element_at("__all", F.col("__n")))))
-            .where("__copy > 0").drop("__d", "__t", "__all", "__n", "__copy"))
+    keys = {"k1": F.xxhash64("doc_id", "tie", "source"), "k2": F.xxhash64("source", "tie", "doc_id", F.lit(1))}
+    copies = (take(rows).select(*(c.alias(k) for k, c in keys.items()), "copies").groupBy("k1", "k2")
+              .agg(F.min("copies").alias("least"), (F.sum("copies") - F.min("copies") * F.count("*")).alias("more")))
+    tie = F.xxhash64("text")
+    each = packed(docs, k1=F.xxhash64("doc_id", tie, "source"), k2=F.xxhash64("source", tie, "doc_id", F.lit(1)))
+    each = each.withColumn("nth", F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.lit(0))))
+    n = F.col("least") + (F.col("nth") <= F.col("more")).cast("int")
+    return each.join(copies, ["k1", "k2"]).where(n > 0).select("row", F.explode(F.sequence(F.lit(1), n)).alias("copy")).select("row.*")
 
 
 def op4_mix(spark, sf_dir):

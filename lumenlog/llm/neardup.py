@@ -32,10 +32,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, stored, table
+from .common import ASCII_LOWER, packed, stored, table
 from .components import components
 
 SHINGLE = 5
@@ -349,12 +349,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns; of rows that repeat a
     kept doc_id, the first by text hash stays."""
-    from pyspark.sql import Window
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__d")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("__d"), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = named.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    rows = packed(docs, k=F.col("doc_id").cast("long"), t=F.xxhash64("text"))
+    named = rows.where(F.col("k").isNotNull()).join(kept, F.col("k") == F.col("doc_id"), "left_semi")
+    first = named.withColumn("nth", F.row_number().over(Window.partitionBy("k").orderBy("t"))).where("nth = 1")
+    return first.select("row.*").unionByName(rows.where(F.col("k").isNull()).select("row.*"))
 
 
 def op5_near_dedup(spark, sf_dir):

@@ -18,6 +18,9 @@ _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
 _S = np.uint64(32)
 OUTSIDE = np.int64(1) << 40
+#: Base of the rolling names of spans, and its inverse modulo 2^64.
+_P = np.uint64(0x5851F42D4C957F2D)
+_INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
 
 
 def mix(x):
@@ -56,7 +59,8 @@ def pairs(name, lo, hi, salt: int):
 
 def anchors(words: np.ndarray, window: int, rounds: int = ROUNDS) -> np.ndarray:
     """For every window of ``window`` words the name of one symbol settled by the
-    window alone: of the latest round that has one, the one with the least hash.
+    window alone: of the latest round that has one, the one with the least name.
+    An anchor is named by all words of its span, which the window holds too.
     Windows without a settled pair fall back to their word of least hash, so equal
     windows always have equal anchors."""
     n = len(words) - window + 1
@@ -71,11 +75,20 @@ def anchors(words: np.ndarray, window: int, rounds: int = ROUNDS) -> np.ndarray:
         levels.append((name[new], lo[new], hi[new]))
     open_ = np.ones(n, bool)
     none = np.uint64(0xFFFFFFFFFFFFFFFF)
+    power = np.full(len(words), _P)
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    total = np.append(np.uint64(0), np.cumsum(mix(words) * power))
+    shift = np.full(len(words), _INVERSE)
+    shift[0] = 1
+    shift = np.multiply.accumulate(shift)
     for name, lo, hi in reversed(levels):
         least = np.full(n, none)
         room = window - (hi - lo)
         fit = (room >= 0) & (lo >= 0)
-        name, lo, room = mix(name[fit]), lo[fit], room[fit]
+        name, lo, hi, room = name[fit], lo[fit], hi[fit], room[fit]
+        hi = np.minimum(hi, len(words))
+        name = mix((total[hi] - total[lo]) * shift[lo] + mix(name))
         for k in range(int(room.max(initial=-1)) + 1):
             on = room >= k
             at = lo[on] - k
