@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 
-ROUNDS = 3
+ROUNDS = 2
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
 _S = np.uint64(32)

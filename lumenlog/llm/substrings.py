@@ -11,7 +11,7 @@ same words as a window that starts in a document with a smaller doc_id.
    documents are reduced first: all but the smallest are known to share it, so at
    most one row per anchor and batch meets in a group, however often it repeats.
 3. Only the windows that shared anchors hold are named whole.  A window's identity
-   is its anchor's name and its own (two 64-bit fingerprints).  The same reduction
+   is its own name (64 bits) and 32 bits of its anchor's.  The same reduction
    applies; a window is repeated if its smallest document is smaller than its own.
 4. Documents with repeated windows lose the words that these cover.
 
@@ -42,6 +42,8 @@ WINDOW = 13
 CHUNK_WORDS = 200_000
 BATCH_ROWS = 1_000_000
 TIE_BITS = 20
+#: What is known of a row: nothing yet; other documents have it; a smaller one has it; no smaller one can have it.
+OPEN, SHARED, SMALLER, GIVES = 0, 1, 2, 3
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -104,8 +106,11 @@ def shared_anchors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         names, ids = names[once], ids[once]
         first = _first_of(names)
         many = np.r_[first[1:] == 0, False] if len(first) else first
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(names.view(np.int64)), pa.array(~first), pa.array(many | ~first)],
-                                          ["doc_id", "name", "ask", "shared"])
+        # decided rows are spread, so that a frequent anchor is one row per batch in its group
+        key = np.where(first, names, mix(names + mix(ids.view(np.uint64))))
+        state = np.where(first, np.where(many, SHARED, OPEN), SMALLER).astype(np.int8)
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(key.view(np.int64)), pa.array(names.view(np.int64), mask=first), pa.array(state)],
+                                          ["doc_id", "key", "name", "state"])
 
     def run(batches):
         names, ids, held = [], [], 0
@@ -123,13 +128,11 @@ def shared_anchors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         if held:
             yield reduce(names, ids)
 
-    found = docs.where("doc_id is not null").select("text", "doc_id").mapInArrow(run, "doc_id bigint, name bigint, ask boolean, shared boolean")
-    # decided rows are spread, so that a frequent anchor is one row per batch in its group
-    found = found.withColumn("key", F.when(F.col("ask"), F.xxhash64("name", "doc_id")).otherwise(F.col("name")))
+    found = docs.where("doc_id is not null").select("text", "doc_id").mapInArrow(run, "doc_id bigint, key bigint, name bigint, state tinyint")
     group = Window.partitionBy("key")
-    return (found.select("doc_id", "name", "ask", "shared", F.min("doc_id").over(group).alias("lo"), F.max("doc_id").over(group).alias("hi"))
-            .where("shared or lo < hi")
-            .select("doc_id", "name", (F.col("ask") | (F.col("doc_id") > F.col("lo"))).alias("ask")))
+    return (found.withColumn("lo", F.min("doc_id").over(group)).withColumn("hi", F.max("doc_id").over(group))
+            .where(f"state <> {OPEN} or lo < hi")
+            .select("doc_id", F.coalesce("name", "key").alias("name"), ((F.col("state") == SMALLER) | (F.col("doc_id") > F.col("lo"))).alias("ask")))
 
 
 def repeated_windows(wanted: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -142,8 +145,10 @@ def repeated_windows(wanted: DataFrame, window: int = WINDOW) -> DataFrame:
         h, name, ids, at, ask = h[order], name[order], ids[order], at[order], ask[order]
         first = _first_of(h, name)
         sure = ids > ids[np.flatnonzero(first)][np.cumsum(first) - 1]
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(at), pa.array(h.view(np.int64)), pa.array(name.view(np.int64)), pa.array(sure), pa.array(ask)],
-                                          ["doc_id", "at", "window", "name", "sure", "ask"])
+        key = np.where(sure, mix(ids.view(np.uint64) + mix(at.view(np.uint64))), h)
+        state = np.where(sure, SMALLER, np.where(ask, OPEN, GIVES)).astype(np.int8)
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(at), pa.array(key.view(np.int64)), pa.array((name >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(state)],
+                                          ["doc_id", "at", "key", "name", "state"])
 
     def run(batches):
         parts, held = [], 0
@@ -165,10 +170,9 @@ def repeated_windows(wanted: DataFrame, window: int = WINDOW) -> DataFrame:
         if held:
             yield reduce(parts)
 
-    found = wanted.select("text", "doc_id", "tie", "asked", "others").mapInArrow(run, "doc_id bigint, at bigint, window bigint, name bigint, sure boolean, ask boolean")
-    found = found.withColumn("key", F.when(F.col("sure"), F.xxhash64("doc_id", "at")).otherwise(F.col("window")))
+    found = wanted.select("text", "doc_id", "tie", "asked", "others").mapInArrow(run, "doc_id bigint, at bigint, key bigint, name int, state tinyint")
     lowest = F.min("doc_id").over(Window.partitionBy("key", "name"))
-    return found.withColumn("lo", lowest).where("sure or (ask and lo < doc_id)").select("doc_id", "at")
+    return found.withColumn("lo", lowest).where(f"state = {SMALLER} or (state = {OPEN} and lo < doc_id)").select("doc_id", "at")
 
 
 def _kept(words: list[bytes], starts, window: int) -> list[bytes]:
