@@ -46,6 +46,8 @@ DEPTH = 5
 NODE = 64
 SLACK = 0.15
 BLOCK = 256
+#: Candidates (of 32 bytes) that are broadcast to the scan of the texts; beyond, the texts are shuffled to them.
+MAX_BROADCAST = 1_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
@@ -308,7 +310,10 @@ def confirmed_links(groups: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("node"), b.column("component"), b.column("blocks"), b.column("block"), pa.array(s, pa.binary())],
                                              ["node", "component", "blocks", "block", "shingles"])
 
-    rows = members.join(docs.select(F.col("doc_id").alias("node"), "text"), "node").select("node", "component", "blocks", "block", "text")
+    texts = docs.select(F.col("doc_id").alias("node"), "text")
+    if groups.count() <= MAX_BROADCAST:
+        members = F.broadcast(members)
+    rows = texts.join(members, "node").select("node", "component", "blocks", "block", "text")
     rows = rows.mapInArrow(sets, "node bigint, component bigint, blocks int, block int, shingles binary")
     pieces = (rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "shingles"))
