@@ -52,7 +52,7 @@ def cmd_report(args) -> None:
     spark = _session(args.ui)
     hours = tuple(args.hours.split(",")) if args.hours else None
     feed = load_feed(spark, args.input, fmt=args.format, hour_range=hours, hour_col=args.hour_col)
-    out = report(feed, args.name, level=args.level, service=args.service)
+    out = report(feed, args.name, level=args.level, service=args.service, incident_id=args.incident_id)
     w = out.write.mode("overwrite")
     (w.json(args.out) if args.out_format == "json" else w.parquet(args.out))
 
@@ -76,9 +76,9 @@ def main(argv=None) -> None:
     s.add_argument("--state-partitions", type=int)
     s.set_defaults(fn=cmd_stream)
 
-    from .plans.readside import REPORTS
+    from .plans.readside import ONE_REPORTS, REPORTS
     r = sub.add_parser("report", help="answer one read-side question over stored incidents")
-    r.add_argument("name", choices=sorted(REPORTS))
+    r.add_argument("name", choices=sorted([*REPORTS, *ONE_REPORTS]))
     r.add_argument("--input", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--format", default="parquet", choices=["parquet", "csv"])
@@ -87,6 +87,7 @@ def main(argv=None) -> None:
     r.add_argument("--hour-col", default="ingest_hour")
     r.add_argument("--level", default="All")
     r.add_argument("--service", default="All")
+    r.add_argument("--incident-id", help="for the reports on one incident")
     r.set_defaults(fn=cmd_report)
 
     args = ap.parse_args(argv)

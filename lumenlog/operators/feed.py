@@ -73,9 +73,9 @@ def distinct_incident_ids(df: DataFrame) -> DataFrame:
 
 
 def has_incident_ids(df: DataFrame) -> DataFrame:
-    """One row: does any row carry an incident id?  (global partial aggregate)"""
-    return df.agg(F.coalesce(F.bool_or(F.col("incident_id").isNotNull()), F.lit(False))
-                  .alias("has_incident_ids"))
+    """One row: does any row carry an incident id?  One found row ends the scan."""
+    found = df.where(F.col("incident_id").isNotNull()).select("incident_id").limit(1)
+    return found.agg((F.count(F.lit(1)) > 0).alias("has_incident_ids"))
 
 
 def latest_per_incident(df: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:

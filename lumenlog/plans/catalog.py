@@ -30,6 +30,7 @@ from ..sources import fixtures as FX
 from ..sources import stream as SS
 from ..sources.fixtures import load_incidents
 from ..streaming import jobs as ST
+from . import readside as RS
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -117,9 +118,8 @@ def q_kpis_legacy(spark, sf_dir):
 
 # --- feed ----------------------------------------------------------------------
 
-FEED_TOP_N = 100
 FILTER_LEVEL = "WARNING"
-FILTER_SERVICE = "svc-03"
+FILTER_SERVICE = "node-3"
 
 
 @register("feed_clean")
@@ -129,7 +129,7 @@ def q_feed_clean(spark, sf_dir):
 
 @register("feed_recent")
 def q_feed_recent(spark, sf_dir):
-    return _out(FD.feed_recent(enriched(spark, sf_dir), n=FEED_TOP_N, tiebreak=["event_id"]))
+    return _out(FD.feed_recent(enriched(spark, sf_dir), tiebreak=["event_id"]))
 
 
 @register("feed_filtered")
@@ -143,6 +143,26 @@ def q_feed_json(spark, sf_dir):
     return FD.feed_json(enriched(spark, sf_dir))
 
 
+@register("feed_clean_nan")
+def q_feed_clean_nan(spark, sf_dir):
+    events = FX.read_table(spark, sf_dir, "events").select("event_id", "value")
+    value = F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    inc = load_incidents(spark, sf_dir).select("event_id", "event_time")
+    return _out(FD.clean_feed(inc.join(events.select("event_id", value.alias("value")), "event_id")))
+
+
+@register("strict_times")
+def q_strict_times(spark, sf_dir):
+    enr = enriched(spark, sf_dir)
+    text = F.when(F.col("event_id") % 4 != 0, F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    return _out(FD.strict_times(enr.select("event_id", text.alias("event_time"))))
+
+
+@register("kpis_empty")
+def q_kpis_empty(spark, sf_dir):
+    return KP.kpis(FD.filter_feed(enriched(spark, sf_dir), level="NO SUCH LEVEL"))
+
+
 @register("has_incident_ids")
 def q_has_incident_ids(spark, sf_dir):
     return FD.has_incident_ids(FD.filter_feed(enriched(spark, sf_dir), level=FILTER_LEVEL))
@@ -186,11 +206,10 @@ VERSION_SPLIT = "2024-01-01 06:00:00"
 
 @register("union_versions")
 def q_union_versions(spark, sf_dir):
-    enr = enriched(spark, sf_dir)
-    split = F.lit(VERSION_SPLIT).cast("timestamp")
-    v1 = enr.where(F.col("event_time") < split)
-    v2 = EN.enrich_extended(enr.where(F.col("event_time") >= split))
-    return _out(VS.union_versions(v1, v2))
+    """Rows of two versions, damaged ones (without a time) in the older."""
+    enr = EN.enrich(CD.decode_framed(topic(spark, sf_dir), keep=["event_id"]), keep=["event_id"])
+    newer = F.coalesce(F.col("event_time") >= F.lit(VERSION_SPLIT).cast("timestamp"), F.lit(False))
+    return _out(VS.union_versions(enr.where(~newer), EN.enrich_extended(enr.where(newer))))
 
 
 def _roundtrip(spark, sf_dir, fmt):
@@ -207,6 +226,18 @@ def q_csv_roundtrip(spark, sf_dir):
     return _roundtrip(spark, sf_dir, "csv")
 
 
+@register("csv_union_by_header")
+def q_csv_union_by_header(spark, sf_dir):
+    """Files of three writers: all columns, columns in another order without the
+    category, and three columns only; and one file of a few bytes."""
+    path = run_folder(spark, "csv-headers")
+    enr = EN.enrich(load_incidents(spark, sf_dir), keep=["event_id"]).withColumn("event_time", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    for k, cols in enumerate((ENRICHED_COLUMNS, ["service", "message", "incident_id", "event_time", "level"], ["message", "level", "event_time"])):
+        enr.where(F.col("event_id") % 3 == k).select(*cols).write.options(**SK.CSV_WRITE_OPTIONS).csv(f"{path}/writer={k}")
+    spark.createDataFrame([("x",)], "a string").coalesce(1).write.options(header="true").csv(f"{path}/writer=9")
+    return _out(FD.clean_feed(SF.read_incident_dir(spark, path), drop_bad_time=False))
+
+
 @register("parquet_roundtrip")
 def q_parquet_roundtrip(spark, sf_dir):
     return _roundtrip(spark, sf_dir, "parquet")
@@ -273,11 +304,32 @@ def q_correlate_pairs(spark, sf_dir):
     return _out(CR.correlate_pairs(primaries(enr.select(*PRIMARY_KEY_COLUMNS)), enr))
 
 
+def chosen_primary(enr: DataFrame) -> DataFrame:
+    return FD.lookup_incident(enr, chosen_incident(enr), tiebreak=["event_id"])
+
+
 @register("correlate_one")
 def q_correlate_one(spark, sf_dir):
     enr = enriched(spark, sf_dir)
-    prim = FD.lookup_incident(enr, chosen_incident(enr), tiebreak=["event_id"])
-    return _out(CR.correlate_pairs(prim, enr, join_hint=None))
+    return _out(CR.correlate_one(chosen_primary(enr), enr))
+
+
+@register("correlate_one_oldest_first")
+def q_correlate_one_oldest_first(spark, sf_dir):
+    enr = enriched(spark, sf_dir)
+    return _out(CR.correlate_one(chosen_primary(enr), enr).orderBy("event_time", "event_id"))
+
+
+@register("correlate_one_newest_first")
+def q_correlate_one_newest_first(spark, sf_dir):
+    enr = enriched(spark, sf_dir)
+    return _out(CR.correlate_one(chosen_primary(enr), enr).orderBy(F.col("event_time").desc(), "event_id"))
+
+
+@register("report_correlate_counts_filtered")
+def q_report_correlate_counts_filtered(spark, sf_dir):
+    """The read-side report: primaries from the filtered feed, all rows counted."""
+    return _out(RS.report(enriched(spark, sf_dir), "correlate_counts", level=FILTER_LEVEL))
 
 
 @register("correlate_filtered")
@@ -296,14 +348,11 @@ def q_correlate_counts(spark, sf_dir):
 @register("correlate_counts_granular")
 def q_correlate_counts_granular(spark, sf_dir):
     enr = enriched(spark, sf_dir)
-    return _out(CR.correlate_counts_by_granule(primaries(enr), enr))
+    return _out(CR.correlate_counts(primaries(enr), enr, granule_seconds=10))
 
 
 # --- prompts -------------------------------------------------------------------
 
-CHAT_CONTEXT_SIZE = 10
-
-
 @register("rca_prompt")
 def q_rca_prompt(spark, sf_dir):
     enr = enriched(spark, sf_dir)
@@ -316,6 +365,24 @@ def q_rca_prompt_full(spark, sf_dir):
     return PR.rca_prompt_full(primaries(enr), enr)
 
 
+@register("rca_prompt_one")
+def q_rca_prompt_one(spark, sf_dir):
+    enr = enriched(spark, sf_dir)
+    return PR.rca_prompt_one(chosen_primary(enr), enr)
+
+
+@register("rca_prompt_full_one")
+def q_rca_prompt_full_one(spark, sf_dir):
+    enr = enriched(spark, sf_dir)
+    return PR.rca_prompt_one(chosen_primary(enr), enr, full=True)
+
+
+@register("single_prompt_plain")
+def q_single_prompt_plain(spark, sf_dir):
+    """Without the columns that older versions wrote."""
+    return PR.single_prompt(FD.latest_per_incident(enriched(spark, sf_dir), tiebreak=["event_id"]))
+
+
 @register("single_prompt")
 def q_single_prompt(spark, sf_dir):
     ext = EN.enrich_extended(enriched(spark, sf_dir))
@@ -333,7 +400,10 @@ def q_chat_history(spark, sf_dir):
 
 @register("chat_prompt")
 def q_chat_prompt(spark, sf_dir):
-    return PR.chat_prompt(conversations(spark, sf_dir), enriched(spark, sf_dir), CHAT_CONTEXT_SIZE)
+    """Conversations as requests; ten events are at hand for each conversation."""
+    conv = F.call_function("div", F.col("event_id"), F.lit(10))
+    context = enriched(spark, sf_dir).select(conv.alias("conv_id"), "event_time", "message")
+    return PR.chat_prompt(PR.chat_requests(conversations(spark, sf_dir), context))
 
 
 # --- streaming (file-source stand-in for the topic, availableNow trigger) ----------
@@ -341,7 +411,7 @@ def q_chat_prompt(spark, sf_dir):
 def _land_topic(spark, sf_dir) -> str:
     """Write the derived topic as wire files for a streaming source to pick up."""
     landing = run_folder(spark, "topic")
-    topic(spark, sf_dir).select("key", "value").write.parquet(landing)
+    FX.wire_records(load_incidents(spark, sf_dir), damage=False).select("key", "value").write.parquet(landing)
     return landing
 
 

@@ -1,27 +1,38 @@
 """DuckDB SQL twins of the registered queries (the correctness oracle).
 
-The driver pre-registers the parquet tables as views.  Each statement
-re-derives the incident fixture from ``events`` with the same rule as
-``lumenlog.sources.fixtures`` and then states the query in plain SQL.
+The driver pre-registers the parquet tables as views.  Every rule, pattern,
+threshold and prompt text is stated here again as a literal, on its own: a
+wrong constant in the engine shows as a difference.
 """
 
 from __future__ import annotations
 
-from ..functions import patterns as P
-from ..sources import fixtures as FX
-from ..functions.text import render_sql
-from ..operators import prompts as PT
-from .catalog import CHAT_CONTEXT_SIZE, FEED_TOP_N, FILTER_LEVEL, FILTER_SERVICE, VERSION_SPLIT
+# fixed values of the twins
+INCIDENT_ID, SERVICE, CATEGORY = r"(INC-\w+)", r"Service: (\S+?)(?:[.,]|$)", r"Category: ([\w\s]+?)(?:[.,]|$)"
+AFFECTED_USERS, DURATION, SYSTEM_ID = r"Affected users: (\d+)", r"(?:Duration|Recovery time): (\d+) minutes", r"(SYS-\d+)"
+TEXT_FIELDS = {
+    "severity": r"Severity: (\w+)",
+    "assignee": r"Assigned to: (\S+?)(?:[.,]?\s|[.,]?$)",
+    "resolver": r"Resolved by: (\S+?)(?:[.,]?\s|[.,]?$)",
+    "escalation_team": r"Escalated to: (\S+?)(?:[.,]?\s|[.,]?$)",
+    "attack_type": r"Attack type: ([^.,]+)",
+    "source_ip": r"Source IP: (\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})",
+    "database": r"Database: (\w+)",
+    "service_lenient": r"Service: ([\w-]+)",
+}
+INT_FIELDS = {
+    "affected_records": r"Records affected: (\d+)",
+    "impact_pct": r"increased by (\d+)%",
+    "cpu_pct": r"CPU: (\d+)%",
+    "memory_pct": r"Memory: (\d+)%",
+    "disk_pct": r"Disk: (\d+)%",
+}
 
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _list(values) -> str:
-    return "[" + ", ".join(_q(v) for v in values) + "]"
-
-
 def _ex(col: str, pattern: str) -> str:
     return f"nullif(regexp_extract({col}, {_q(pattern)}, 1), '')"
 
@@ -30,51 +41,51 @@ def _ex_int(col: str, pattern: str) -> str:
     return f"TRY_CAST({_ex(col, pattern)} AS INTEGER)"
 
 
-_BASE = f"epoch_us(TIMESTAMP {_q(FX.BASE_TIME)})"
-
-INC = f"""
+INC = """
 inc_tok AS (
-  SELECT event_id, ts, level,
-         (CASE level WHEN 'ERROR' THEN 6 WHEN 'WARNING' THEN 3 ELSE 0 END) + event_id % 3 AS tpl,
-         'INC-' || upper(substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS inc,
-         'SYS-' || lpad(CAST(event_id % 500 + 1 AS VARCHAR), 4, '0') AS sys,
-         'svc-' || lpad(CAST(user_id % 15 AS VARCHAR), 2, '0') AS svc,
-         {_list(FX.CATEGORIES)}[event_id % 4 + 1] AS cat,
-         {_list(FX.SEVERITIES)}[event_id % 3 + 1] AS sev,
-         {_list(FX.ATTACKS)}[event_id % 3 + 1] AS atk,
-         CAST(event_id % 476 + 5 AS VARCHAR) AS n,
-         CAST(event_id % 5000 + 1 AS VARCHAR) AS u,
-         CAST(event_id % 6 AS VARCHAR) AS a,
-         CAST(event_id % 31 + 70 AS VARCHAR) AS p
-  FROM (SELECT event_id, ts, user_id,
-               CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'click' THEN 'WARNING' ELSE 'INFO' END AS level
-        FROM events) e
+  SELECT event_id, ts, event_type, value, user_id, CAST(round(value * 100) AS BIGINT) AS cents,
+         coalesce(TRY_CAST(nullif(regexp_extract(props, '(\\d+)', 1), '') AS INTEGER), 0) AS k
+  FROM events
+),
+inc_text AS (
+  SELECT event_id, ts, event_type,
+         concat_ws(', ',
+           event_type || ' reading ' || cents,
+           CASE WHEN k % 3 <> 0 THEN 'INC-' || user_id || 'K' || k END,
+           CASE WHEN k % 7 <> 0 THEN 'Service: node-' || (user_id % 13) || CASE WHEN k % 5 = 0 THEN ' degraded' ELSE '' END END,
+           CASE WHEN k % 4 = 1 THEN 'Category: ' || CASE WHEN value < 5 THEN 'Light Load' WHEN value < 20 THEN 'Steady Load' ELSE 'Heavy Load' END END,
+           CASE WHEN k % 6 = 2 THEN 'Affected users: ' || user_id END,
+           CASE WHEN k % 8 < 3 THEN 'Duration: ' || k || ' minutes' WHEN k % 8 = 3 THEN 'Recovery time: ' || k || ' minutes' END,
+           CASE WHEN k % 9 < 4 THEN 'SYS-' || user_id END,
+           CASE WHEN k % 10 = 4 THEN 'Severity: ' || CASE WHEN value < 10 THEN 'Minor' ELSE 'Major' END END,
+           CASE WHEN k % 11 = 5 THEN 'Assigned to: crew.' || (user_id % 7) END,
+           CASE WHEN k % 11 = 6 THEN 'Resolved by: crew.' || (user_id % 7) END,
+           CASE WHEN k % 11 = 7 THEN 'Escalated to: crew.' || (user_id % 7) END,
+           CASE WHEN k % 12 = 3 THEN 'Attack type: odd ' || event_type END,
+           CASE WHEN k % 12 = 3 THEN 'Source IP: 198.51.100.' || k END,
+           CASE WHEN k % 13 = 1 THEN 'Database: store' || (user_id % 5) END,
+           CASE WHEN k % 13 = 1 THEN 'Records affected: ' || cents END,
+           CASE WHEN k % 14 = 2 THEN 'Load increased by ' || k || '%' END,
+           CASE WHEN k % 15 = 4 THEN 'CPU: ' || k || '%' END,
+           CASE WHEN k % 15 = 4 THEN 'Memory: ' || k || '%' END,
+           CASE WHEN k % 15 = 4 THEN 'Disk: ' || k || '%' END) AS message
+  FROM inc_tok
 ),
 inc AS (
   SELECT event_id,
-         make_timestamp({_BASE} + (epoch_us(ts) - {_BASE}) // {FX.TIME_COMPRESSION}) AS event_time,
-         level,
-         {_list(FX.ACTIONS)}[tpl + 1] AS action,
-         CASE tpl
-           WHEN 0 THEN 'Ticket ' || inc || ' closed. Service: ' || svc || '. Duration: ' || n || ' minutes. Affected users: ' || u || '. Resolved by: agent.' || a
-           WHEN 1 THEN 'Host ' || sys || ' back after ' || cat || '. Service: ' || svc || '. Recovery time: ' || n || ' minutes. State: normal'
-           WHEN 2 THEN 'Planned work finished for ' || svc || '. Host: ' || sys || '. Duration: ' || n || ' minutes. Nothing found'
-           WHEN 3 THEN 'Ticket ' || inc || ' opened. Service: ' || svc || '. Category: ' || cat || '. Severity: ' || sev || '. Affected users: ' || u || '. Assigned to: team.' || a
-           WHEN 4 THEN 'Slow responses seen on ' || svc || '. Host: ' || sys || '. Latency increased by ' || n || '%. Under review'
-           WHEN 5 THEN 'Limits passed on ' || sys || '. Service: ' || svc || '. CPU: ' || p || '%, Memory: ' || p || '%, Disk: ' || p || '%'
-           WHEN 6 THEN 'Major ticket ' || inc || '. Service: ' || svc || ' DOWN. Category: ' || cat || '. Affected users: ' || u || '. Escalated to: L' || a || '-Desk'
-           WHEN 7 THEN 'Intrusion seen. Ticket: ' || inc || '. Host: ' || sys || '. Attack type: ' || atk || '. Source IP: 203.0.113.' || p || '. Act now'
-           WHEN 8 THEN 'Bad records seen. Ticket: ' || inc || '. Host: ' || sys || '. Database: db_' || a || '. Records affected: ' || u || '. Restore started'
-         END AS message
-  FROM inc_tok
+         make_timestamp(epoch_us(TIMESTAMP '2024-01-01') + (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // 60) AS event_time,
+         CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'click' THEN 'WARNING' ELSE 'INFO' END AS level,
+         event_type || CASE WHEN contains(message, 'INC-') THEN '_case' ELSE '_note' END AS action,
+         message
+  FROM inc_text
 )"""
 
 ENR = f"""
 enr AS (
   SELECT event_time, level, message,
-         {_ex('message', P.INCIDENT_ID_PATTERN)} AS incident_id,
-         {_ex('message', P.SERVICE_PATTERN)} AS service,
-         {_ex('message', P.CATEGORY_PATTERN)} AS category,
+         {_ex('message', INCIDENT_ID)} AS incident_id,
+         {_ex('message', SERVICE)} AS service,
+         {_ex('message', CATEGORY)} AS category,
          event_id
   FROM inc
 )"""
@@ -82,10 +93,10 @@ enr AS (
 EXT = f"""
 ext AS (
   SELECT *,
-         {_ex_int('message', P.AFFECTED_USERS_PATTERN)} AS affected_users,
-         {_ex_int('message', P.DURATION_PATTERN)} AS duration,
-         {_ex('message', P.SYSTEM_ID_PATTERN)} AS system_id,
-         level = {_q(P.ALERT_LEVEL)} AS is_critical
+         {_ex_int('message', AFFECTED_USERS)} AS affected_users,
+         {_ex_int('message', DURATION)} AS duration,
+         {_ex('message', SYSTEM_ID)} AS system_id,
+         level = 'ERROR' AS is_critical
   FROM enr
 )"""
 
@@ -100,19 +111,19 @@ latest AS (
 
 DEC = f"""
 dec AS (
-  SELECT CASE WHEN event_id % {FX.CUT_BODY_EVERY} = 0 OR event_id % {FX.BAD_TIME_EVERY} = 0
+  SELECT CASE WHEN event_id % 101 = 0 OR event_id % 107 = 0
               THEN NULL ELSE event_time END AS event_time,
-         CASE WHEN event_id % {FX.CUT_BODY_EVERY} = 0 OR event_id % {FX.NO_LEVEL_EVERY} = 0
+         CASE WHEN event_id % 101 = 0 OR event_id % 103 = 0
               THEN NULL ELSE level END AS level,
-         CASE WHEN event_id % {FX.CUT_BODY_EVERY} = 0 THEN NULL ELSE message END AS message,
+         CASE WHEN event_id % 101 = 0 THEN NULL ELSE message END AS message,
          event_id
   FROM inc
 )"""
 
 
 CORR_COND = (f"r.service = p.service AND r.event_time BETWEEN p.event_time - INTERVAL "
-             f"{P.CORRELATION_HALF_WIDTH_MINUTES} MINUTE AND p.event_time + INTERVAL "
-             f"{P.CORRELATION_HALF_WIDTH_MINUTES} MINUTE AND r.incident_id IS DISTINCT FROM p.incident_id")
+             f"30 MINUTE AND p.event_time + INTERVAL "
+             f"30 MINUTE AND r.incident_id IS DISTINCT FROM p.incident_id")
 
 
 def render_ts(col: str) -> str:
@@ -159,9 +170,8 @@ def oracle_sql() -> dict[str, str]:
 
     q["enrich_extended"] = with_(INC, ENR, EXT, body="SELECT * FROM ext")
 
-    tf = ",\n".join(
-        (_ex_int("message", pat) if name in P.TEMPLATE_INT_FIELDS else _ex("message", pat)) + f" AS {name}"
-        for name, pat in P.TEMPLATE_FIELD_PATTERNS.items())
+    tf = ",\n".join([f"{_ex('message', p)} AS {n}" for n, p in TEXT_FIELDS.items()]
+                    + [f"{_ex_int('message', p)} AS {n}" for n, p in INT_FIELDS.items()])
     q["enrich_template_fields"] = with_(INC, ENR, body=f"SELECT *, {tf} FROM enr")
 
     q["window_counts"] = with_(INC, ENR, WINDOW_COUNTS, body="SELECT * FROM wc")
@@ -169,7 +179,7 @@ def oracle_sql() -> dict[str, str]:
     q["alerts"] = with_(INC, ENR, WINDOW_COUNTS, body=f"""
 SELECT window_start, window_end, level, count,
        {alert_text_sql('count', 'level', 'window_start', 'window_end')} AS alert_text
-FROM wc WHERE level = {_q(P.ALERT_LEVEL)} AND count >= {P.ALERT_MIN_COUNT}""")
+FROM wc WHERE level = 'ERROR' AND count >= 3""")
 
     q["alerts_first_crossing"] = with_(INC, ENR, body=f"""
 SELECT window_start, window_end, level, event_time AS crossing_time, event_id AS crossing_event_id
@@ -178,8 +188,8 @@ FROM (
          make_timestamp((epoch_us(event_time) // {WINDOW_US}) * {WINDOW_US} + {WINDOW_US}) AS window_end,
          level, event_time, event_id,
          row_number() OVER (PARTITION BY epoch_us(event_time) // {WINDOW_US} ORDER BY event_time, event_id) AS rn
-  FROM enr WHERE level = {_q(P.ALERT_LEVEL)} AND event_time IS NOT NULL
-) t WHERE rn = {P.ALERT_MIN_COUNT}""")
+  FROM enr WHERE level = 'ERROR' AND event_time IS NOT NULL
+) t WHERE rn = 3""")
 
     q["hourly_rollup"] = with_(INC, ENR, body="""
 SELECT date_trunc('hour', event_time) AS event_hour, level, count(*) AS count
@@ -213,17 +223,32 @@ SELECT * FROM (
         FROM enr) t
 ) c WHERE event_time IS NOT NULL""")
     q["feed_recent"] = with_(INC, ENR, body=f"""
-SELECT {cols} FROM enr ORDER BY event_time DESC NULLS LAST, event_id LIMIT {FEED_TOP_N}""")
+SELECT {cols} FROM enr ORDER BY event_time DESC NULLS LAST, event_id""")
     q["feed_filtered"] = with_(INC, ENR, body=f"""
-SELECT {cols} FROM enr WHERE level = {_q(FILTER_LEVEL)} AND service = {_q(FILTER_SERVICE)}
+SELECT {cols} FROM enr WHERE level = 'WARNING' AND service = 'node-3'
 ORDER BY event_time DESC NULLS LAST, event_id""")
     q["feed_json"] = with_(INC, ENR, body=f"""
 SELECT to_json({{'event_time': {render_iso_local('event_time')}, 'level': level, 'message': message,
                  'incident_id': incident_id, 'service': service, 'category': category}}) AS record
+FROM enr""")
+    q["kpis_empty"] = with_(INC, ENR, body="""
+SELECT count(*) AS total, count(*) FILTER (WHERE level = 'ERROR') AS critical,
+       count(*) FILTER (WHERE level = 'WARNING') AS warning, count(DISTINCT service) AS services
+FROM enr WHERE level = 'NO SUCH LEVEL'""")
+    q["feed_clean_nan"] = with_(INC, body="""
+SELECT inc.event_id, event_time, CASE WHEN inc.event_id % 5 = 0 THEN NULL ELSE events.value END AS value
+FROM inc JOIN events ON inc.event_id = events.event_id""")
+    q["strict_times"] = with_(INC, ENR, body=f"""
+SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_time END AS event_time FROM enr""")
+    q["csv_union_by_header"] = with_(INC, ENR, body="""
+SELECT event_time, level, message,
+       CASE WHEN event_id % 3 = 2 THEN NULL ELSE incident_id END AS incident_id,
+       CASE WHEN event_id % 3 = 2 THEN NULL ELSE service END AS service,
+       CASE WHEN event_id % 3 = 0 THEN category END AS category
 FROM enr""")
     q["has_incident_ids"] = with_(INC, ENR, body=f"""
 SELECT coalesce(bool_or(incident_id IS NOT NULL), false) AS has_incident_ids
-FROM enr WHERE level = {_q(FILTER_LEVEL)}""")
+FROM enr WHERE level = 'WARNING'""")
     q["distinct_levels"] = with_(INC, ENR, body="SELECT DISTINCT level FROM enr")
     q["distinct_services"] = with_(INC, ENR, body="SELECT DISTINCT service FROM enr WHERE service IS NOT NULL")
     q["distinct_incident_ids"] = with_(INC, ENR, body=
@@ -234,10 +259,14 @@ SELECT {cols} FROM latest
 WHERE incident_id = (SELECT min(incident_id) FROM enr WHERE service IS NOT NULL)""")
 
     # --- versions and files ---------------------------------------------------
-    q["union_versions"] = with_(INC, ENR, EXT, body=f"""
-SELECT * FROM enr WHERE event_time < TIMESTAMP {_q(VERSION_SPLIT)}
+    # damaged records have no time
+    dec_ext = EXT.replace("ext AS", "dec_ext AS").replace("FROM enr", "FROM dec_enr_id")
+    dec_enr_id = ENR.replace("enr AS", "dec_enr_id AS").replace("FROM inc", "FROM dec")
+    q["union_versions"] = with_(INC, DEC, dec_enr_id, dec_ext, body=f"""
+SELECT * FROM dec_ext WHERE event_time >= TIMESTAMP '2024-01-01 06:00:00'
 UNION ALL BY NAME
-SELECT * FROM ext WHERE event_time >= TIMESTAMP {_q(VERSION_SPLIT)}""")
+SELECT event_time, level, message, incident_id, service, category, event_id FROM dec_ext
+WHERE event_time IS NULL OR event_time < TIMESTAMP '2024-01-01 06:00:00'""")
     six = "SELECT event_time, level, message, incident_id, service, category FROM enr"
     q["csv_roundtrip"] = with_(INC, ENR, body=six)
     q["parquet_roundtrip"] = with_(INC, ENR, body=six)
@@ -247,12 +276,12 @@ SELECT * FROM ext WHERE event_time >= TIMESTAMP {_q(VERSION_SPLIT)}""")
     q["decode_plain"] = with_(INC, body="SELECT event_time, level, message, event_id FROM inc")
     q["frame_schema_ids"] = with_(INC, body=f"""
 SELECT '00' AS magic,
-       CAST(CASE WHEN event_id % {FX.SCHEMA_V2_EVERY} = 0 THEN 2 ELSE 1 END AS BIGINT) AS schema_id,
+       CAST(CASE WHEN event_id % 109 = 0 THEN 2 ELSE 1 END AS BIGINT) AS schema_id,
        count(*) AS count
 FROM inc GROUP BY 1, 2""")
     q["decode_registry"] = with_(INC, DEC, body=f"""
-SELECT dec.*, CAST(CASE WHEN event_id % {FX.SCHEMA_V2_EVERY} = 0 THEN 2 ELSE 1 END AS BIGINT) AS schema_id,
-       CASE WHEN event_id % {FX.SCHEMA_V2_EVERY} = 0 THEN 'v2' ELSE 'v1' END AS version
+SELECT dec.*, CAST(CASE WHEN event_id % 109 = 0 THEN 2 ELSE 1 END AS BIGINT) AS schema_id,
+       CASE WHEN event_id % 109 = 0 THEN 'v2' ELSE 'v1' END AS version
 FROM dec""")
     q["frame_roundtrip"] = with_(INC, body="SELECT event_id, event_time, level, message, action FROM inc")
     q["quality_split"] = with_(INC, DEC, body="""
@@ -277,7 +306,7 @@ WHERE p.incident_id = (SELECT min(incident_id) FROM enr WHERE service IS NOT NUL
 latest_f AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY incident_id ORDER BY event_time DESC NULLS LAST, event_id) AS rn
-    FROM enr WHERE incident_id IS NOT NULL AND level = {_q(FILTER_LEVEL)}) t
+    FROM enr WHERE incident_id IS NOT NULL AND level = 'WARNING') t
   WHERE rn = 1
 )"""
     q["correlate_filtered"] = with_(INC, ENR, latest_f, body=f"""
@@ -288,23 +317,41 @@ SELECT p.event_time, p.level, p.message, p.incident_id, p.service, p.category, p
 FROM latest p LEFT JOIN enr r ON {CORR_COND}
 GROUP BY ALL""")
     q["correlate_counts_granular"] = q["correlate_counts"]
+    q["report_correlate_counts_filtered"] = q["correlate_counts"].replace(LATEST, latest_f).replace("FROM latest p", "FROM latest_f p")
+    q["correlate_one_oldest_first"] = q["correlate_one"] + " ORDER BY r.event_time, r.event_id"
+    q["correlate_one_newest_first"] = q["correlate_one"] + " ORDER BY r.event_time DESC, r.event_id"
 
     # --- prompts -----------------------------------------------------------------
-    line = render_sql(PT.CORRELATED_LINE, time=render_ts("event_time"), level="level", message="message")
-    def rca(template, order, extra):
+    def none(expr):
+        return f"coalesce(CAST({expr} AS VARCHAR), 'None')"
+
+    line = f"'- ' || {none(render_ts('event_time'))} || ' | ' || {none('level')} || ' | ' || {none('message')}"
+    wanted = """
+WANTED (Markdown, cite evidence lines, say "unknown" rather than guess)
+"""
+
+    def rca(full, chosen=""):
+        order = "epoch_us(event_time)" + ("" if full else " DESC")
         txt = f"""
 pairs AS (SELECT p.incident_id AS primary_id, r.* FROM latest p JOIN enr r ON {CORR_COND}),
 txt AS (SELECT primary_id, string_agg({line}, chr(10) ORDER BY {order}, event_id) AS correlated
         FROM pairs GROUP BY primary_id)"""
-        slots = dict(incident_id="p.incident_id", service="p.service", message="p.message",
-                     correlated=f"coalesce(txt.correlated, {_q(PT.NO_CORRELATED)})", **extra)
+        found = "coalesce(txt.correlated, '(nothing else on this service in that hour)')"
+        if full:
+            prompt = (f"""'EVIDENCE\n[primary] ' || {none('p.incident_id')} || ' at ' || {none(render_ts('p.event_time'))} || ', level ' || {none('p.level')} || ', category ' || {none('p.category')} || ', on ' || {none('p.service')} || ': ' || {none('p.message')} || '\n[same service, half an hour either way, in order of time]\n' || {found} || """
+                      f"""'\n{wanted}1. Impact, from first sign to recovery.\n2. Sequence: which line led to which, with the gaps in between.\n3. Cause: one explanation that covers all lines; list those it leaves out.\n4. Checklist for ' || {none('p.service')} || ': stop it now, keep it from coming back.\n'""")
+        else:
+            prompt = (f"""'EVIDENCE\n[primary] ' || {none('p.incident_id')} || ' on ' || {none('p.service')} || ': ' || {none('p.message')} || '\n[same service, half an hour either way]\n' || {found} || """
+                      f"""'\n{wanted}1. Impact: who noticed, and how.\n2. Sequence: a table of time, line and what it shows.\n3. Cause: the best-supported explanation and what would disprove it.\n4. Repair: what to do in this shift, what to change for good.\n'""")
         return with_(INC, ENR, LATEST, txt, body=f"""
-SELECT p.incident_id, {render_sql(template, **slots)} AS prompt
-FROM latest p LEFT JOIN txt ON txt.primary_id = p.incident_id""")
-    q["rca_prompt"] = rca(PT.RCA_TEMPLATE, "epoch_us(event_time) DESC", {})
-    q["rca_prompt_full"] = rca(PT.RCA_FULL_TEMPLATE, "epoch_us(event_time)",
-                               dict(level="p.level", category="p.category",
-                                    event_time=render_ts("p.event_time")))
+SELECT p.incident_id, {prompt} AS prompt
+FROM latest p LEFT JOIN txt ON txt.primary_id = p.incident_id {chosen}""")
+
+    smallest = "WHERE p.incident_id = (SELECT min(incident_id) FROM enr WHERE service IS NOT NULL)"
+    q["rca_prompt"] = rca(False)
+    q["rca_prompt_full"] = rca(True)
+    q["rca_prompt_one"] = rca(False, smallest)
+    q["rca_prompt_full_one"] = rca(True, smallest)
 
     latest_ext = """
 latest_ext AS (
@@ -313,50 +360,56 @@ latest_ext AS (
     FROM ext WHERE incident_id IS NOT NULL) t
   WHERE rn = 1
 )"""
-    single = render_sql(PT.SINGLE_TEMPLATE, incident_id="incident_id", level="level", service="service",
-                        category="category", event_time=render_ts("event_time"), message="message",
-                        affected_users="affected_users", duration="duration", system_id="system_id",
-                        is_critical="CASE WHEN is_critical THEN 'True' WHEN NOT is_critical THEN 'False' END")
-    q["single_prompt"] = with_(INC, ENR, EXT, latest_ext, body=f"SELECT incident_id, {single} AS prompt FROM latest_ext")
 
-    hist_line = render_sql(PT.HISTORY_LINE, role="role", text="text")
+    def single(users, minutes, host, critical, table):
+        return f"""
+SELECT incident_id, 'RECORD\nid=' || {none('incident_id')} || '; level=' || {none('level')} || '; service=' || {none('service')} || '; category=' || {none('category')} || '; time=' || {none(render_ts('event_time'))} || '\nusers=' || {none(users)} || '; minutes=' || {none(minutes)} || '; host=' || {none(host)} || '; critical=' || {none(critical)} || '\ntext=' || {none('message')} || '\n
+WANTED (Markdown, from this record alone)
+- Likely cause, and what record would confirm it.
+- Next steps by hour, by day, by month.
+- What it may cost if it happens again, and which signal to alert on.\n' AS prompt FROM {table}"""
+
+    crit = "CASE WHEN is_critical THEN 'True' WHEN NOT is_critical THEN 'False' END"
+    q["single_prompt"] = with_(INC, ENR, EXT, latest_ext, body=single("affected_users", "duration", "system_id", crit, "latest_ext"))
+    q["single_prompt_plain"] = with_(INC, ENR, LATEST, body=single("'N/A'", "'N/A'", "'N/A'", "'N/A'", "latest"))
+
+    hist_line = f"'<' || {none('c.role')} || '> ' || {none('c.text')}"
     chat = f"""
 lu AS (SELECT conv_id, max(turn) AS last_user FROM conversations WHERE role = 'user' GROUP BY conv_id),
 hist AS (
   SELECT c.conv_id,
          max(CASE WHEN c.turn = lu.last_user THEN c.text END) AS message,
          coalesce(string_agg(CASE WHEN lu.last_user IS NULL OR c.turn < lu.last_user THEN {hist_line} END,
-                             chr(10) ORDER BY c.turn, {hist_line}), '') AS history,
+                             chr(10) ORDER BY c.turn, c.role, c.text), '') AS history,
          count(*) FILTER (WHERE lu.last_user IS NULL OR c.turn < lu.last_user) AS history_turns
   FROM conversations c LEFT JOIN lu ON c.conv_id = lu.conv_id
   GROUP BY c.conv_id
 )"""
     q["chat_history"] = with_(chat, body="SELECT conv_id, message, history, history_turns FROM hist")
-    ctx_line = render_sql(PT.CONTEXT_LINE, time=render_ts("event_time"), message="message")
     ctx = f"""
 ctx AS (
-  SELECT coalesce(string_agg(line, chr(10) ORDER BY us DESC, event_id), '') AS context
-  FROM (SELECT {ctx_line} AS line, epoch_us(event_time) AS us, event_id
-        FROM enr WHERE event_time IS NOT NULL
-        ORDER BY event_time DESC, event_id LIMIT {CHAT_CONTEXT_SIZE}) t
+  SELECT event_id // 10 AS conv_id,
+         string_agg('* ' || {none(render_ts('event_time'))} || ' ' || {none('message')}, chr(10) ORDER BY event_time DESC, message) AS context
+  FROM enr GROUP BY 1
 )"""
-    chat_p = render_sql(PT.CHAT_TEMPLATE, history="hist.history", context="(SELECT context FROM ctx)",
-                        message="hist.message")
-    q["chat_prompt"] = with_(INC, ENR, ctx, chat, body=f"SELECT hist.conv_id, {chat_p} AS prompt FROM hist")
+    q["chat_prompt"] = with_(INC, ENR, ctx, chat, body=f"""
+SELECT hist.conv_id, 'TRANSCRIPT\n' || hist.history || '\nINCIDENTS AT HAND\n' || coalesce(ctx.context, '') || '\nQUESTION\n' || {none('hist.message')} ||
+       '\nAnswer the question for an engineer on call; use the transcript and the incidents.\n' AS prompt
+FROM hist LEFT JOIN ctx ON hist.conv_id = ctx.conv_id""")
 
     # --- streaming ---------------------------------------------------------------
     dec_enr = f"""
 dec_enr AS (
   SELECT event_time, level, message,
-         {_ex('message', P.INCIDENT_ID_PATTERN)} AS incident_id,
-         {_ex('message', P.SERVICE_PATTERN)} AS service,
-         {_ex('message', P.CATEGORY_PATTERN)} AS category
-  FROM dec
+         {_ex('message', INCIDENT_ID)} AS incident_id,
+         {_ex('message', SERVICE)} AS service,
+         {_ex('message', CATEGORY)} AS category
+  FROM inc
 )"""
-    q["stream_enriched_sink"] = with_(INC, DEC, dec_enr, body="SELECT * FROM dec_enr")
-    q["stream_alerts_final"] = with_(INC, DEC, dec_enr, WINDOW_COUNTS.replace("FROM enr", "FROM dec_enr"), body=f"""
+    q["stream_enriched_sink"] = with_(INC, dec_enr, body="SELECT * FROM dec_enr")
+    q["stream_alerts_final"] = with_(INC, dec_enr, WINDOW_COUNTS.replace("FROM enr", "FROM dec_enr"), body=f"""
 SELECT window_start, window_end, level, count,
        {alert_text_sql('count', 'level', 'window_start', 'window_end')} AS alert_text
-FROM wc WHERE level = {_q(P.ALERT_LEVEL)} AND count >= {P.ALERT_MIN_COUNT}""")
+FROM wc WHERE level = 'ERROR' AND count >= 3""")
 
     return q

@@ -1,8 +1,9 @@
-"""Declared schemas (no inference anywhere in the engine)."""
+"""Declared schemas (no inference anywhere in the engine).
 
-from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, IntegerType,
-                               LongType, StringType, StructField, StructType,
-                               TimestampType)
+Fixed values: the field names and their order are the wire and file contract.
+"""
+
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructField, StructType, TimestampType
 
 # JSON body of one log event on the wire; all three keys are required by the
 # producer contract but nullable here, because decoding is permissive.
@@ -29,21 +30,6 @@ ENRICHED_SCHEMA = StructType([
     StructField("category", StringType(), True),
 ])
 
-# Columns an older job version was expected to write.
-LEGACY_EXTRA_SCHEMA = StructType([
-    StructField("affected_users", IntegerType(), True),
-    StructField("duration", IntegerType(), True),
-    StructField("system_id", StringType(), True),
-    StructField("is_critical", BooleanType(), True),
-])
-
-WINDOW_COUNT_SCHEMA = StructType([
-    StructField("window_start", TimestampType(), True),
-    StructField("window_end", TimestampType(), True),
-    StructField("level", StringType(), True),
-    StructField("count", LongType(), True),
-])
-
 # Chat request: new message, incident context and prior turns.
 CHAT_REQUEST_SCHEMA = StructType([
     StructField("message", StringType(), True),

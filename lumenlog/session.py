@@ -46,8 +46,9 @@ def pin_utc(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """Folder on shared storage for sink output, checkpoints and lineage cuts.
 
-    Uses the cluster's ``spark.checkpoint.dir``.  Only when none is set (local
-    runs, tests) a folder is created and registered as the checkpoint dir.
+    Uses the cluster's ``spark.checkpoint.dir``.  Where none is set, a local
+    session gets a folder of its own; on a cluster, whose executors do not share
+    the driver's disk, that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -56,6 +57,8 @@ def shared_root(spark: SparkSession) -> str:
             # SparkContext appends its own uuid folder; keep the parent.
             root = os.path.dirname(jdir.get().rstrip("/"))
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="lumenlog-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

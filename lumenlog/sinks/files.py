@@ -64,17 +64,23 @@ def write_incidents(df: DataFrame, path: str, fmt: str = "parquet", hour: str =
         w.parquet(path)
 
 
-def compact(spark, src: str, dst: str, fmt: str = "parquet", files_per_hour: int = 1) -> None:
-    """Rewrite small per-batch files into ``files_per_hour`` files per hour bucket.
+def compact(spark, src: str, dst: str, fmt: str = "parquet", files_per_hour: int | None = None,
+            target_bytes: int = 128 << 20) -> None:
+    """Rewrite small per-batch files into fewer files per hour bucket.
 
-    A separate batch job; the shuffle is by hour bucket (plus a spread key
-    when more than one file per hour is requested).
+    A separate batch job; the shuffle is by hour bucket and a spread key, so an
+    hour goes to as many tasks as its share of ``target_bytes`` files asks for
+    (``files_per_hour`` sets the number instead).
     """
-    from ..sources.files import read_incident_dir
+    from ..sources.files import list_files, read_incident_dir
     df = read_incident_dir(spark, src, fmt=fmt)
     if fmt == "csv":
         from ..operators.feed import clean_feed
         df = clean_feed(df, drop_bad_time=False)
+    if files_per_hour is None:
+        found = list_files(spark, src, f".{fmt}")
+        hours = len({name.rsplit("/", 1)[0] for name, _ in found}) or 1
+        files_per_hour = max(1, -(-sum(size for _, size in found) // (hours * target_bytes)))
     spread = F.pmod(F.xxhash64("message", "event_time"), F.lit(files_per_hour))
     out = with_hour(df, "event").repartition("event_hour", spread).drop("event_hour")
     write_incidents(out, dst, fmt=fmt, mode="overwrite")

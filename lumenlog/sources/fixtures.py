@@ -2,12 +2,16 @@
 
 The driver tables carry no incident text, so each ``events`` row is turned
 into one log event: a compressed event time (30 days -> 12 hours, so that
-5-minute windows are dense), a level, a record key (action) and a message
-built from one of nine sentence templates.  The derivation is a single
-narrow projection (no shuffle) and scales with ``events``.
+5-minute windows are dense), a level, a record key (action) and a message.
 
-The rule is stated in FIXTURES.md §2; the DuckDB twin lives in
-``lumenlog.plans.oracle``.
+A message is a list of independent parts.  Each part is there or not by its
+own rule on the row's ``props`` number, and its values come from the row
+(``value``, ``props``, ``user_id``, ``event_type``), so every combination of
+extraction markers occurs.  The derivation is a single narrow projection (no
+shuffle) and scales with ``events``.
+
+The rule is stated in FIXTURES.md §2; the DuckDB twin in
+``lumenlog.plans.oracle`` states it again on its own.
 """
 
 from __future__ import annotations
@@ -17,90 +21,62 @@ from pyspark.sql import functions as F
 
 from ..session import pin_utc
 
-# --- fixed values: fixture vocabulary -----------------------------------------
 BASE_TIME = "2024-01-01 00:00:00"
 TIME_COMPRESSION = 60
-CATEGORIES = ["Disk Fault", "Code Defect", "Link Loss", "Access Abuse"]
-SEVERITIES = ["High", "Medium", "Low"]
-ATTACKS = ["Phishing", "Brute Force", "Cross-Site Scripting"]
-# record key per template 0..8
-ACTIONS = ["ticket_closed", "host_recovered", "work_finished",
-           "ticket_opened", "slow_responses", "limits_passed",
-           "major_ticket", "intrusion_seen", "bad_records"]
-# level -> template base
+SERVICES = 13
 LEVEL_OF_EVENT_TYPE = {"error": "ERROR", "click": "WARNING"}   # otherwise INFO
-TEMPLATE_BASE = {"ERROR": 6, "WARNING": 3, "INFO": 0}
-
-
-def _pick(idx: Column, values: list[str]) -> Column:
-    """``values[idx]`` as a literal array lookup (JVM-side)."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
 
-def _lpad_num(c: Column, width: int) -> Column:
-    return F.lpad(c.cast("string"), width, "0")
+def _text(*parts) -> Column:
+    return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
+
+
+def message_parts() -> list[Column]:
+    """The parts of a message, in order; a part that is absent is null."""
+    k, cents, user, kind = (F.col(c) for c in ("k", "cents", "user_id", "event_type"))
+    service = _text("Service: node-", user % SERVICES)
+    load = F.when(F.col("value") < 5, "Light Load").when(F.col("value") < 20, "Steady Load").otherwise("Heavy Load")
+    return [
+        _text(kind, " reading ", cents),
+        F.when(k % 3 != 0, _text("INC-", user, "K", k)),
+        # a word after the name hides it from the service pattern
+        F.when((k % 7 != 0) & (k % 5 == 0), _text(service, " degraded")).when(k % 7 != 0, service),
+        F.when(k % 4 == 1, _text("Category: ", load)),
+        F.when(k % 6 == 2, _text("Affected users: ", user)),
+        F.when(k % 8 < 3, _text("Duration: ", k, " minutes")).when(k % 8 == 3, _text("Recovery time: ", k, " minutes")),
+        F.when(k % 9 < 4, _text("SYS-", user)),
+        F.when(k % 10 == 4, _text("Severity: ", F.when(F.col("value") < 10, "Minor").otherwise("Major"))),
+        F.when(k % 11 == 5, _text("Assigned to: crew.", user % 7)),
+        F.when(k % 11 == 6, _text("Resolved by: crew.", user % 7)),
+        F.when(k % 11 == 7, _text("Escalated to: crew.", user % 7)),
+        F.when(k % 12 == 3, _text("Attack type: odd ", kind)),
+        F.when(k % 12 == 3, _text("Source IP: 198.51.100.", k)),
+        F.when(k % 13 == 1, _text("Database: store", user % 5)),
+        F.when(k % 13 == 1, _text("Records affected: ", cents)),
+        F.when(k % 14 == 2, _text("Load increased by ", k, "%")),
+        F.when(k % 15 == 4, _text("CPU: ", k, "%")),
+        F.when(k % 15 == 4, _text("Memory: ", k, "%")),
+        F.when(k % 15 == 4, _text("Disk: ", k, "%")),
+    ]
 
 
 def incidents_from_events(events: DataFrame) -> DataFrame:
-    """events(event_id, ts, user_id, event_type, ...) -> log events.
+    """events(event_id, ts, user_id, event_type, value, props) -> log events.
 
     Output: event_id, event_time (timestamp, UTC), level, action, message.
     """
-    eid = F.col("event_id")
     t0 = f"unix_micros(timestamp'{BASE_TIME}')"
     event_time = F.expr(
         f"timestamp_micros({t0} + (unix_micros(cast(ts as timestamp)) - {t0}) div {TIME_COMPRESSION})")
-
     level = F.lit("INFO")
     for event_type, lvl in LEVEL_OF_EVENT_TYPE.items():
         level = F.when(F.col("event_type") == event_type, lvl).otherwise(level)
-    base = F.lit(TEMPLATE_BASE["INFO"])
-    for lvl, b in TEMPLATE_BASE.items():
-        base = F.when(level == lvl, b).otherwise(base)
-    tpl = base + eid % 3
-
-    inc = F.concat(F.lit("INC-"), F.upper(F.substring(F.md5(eid.cast("string")), 1, 8)))
-    sysid = F.concat(F.lit("SYS-"), _lpad_num(eid % 500 + 1, 4))
-    svc = F.concat(F.lit("svc-"), _lpad_num(F.col("user_id") % 15, 2))
-    cat = _pick(eid % 4, CATEGORIES)
-    sev = _pick(eid % 3, SEVERITIES)
-    atk = _pick(eid % 3, ATTACKS)
-    n = (eid % 476 + 5).cast("string")
-    u = (eid % 5000 + 1).cast("string")
-    a = (eid % 6).cast("string")
-    p = (eid % 31 + 70).cast("string")
-
-    sentences = [
-        F.concat(F.lit("Ticket "), inc, F.lit(" closed. Service: "), svc, F.lit(". Duration: "), n,
-                 F.lit(" minutes. Affected users: "), u, F.lit(". Resolved by: agent."), a),
-        F.concat(F.lit("Host "), sysid, F.lit(" back after "), cat, F.lit(". Service: "), svc,
-                 F.lit(". Recovery time: "), n, F.lit(" minutes. State: normal")),
-        F.concat(F.lit("Planned work finished for "), svc, F.lit(". Host: "), sysid,
-                 F.lit(". Duration: "), n, F.lit(" minutes. Nothing found")),
-        F.concat(F.lit("Ticket "), inc, F.lit(" opened. Service: "), svc, F.lit(". Category: "), cat,
-                 F.lit(". Severity: "), sev, F.lit(". Affected users: "), u, F.lit(". Assigned to: team."), a),
-        F.concat(F.lit("Slow responses seen on "), svc, F.lit(". Host: "), sysid,
-                 F.lit(". Latency increased by "), n, F.lit("%. Under review")),
-        F.concat(F.lit("Limits passed on "), sysid, F.lit(". Service: "), svc, F.lit(". CPU: "), p,
-                 F.lit("%, Memory: "), p, F.lit("%, Disk: "), p, F.lit("%")),
-        F.concat(F.lit("Major ticket "), inc, F.lit(". Service: "), svc, F.lit(" DOWN. Category: "), cat,
-                 F.lit(". Affected users: "), u, F.lit(". Escalated to: L"), a, F.lit("-Desk")),
-        F.concat(F.lit("Intrusion seen. Ticket: "), inc, F.lit(". Host: "), sysid, F.lit(". Attack type: "),
-                 atk, F.lit(". Source IP: 203.0.113."), p, F.lit(". Act now")),
-        F.concat(F.lit("Bad records seen. Ticket: "), inc, F.lit(". Host: "), sysid, F.lit(". Database: db_"),
-                 a, F.lit(". Records affected: "), u, F.lit(". Restore started")),
-    ]
-    message = F.when(tpl == 0, sentences[0])
-    for i in range(1, 9):
-        message = message.when(tpl == i, sentences[i])
-
-    return events.select(
-        eid.alias("event_id"),
-        event_time.alias("event_time"),
-        level.alias("level"),
-        _pick(tpl, ACTIONS).alias("action"),
-        message.alias("message"),
-    )
+    k = F.coalesce(F.regexp_extract("props", r"(\d+)", 1).try_cast("int"), F.lit(0))
+    rows = events.select("event_id", event_time.alias("event_time"), level.alias("level"), "event_type", "user_id", "value",
+                         k.alias("k"), F.round(F.col("value") * 100).cast("long").alias("cents"))
+    action = _text(F.col("event_type"), F.when(F.col("message").contains("INC-"), "_case").otherwise("_note"))
+    return (rows.withColumn("message", F.concat_ws(", ", *message_parts()))
+            .select("event_id", "event_time", "level", action.alias("action"), "message"))
 
 
 # --- fixed values: dirty-topic rule -------------------------------------------
@@ -113,16 +89,18 @@ SCHEMA_V2_EVERY = 109       # framed with schema id 2 instead of 1
 BAD_TIME_TEXT = "nope"
 
 
-def wire_records(incidents: DataFrame) -> DataFrame:
+def wire_records(incidents: DataFrame, damage: bool = True) -> DataFrame:
     """The topic as it arrives: (key, value, event_id) with framed JSON values.
 
-    Derived one-to-one from the incidents; a fixed share of records is
-    damaged by the dirty-topic rule above so decoding and quarantine have
-    real work on every scale factor.
+    Derived one-to-one from the incidents.  With ``damage`` a fixed share of
+    records is damaged by the dirty-topic rule above, so that decoding and
+    quarantine have real work on every scale factor.
     """
     from ..functions.timefmt import render_iso
-    from .codec import frame
+    from .codec import frame, to_wire
 
+    if not damage:
+        return to_wire(incidents, key_col="action", keep=["event_id"])
     eid = F.col("event_id")
     ts_text = F.when(eid % BAD_TIME_EVERY == 0, F.lit(BAD_TIME_TEXT)).otherwise(render_iso(F.col("event_time")))
     full = F.to_json(F.struct(ts_text.alias("timestamp"), F.col("level").alias("level"),
@@ -161,21 +139,5 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def load_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log events derived from ``{sf_dir}/events.parquet``."""
     pin_utc(spark)
-    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    return incidents_from_events(spread_small_scan(spark, events, "event_id"))
-
-
-def spread_small_scan(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan that yields fewer partitions than the cluster has cores.
-
-    A single small file (one row group) is read by one task; spreading it
-    lets the per-row derivation run on every core.  A large scan already
-    has at least that many splits and is returned unchanged (no shuffle).
-    Hash on ``key`` keeps the placement deterministic on task retry.
-    """
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()      # planning only, no job
-    except Exception:  # noqa: BLE001 — no RDD API (e.g. a Connect session): leave the scan as is
-        return df
-    return df.repartition(cores, key) if splits < cores else df
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    return incidents_from_events(events)

@@ -29,9 +29,9 @@ from ..sources.codec import decode_framed, decode_plain
 
 DEFAULT_TRIGGER = {"processingTime": "1 minute"}
 
-# Alert table written by the alert sink (batch_id is the partition column).
+# Alert table written by the alert sink (window_date and batch_id are the partition columns).
 ALERT_TABLE_SCHEMA = ("window_start timestamp, window_end timestamp, level string, count long, "
-                      "alert_text string, batch_id long")
+                      "alert_text string, window_date date, batch_id long")
 
 
 def incident_stream(wire: DataFrame, framed: bool = True,
@@ -75,7 +75,7 @@ def window_count_stream(incidents: DataFrame, duration: str = ALERT_WINDOW) -> D
 
 def alert_batch_writer(path: str, first_only: bool = False):
     """foreachBatch handler: apply the alert rule to the emitted counts and
-    overwrite this batch's partition of the alert table.
+    overwrite this batch's partitions of the alert table.
 
     By default a window alerts again every time its count changes (update
     mode re-emits it).  ``first_only`` keeps only the first crossing: an
@@ -85,14 +85,22 @@ def alert_batch_writer(path: str, first_only: bool = False):
     so this lookup stays small next to the event stream.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        alerts = alert_rule(flatten_window(batch))
+        alerts = alert_rule(flatten_window(batch)).withColumn("window_date", F.to_date("window_start"))
         if first_only:
+            # only the folders of the dates that this batch alerts on are read
+            alerts = alerts.persist()
+            days = alerts.agg(F.min("window_date").alias("lo"), F.max("window_date").alias("hi")).first()
             seen = (read_alert_table(batch.sparkSession, path)
-                    .where(F.col("batch_id") < batch_id).select("window_start", "level"))
-            alerts = alerts.join(seen, ["window_start", "level"], "left_anti")
-        alerts = alerts.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        (alerts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(path))
+                    .where(F.col("window_date").between(F.lit(days.lo), F.lit(days.hi)) & (F.col("batch_id") < batch_id))
+                    .select("window_start", "level"))
+            new = alerts.join(seen, ["window_start", "level"], "left_anti")
+        else:
+            new = alerts
+        (new.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("window_date", "batch_id").parquet(path))
+        if first_only:
+            alerts.unpersist()
     return handle
 
 
