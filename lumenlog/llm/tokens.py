@@ -3,10 +3,10 @@
 1. Texts are encoded word by word (``Encoder``) to a stored table of raw ids.
 2. Id counts over all documents give ranks; the most frequent id has rank 0.
    The vocabulary bounds the counts, so they are the one thing collected.
-3. Each document's ranks become 1 to 4 bytes each.  The lengths go to separate
-   control bytes, two bits per id and four ids per byte; both streams are
-   byte-aligned per document.  Documents are range-partitioned by doc_id, sorted
-   and packed into shards.
+3. Documents are range-partitioned by doc_id and sorted.  A document's ranks become
+   1 to 4 bytes each; the lengths go to separate control bytes, two bits per id and
+   four ids per byte.  Both streams are byte-aligned per document and packed into
+   shards.
 4. ``read_tokens`` decodes shards by a table lookup: a control byte gives four
    lengths, running sums give the offsets, masked gathers give the ranks.
 
@@ -35,54 +35,110 @@ END_ID = 2
 #: Ids of one shard at most, unless a single document has more.
 SHARD_IDS = 1 << 20
 #: Entries of one cache generation.
-CACHE = 200_000
-_TAIL = b".,!?;:%&*#$"
+CACHE = 300_000
+_TAIL = ".,!?;:%&*#$"
+#: Below it lower-casing a letter is the same anywhere and stays one letter (but for U+0130).
+_LATIN = "\u0250"
 
 
-class Encoder(dict):
-    """Words to the bytes of their ids.
+class Encoder:
+    """Texts to the bytes of their ids.
 
     The tokenizer drops white space and no token spans it, so a text's ids are
-    its words' ids.  Words repeat, so they are kept; when the cache is full, the
-    older generation goes.  A plain ASCII word with punctuation after it is its
-    lower-case stem's ids and the punctuation's, as the splitter parts letters
-    from punctuation and lower-cases."""
+    its words' ids, and words repeat: words and stems are kept in two generations
+    each, of which the older goes when the younger is full.  A word of letters with
+    punctuation after it is its lower-case stem's ids and the punctuation's, as the
+    splitter parts letters from punctuation and the normaliser lower-cases.  New
+    stems are encoded many at a time: a stem is one piece to the splitter, and a
+    piece's last token is marked as such in the vocabulary."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.old: dict = {}
+        vocab = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.words: dict = {}
+        self.old_words: dict = {}
         self.stems: dict = {}
-
-    def _ids(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def _stem(self, word: bytes) -> bytes:
-        found = self.stems.get(word)
-        if found is None:
-            if len(self.stems) >= CACHE:
-                self.stems.clear()
-            found = self.stems[word] = self._ids(word)
-        return found
-
-    def __missing__(self, word: bytes) -> bytes:
-        found = self.old.get(word)
-        if found is None:
-            stem = word.rstrip(_TAIL)
-            if stem.isalnum():
-                found = self._stem(stem.lower()) + (self._stem(word[len(stem):]) if len(stem) < len(word) else b"")
-            else:
-                found = self._ids(word)
-        if len(self) >= CACHE:
-            self.old = dict(self)
-            self.clear()
-        self[word] = found
-        return found
+        self.old_stems: dict = {}
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn_stems(self, stems: list[str]) -> None:
+        known = [(s, self.old_stems[s]) for s in stems if s in self.old_stems]
+        new = [s for s in stems if s not in self.old_stems]
+        parts = [new[k:k + 200] for k in range(0, len(new), 200)]
+        for part, e in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+            raw = ids.tobytes()
+            if len(ends) == len(part):
+                known += [(s, raw[4 * b:4 * e_]) for s, b, e_ in zip(part, [0, *ends], ends, strict=False)]
+            else:       # a vocabulary without marked ends
+                known += [(s, self._ids(s)) for s in part]
+        if len(self.stems) + len(known) > CACHE:
+            self.old_stems, self.stems = self.stems, {}
+        self.stems.update(known)
+
+    def _learn(self, words) -> None:
+        """Keeps the ids of ``words``."""
+        ids = {w: self.old_words[w] for w in words if w in self.old_words}
+        split = []
+        for w in words:
+            if w not in ids:
+                text = w.decode("utf-8", "replace")
+                stem = text.rstrip(_TAIL)
+                if stem.isalpha() and max(stem) < _LATIN and "\u0130" not in stem:
+                    split.append((w, stem.lower(), text[len(stem):]))
+                else:
+                    ids[w] = self._ids(text)
+        self._learn_stems(list({s for _, s, _ in split if s not in self.stems}))
+        tails = {t: self._ids(t) if t else b"" for t in {t for _, _, t in split}}
+        for w, s, t in split:
+            ids[w] = (self.stems[s] if s in self.stems else self._ids(s)) + tails[t]
+        if len(self.words) + len(ids) > CACHE:
+            self.old_words, self.words = self.words, {}
+        self.words.update(ids)
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of every text, some hundred thousand words at a time."""
+        out, held, n = [], [], 0
+        for text in texts:
+            held.append((text or "").encode("utf-8", "replace").split())
+            n += len(held[-1])
+            if n > 100_000:
+                out += self._encode_words(held)
+                held, n = [], 0
+        return out + self._encode_words(held)
+
+    def _encode_words(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        new = set().union(*texts) - self.words.keys() if texts else set()
+        if new:
+            kept = self.words
+            self._learn(new)
+            if kept is not self.words:      # the younger generation has just become the older
+                self._learn([w for w in set().union(*texts) if w not in self.words])
+        find = self.words.__getitem__
+        return [np.frombuffer(b"".join(map(find, words)), "<u4") for words in texts]
 
     def encode(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "replace").split()
-        return np.frombuffer(b"".join(map(self.__getitem__, words)), "<u4")
+        return self.encode_all([text])[0]
+
+
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: Spark reuses its workers, so a later
+    task finds the words of the earlier ones."""
+    import sys
+    import types
+    held = sys.modules.setdefault("worker_encoders", types.ModuleType("worker_encoders"))
+    if not hasattr(held, "by_path"):
+        held.by_path = {}
+    if path not in held.by_path:
+        held.by_path.clear()
+        held.by_path[path] = Encoder(path)
+    return held.by_path[path]
 
 
 #: Byte lengths (1 to 4) of the four ids of each control byte.
@@ -121,10 +177,10 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataF
     narrow = 2 if end_id < 1 << 16 else 4
 
     def run(batches):
-        enc = Encoder(tokenizer_path)
+        enc = worker_encoder(tokenizer_path)
         width = "<u2" if narrow == 2 and enc.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         for b in batches:
-            ids = [np.append(enc.encode(t), np.uint32(end_id)).astype(width).tobytes() for t in b.column("text").to_pylist()]
+            ids = [np.append(x, np.uint32(end_id)).astype(width).tobytes() for x in enc.encode_all(b.column("text").to_pylist())]
             flat = pa.array(ids, pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tie"), pa.array([int(width[2])] * len(ids), pa.int32()), flat], ["doc_id", "tie", "width", "ids"])
 
@@ -155,16 +211,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     rank[[t for _, t in order]] = np.arange(len(order), dtype=np.uint32)
     ranks = spark.sparkContext.broadcast(rank)      # vocabulary size x 4 bytes
 
-    def code(batches):
-        for b in batches:
-            done = [(len(x) // w, *pack(ranks.value[np.frombuffer(x, f"<u{w}")])) for w, x in zip(b.column("width").to_pylist(), b.column("ids").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tie"), pa.array([d[0] for d in done], pa.int64()),
-                                              pa.array([d[1] for d in done], pa.binary()), pa.array([d[2] for d in done], pa.binary())],
-                                             ["doc_id", "tie", "n_tokens", "control", "data"])
-
     id_type = dict(docs.dtypes)["doc_id"]
-    coded = raw.mapInArrow(code, f"doc_id {id_type}, tie bigint, n_tokens bigint, control binary, data binary")
-    ordered = coded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "tie")
+    ordered = raw.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "tie")
 
     def shards(batches):
         from pyspark import TaskContext
@@ -179,7 +227,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
 
         for b in batches:
             id_kind = b.column("doc_id").type
-            for d, k, c, x in zip(*(b.column(name).to_pylist() for name in ("doc_id", "n_tokens", "control", "data")), strict=True):
+            for d, w, x in zip(*(b.column(name).to_pylist() for name in ("doc_id", "width", "ids")), strict=True):
+                k = len(x) // w
                 if ids and sum_n + k > SHARD_IDS:
                     yield flush()
                     seq += 1
@@ -189,8 +238,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                 sum_n += k
                 ids.append(d)
                 n.append(k)
-                control.append(c)
-                data.append(x)
+                for out, part_ in zip((control, data), pack(ranks.value[np.frombuffer(x, f"<u{w}")]), strict=True):
+                    out.append(part_)
         if ids:
             yield flush()
 
