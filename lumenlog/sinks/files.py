@@ -77,12 +77,12 @@ def compact(spark, src: str, dst: str, fmt: str = "parquet", files_per_hour: int
     if fmt == "csv":
         from ..operators.feed import clean_feed
         df = clean_feed(df, drop_bad_time=False)
+    found = list_files(spark, src, f".{fmt}")
+    hours = len({name.rsplit("/", 1)[0] for name, _ in found}) or 1
     if files_per_hour is None:
-        found = list_files(spark, src, f".{fmt}")
-        hours = len({name.rsplit("/", 1)[0] for name, _ in found}) or 1
         files_per_hour = max(1, -(-sum(size for _, size in found) // (hours * target_bytes)))
     spread = F.pmod(F.xxhash64("message", "event_time"), F.lit(files_per_hour))
-    out = with_hour(df, "event").repartition("event_hour", spread).drop("event_hour")
+    out = with_hour(df, "event").repartition(hours * files_per_hour, "event_hour", spread).drop("event_hour")
     write_incidents(out, dst, fmt=fmt, mode="overwrite")
 
 

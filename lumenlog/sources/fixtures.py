@@ -49,14 +49,10 @@ def message_parts() -> list[Column]:
         F.when(k % 11 == 5, _text("Assigned to: crew.", user % 7)),
         F.when(k % 11 == 6, _text("Resolved by: crew.", user % 7)),
         F.when(k % 11 == 7, _text("Escalated to: crew.", user % 7)),
-        F.when(k % 12 == 3, _text("Attack type: odd ", kind)),
-        F.when(k % 12 == 3, _text("Source IP: 198.51.100.", k)),
-        F.when(k % 13 == 1, _text("Database: store", user % 5)),
-        F.when(k % 13 == 1, _text("Records affected: ", cents)),
+        F.when(k % 12 == 3, _text("Attack type: odd ", kind, ", Source IP: 198.51.100.", k)),
+        F.when(k % 13 == 1, _text("Database: store", user % 5, ", Records affected: ", cents)),
         F.when(k % 14 == 2, _text("Load increased by ", k, "%")),
-        F.when(k % 15 == 4, _text("CPU: ", k, "%")),
-        F.when(k % 15 == 4, _text("Memory: ", k, "%")),
-        F.when(k % 15 == 4, _text("Disk: ", k, "%")),
+        F.when(k % 15 == 4, _text("CPU: ", k, "%, Memory: ", k, "%, Disk: ", k, "%")),
     ]
 
 

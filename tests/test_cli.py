@@ -21,7 +21,7 @@ def test_reports_over_stored_incidents(spark, tmp_dir):
 
         out = os.path.join(tmp_dir, f"kpis-{fmt}")
         main(["report", "kpis", "--input", store, "--format", fmt, "--out", out])
-        assert tuple(spark.read.parquet(out).first()) == tuple(kpis(enr).first()) == (1000, 201, 210, 15)
+        assert tuple(spark.read.parquet(out).first()) == tuple(kpis(enr).first()) == (1000, 201, 210, 13)
 
         out = os.path.join(tmp_dir, f"counts-{fmt}")
         main(["report", "correlate_counts", "--input", store, "--format", fmt, "--out", out])
@@ -39,4 +39,23 @@ def test_reports_over_stored_incidents(spark, tmp_dir):
     out = os.path.join(tmp_dir, "warning-ids")
     main(["report", "incident_ids", "--input", os.path.join(tmp_dir, "store-parquet"), "--out", out,
           "--level", "WARNING"])
-    assert spark.read.parquet(out).count() == enr.where("level = 'WARNING' AND incident_id IS NOT NULL").count()
+    assert spark.read.parquet(out).count() == enr.where("level = 'WARNING'").select("incident_id").dropna().distinct().count()
+
+
+def test_filters_choose_primaries_only(spark, tmp_dir):
+    enr = enriched(spark, SF_SMALL)
+    store = os.path.join(tmp_dir, "store")
+    write_incidents(fixed_order(enr), store, hour="event", mode="overwrite")
+    out = os.path.join(tmp_dir, "counts")
+    main(["report", "correlate_counts", "--input", store, "--out", out, "--level", "WARNING"])
+    warned = primaries(enr.where("level = 'WARNING'"))
+    want = CR.correlate_pairs(warned, enr).count()
+    assert spark.read.parquet(out).agg(F.sum("n_correlated")).first()[0] == want > 0
+
+    one = warned.where("service IS NOT NULL").orderBy("incident_id").first().incident_id
+    out = os.path.join(tmp_dir, "one")
+    main(["report", "correlated", "--input", store, "--out", out, "--level", "WARNING", "--incident-id", one])
+    assert spark.read.parquet(out).count() == CR.correlate_pairs(warned.where(F.col("incident_id") == one), enr).count()
+    out = os.path.join(tmp_dir, "prompt")
+    main(["report", "rca_prompt_full", "--input", store, "--out", out, "--incident-id", one])
+    assert one in spark.read.parquet(out).first().prompt

@@ -26,10 +26,10 @@ def write(path, text):
 def test_kpis_fixture_and_empty(spark):
     # FIXTURES.md §2 expected values at sf0.001
     enr = enriched(spark, SF_SMALL)
-    assert tuple(kpis(enr).first()) == (1000, 201, 210, 15)
+    assert tuple(kpis(enr).first()) == (1000, 201, 210, 13)
     empty = spark.createDataFrame([], ENRICHED_SCHEMA)
     assert tuple(kpis(empty).first()) == (0, 0, 0, 0)
-    assert tuple(kpis_legacy(enrich_extended(enr)).first()) == (1000, 201, 201, 15)
+    assert tuple(kpis_legacy(enrich_extended(enr)).first()) == (1000, 201, 201, 13)
 
 
 def test_level_match_exact_vs_legacy(spark):
@@ -94,11 +94,11 @@ def test_latest_and_lookup(spark):
 
 def test_filters_distinct_and_recent(spark):
     enr = enriched(spark, SF_SMALL)
-    f = FD.filter_feed(enr, level="WARNING", service="svc-03")
+    f = FD.filter_feed(enr, level="WARNING", service="node-3")
     assert {r.level for r in f.collect()} == {"WARNING"}
     assert FD.filter_feed(enr).count() == 1000
     assert {r.level for r in FD.distinct_levels(enr).collect()} == {"INFO", "WARNING", "ERROR"}
-    assert FD.distinct_services(enr).count() == 15
+    assert FD.distinct_services(enr).count() == 13
     top = FD.feed_recent(enr, n=5, tiebreak=["event_id"]).collect()
     assert len(top) == 5 and all(top[i].event_time >= top[i + 1].event_time for i in range(4))
     assert FD.has_incident_ids(enr).first()[0] is True
@@ -156,7 +156,13 @@ def test_corrupt_parquet_file_is_skipped(spark, tmp_dir):
     hour_dir = sorted(d for d in os.listdir(out) if d.startswith("event_hour="))[0]
     with open(os.path.join(out, hour_dir, "broken.parquet"), "wb") as f:
         f.write(b"this is not a parquet file at all" * 4)
-    assert read_incident_dir(spark, out, fmt="parquet").count() == 1000
+    import pytest
+    from lumenlog.sources.files import skipped_files
+    with pytest.raises(Exception):
+        read_incident_dir(spark, out, fmt="parquet").count()
+    assert read_incident_dir(spark, out, fmt="parquet", skip_unreadable=True).count() == 1000
+    skipped = skipped_files(spark, out, fmt="parquet").collect()
+    assert [r.path.rsplit("/", 1)[1] for r in skipped] == ["broken.parquet"]
 
 
 def test_compaction_one_file_per_hour(spark, tmp_dir):
@@ -171,3 +177,30 @@ def test_compaction_one_file_per_hour(spark, tmp_dir):
         assert len(files) == 1, (h, files)
     back = read_incident_dir(spark, dst, fmt="parquet")
     assert back.exceptAll(enr).count() == 0 and enr.exceptAll(back).count() == 0
+
+
+def test_columns_are_taken_by_header(spark, tmp_dir):
+    from lumenlog.sources.files import skipped_files
+    d = os.path.join(tmp_dir, "headers")
+    write(f"{d}/a.csv", "event_time,level,service,message,incident_id\n2024-01-01 00:00:01,INFO,svc-2,world text,INC-2\n")
+    write(f"{d}/b.csv", HEADER + "2024-01-01 00:00:02,INFO,m,INC-1,svc-1,c\n")
+    write(f"{d}/c.csv", "x\n1\n")
+    got = {r.incident_id: (r.message, r.service, r.category) for r in read_incident_dir(spark, d).collect()}
+    assert got == {"INC-2": ("world text", "svc-2", None), "INC-1": ("m", "svc-1", "c")}
+    assert [(r.bytes, r.reason) for r in skipped_files(spark, d).collect()] == [(4, "too small")]
+
+
+def test_storage_errors_are_raised(spark):
+    import pytest
+    with pytest.raises(Exception):
+        read_incident_dir(spark, "nosuchscheme://bucket/x")
+
+
+def test_compaction_by_size(spark, tmp_dir):
+    enr = fixed_order(enriched(spark, SF_SMALL))
+    src, dst = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "dst")
+    write_incidents(enr.repartition(6), src, fmt="parquet", mode="overwrite")
+    compact(spark, src, dst, target_bytes=4000)
+    assert read_incident_dir(spark, dst, fmt="parquet").exceptAll(enr).count() == 0
+    per_hour = [len([f for f in os.listdir(os.path.join(dst, h)) if f.endswith(".parquet")]) for h in os.listdir(dst) if "=" in h]
+    assert max(per_hour) > 1
