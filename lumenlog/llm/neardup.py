@@ -363,3 +363,18 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 def op5_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, list_slice(w, i, i + 4) AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM d UNION SELECT l.b, reach.r FROM reach JOIN l ON reach.doc_id = l.a),
+c AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept
+FROM d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""

@@ -25,5 +25,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_substring_dedup": substrings.ORACLE,
         "op2_quality_rules": rules.ORACLE,
         "op4_mix": mix.ORACLE,
+        "op5_near_dedup": neardup.ORACLE,
+        "op7_url_filters": urls.ORACLE,
         "op9_decontaminate": decontaminate.ORACLE,
     }

@@ -132,4 +132,52 @@ def document_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
 
 def op7_url_filters(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return judge(pages, document_labels(pages, table(spark, sf_dir, "labels")))
+    return judge(pages, document_labels(pages, table(spark, sf_dir, "labels"))).drop("purity")
+
+
+def _oracle() -> str:
+    """The same tree in DuckDB SQL, one block of tables per level."""
+    ctes = [r"""
+u AS (SELECT page_id, url, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+      regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+      regexp_extract(regexp_extract(coalesce(url, ''), '^[^?#]*', 0), '/([0-9]{1,18})(?:/|\.[a-z]+)?$', 1) AS number FROM u),
+segs AS (SELECT page_id, host, path, list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s:
+         CASE WHEN regexp_matches(s, '^[0-9]+$') THEN '{n}'
+              WHEN regexp_matches(s, '^[0-9]+\.[A-Za-z0-9]{1,5}$') THEN '{n}.' || regexp_extract(s, '\.([A-Za-z0-9]+)$', 1)
+              WHEN regexp_matches(s, '^[0-9A-Fa-f-]{12,}$') THEN '{x}'
+              WHEN length(regexp_replace(s, '[^0-9]', '', 'g')) >= 4 THEN '{s}' ELSE s END) AS segs,
+         CASE WHEN number <> '' THEN CAST(number AS BIGINT) END AS doc_id FROM p),
+known AS (SELECT segs.host, segs.segs, labels.quality AS good FROM segs LEFT JOIN labels ON labels.doc_id = segs.doc_id AND labels.quality IS NOT NULL),
+a0 AS (SELECT host, segs, '' AS tmpl, count(*) AS n, count(good) AS m, coalesce(sum(good), 0) AS g FROM known GROUP BY host, segs)"""]
+    for d in range(4):
+        ctes.append(f"""
+x{d} AS (SELECT *, coalesce(segs[{d + 1}], '') AS seg, array_to_string(segs[{d + 2}:], '/') AS below FROM a{d}),
+up{d} AS (SELECT host, tmpl, sum(n) AS pn, sum(m) AS pm, sum(g) AS pg, count(DISTINCT seg) AS kids FROM x{d} GROUP BY host, tmpl),
+pool{d} AS (SELECT host, tmpl, below, sum(n) AS rn FROM x{d} GROUP BY host, tmpl, below),
+each{d} AS (SELECT host, tmpl, seg, below, sum(n) AS o, sum(m) AS m, sum(g) AS g FROM x{d} GROUP BY host, tmpl, seg, below),
+kid{d} AS (SELECT host, tmpl, seg, sum(o) AS cn, sum(m) AS cm, sum(g) AS cg, sum(CAST(o AS DOUBLE) * o / rn) AS o2, count(*) AS k
+           FROM each{d} JOIN pool{d} USING (host, tmpl, below) GROUP BY host, tmpl, seg),
+test{d} AS (SELECT host, tmpl, seg, cn, cm, cg, k, kids, pn, o2 * pn / cn - cn AS chi2, (pg + 1.0::DOUBLE) / (pm + 2.0::DOUBLE) AS share
+            FROM kid{d} JOIN up{d} USING (host, tmpl)),
+to{d} AS (SELECT host, tmpl, seg, CASE WHEN seg <> '' AND NOT starts_with(seg, '{{') AND ((kids > 20 AND cn < 0.01::DOUBLE * pn)
+            OR (kids > 1 AND chi2 <= k + 2.58::DOUBLE * sqrt(2.0::DOUBLE * k)
+                AND abs((cg + share) / (cm + 1.0::DOUBLE) - share) <= 2.58::DOUBLE * sqrt(share * (1.0::DOUBLE - share) / (cm + 1.0::DOUBLE)))) THEN '*' ELSE seg END AS into_
+          FROM test{d}),
+a{d + 1} AS (SELECT host, segs, CASE WHEN seg = '' THEN tmpl ELSE tmpl || '/' || into_ END AS tmpl, n, m, g FROM x{d} JOIN to{d} USING (host, tmpl, seg))""")
+    ctes.append("""
+t AS (SELECT host, segs, tmpl || '/' || array_to_string(segs[5:], '/') AS tmpl, m, g FROM a4),
+prior AS (SELECT (coalesce(sum(good), 0) + 1.0::DOUBLE) / (count(good) + 1.0::DOUBLE) AS prior FROM known),
+pure AS (SELECT host, tmpl, (sum(g) + 8.0::DOUBLE * any_value(prior)) / (sum(m) + 8.0::DOUBLE) AS purity FROM t, prior GROUP BY host, tmpl)""")
+    return "WITH" + ",".join(ctes) + """
+SELECT page_id, segs.host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+       WHEN purity < 0.5 THEN 'block' ELSE 'allow' END AS verdict, t.tmpl AS template
+FROM (SELECT *, CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+                     WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+                     WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+                     WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM segs) segs
+LEFT JOIN t ON t.host = segs.host AND t.segs = segs.segs LEFT JOIN pure ON pure.host = t.host AND pure.tmpl = t.tmpl
+"""
+
+
+ORACLE = _oracle()
