@@ -29,6 +29,8 @@ SHARE = 1.5
 MAX_EPOCHS = 2.0
 BUCKETS = 4096
 MIN_WEIGHT = 1e-6
+#: Sources whose plan is broadcast to the documents; beyond, both are shuffled by source.
+MAX_BROADCAST = 100_000
 
 
 def word_count(text):
@@ -94,6 +96,8 @@ def take(rows: DataFrame, weights=SOURCE_WEIGHTS, share: float = SHARE, most: fl
     plan = (plan.select(F.col("source").alias("__s"), "source_size", "target", "epochs", "rest")
             .join(cut.select(F.col("source").alias("__c"), F.col("last.bucket").alias("cut"), F.col("last.before").alias("before")), F.col("__s").eqNullSafe(F.col("__c")), "left")
             .select("__s", "source_size", "target", "epochs", "rest", F.coalesce("cut", F.lit(-1)).alias("cut"), F.coalesce("before", F.lit(0)).alias("before")))
+    if filled.select("source").distinct().count() <= MAX_BROADCAST:     # one small row per source
+        plan = F.broadcast(plan)
     planned = rows.join(plan, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     edge = planned.where(F.col("bucket") == F.col("cut"))
     order = Window.partitionBy("source").orderBy("key", "doc_id", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
