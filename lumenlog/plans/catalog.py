@@ -271,7 +271,8 @@ def q_frame_schema_ids(spark, sf_dir):
 @register("decode_registry")
 def q_decode_registry(spark, sf_dir):
     registry = spark.createDataFrame([(1, "v1"), (2, "v2")], "schema_id long, version string")
-    return _out(CD.decode_by_schema(topic(spark, sf_dir), registry, keep=["event_id"]))
+    wire = FX.wire_records(load_incidents(spark, sf_dir), layouts=True)
+    return _out(CD.decode_by_schema(wire, registry, keep=["event_id"]))
 
 
 @register("frame_roundtrip")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.patterns import FRAME_HEADER_BYTES, FRAME_MAGIC_HEX
 from ..functions.timefmt import parse_event_time, render_iso
@@ -64,22 +65,31 @@ def decode_plain(wire: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return wire.select(*_events_from_struct(data), *[F.col(c) for c in (keep or [])])
 
 
-def decode_by_schema(wire: DataFrame, registry: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Registry-aware decode: split the frame and join the schema id to a
-    ``registry(schema_id, version)`` table.
+#: Registered layouts: version -> names of the time, level and message fields.
+EVENT_LAYOUTS = {"v1": ("timestamp", "level", "message"), "v2": ("time", "severity", "text")}
+
+
+def decode_by_schema(wire: DataFrame, registry: DataFrame, keep: list[str] | None = None,
+                     layouts: dict[str, tuple[str, str, str]] | None = None) -> DataFrame:
+    """Registry-aware decode: split the frame, join the schema id to a
+    ``registry(schema_id, version)`` table and parse the body by the layout of
+    that version.
 
     The registry has one row per registered schema, so Spark's size check
     (``spark.sql.autoBroadcastJoinThreshold``) broadcasts it; a registry
-    over the threshold falls back to a shuffle join.  Unknown ids and wrong
-    magic bytes decode to nulls; ``version`` tells which schema applied.
+    over the threshold falls back to a shuffle join.  Unknown ids, versions
+    without a layout and wrong magic bytes decode to nulls.
     """
     v = F.col("value")
     framed = wire.select("*", frame_magic(v).alias("magic"), frame_schema_id(v).alias("schema_id"))
     joined = framed.join(registry.select("schema_id", "version"), "schema_id", "left")
-    ok = (F.col("magic") == FRAME_MAGIC_HEX) & F.col("version").isNotNull()
-    data = F.from_json(F.when(ok, frame_body(v)), LOG_EVENT_SCHEMA)
-    return joined.select(*_events_from_struct(data), "schema_id", "version",
-                         *[F.col(c) for c in (keep or [])])
+    data = F.lit(None).cast(LOG_EVENT_SCHEMA)
+    for version, names in (layouts or EVENT_LAYOUTS).items():
+        mine = (F.col("magic") == FRAME_MAGIC_HEX) & (F.col("version") == version)
+        body = F.from_json(frame_body(v), StructType([StructField(n, StringType(), True) for n in names]))
+        data = F.when(mine, F.struct(*[body.getField(n).alias(f.name) for n, f in zip(names, LOG_EVENT_SCHEMA.fields, strict=True)])).otherwise(data)
+    return joined.withColumn("_data", data).select(*_events_from_struct(F.col("_data")), "schema_id", "version",
+                                                   *[F.col(c) for c in (keep or [])])
 
 
 # --- encode ----------------------------------------------------------------------

@@ -85,12 +85,13 @@ SCHEMA_V2_EVERY = 109       # framed with schema id 2 instead of 1
 BAD_TIME_TEXT = "nope"
 
 
-def wire_records(incidents: DataFrame, damage: bool = True) -> DataFrame:
+def wire_records(incidents: DataFrame, damage: bool = True, layouts: bool = False) -> DataFrame:
     """The topic as it arrives: (key, value, event_id) with framed JSON values.
 
     Derived one-to-one from the incidents.  With ``damage`` a fixed share of
     records is damaged by the dirty-topic rule above, so that decoding and
-    quarantine have real work on every scale factor.
+    quarantine have real work on every scale factor.  With ``layouts`` the records
+    of schema 2 use that schema's field names.
     """
     from ..functions.timefmt import render_iso
     from .codec import frame, to_wire
@@ -99,9 +100,14 @@ def wire_records(incidents: DataFrame, damage: bool = True) -> DataFrame:
         return to_wire(incidents, key_col="action", keep=["event_id"])
     eid = F.col("event_id")
     ts_text = F.when(eid % BAD_TIME_EVERY == 0, F.lit(BAD_TIME_TEXT)).otherwise(render_iso(F.col("event_time")))
-    full = F.to_json(F.struct(ts_text.alias("timestamp"), F.col("level").alias("level"),
-                              F.col("message").alias("message")))
-    no_level = F.to_json(F.struct(ts_text.alias("timestamp"), F.col("message").alias("message")))
+    def bodies(time, level, message):
+        t, m = ts_text.alias(time), F.col("message").alias(message)
+        return F.to_json(F.struct(t, F.col("level").alias(level), m)), F.to_json(F.struct(t, m))
+
+    full, no_level = bodies("timestamp", "level", "message")
+    if layouts:
+        second = eid % SCHEMA_V2_EVERY == 0
+        full, no_level = (F.when(second, b).otherwise(a) for a, b in zip((full, no_level), bodies("time", "severity", "text"), strict=True))
     body = (F.when(eid % CUT_BODY_EVERY == 0, F.substring(full, 1, CUT_BODY_BYTES))
             .when(eid % NO_LEVEL_EVERY == 0, no_level)
             .otherwise(full))

@@ -58,6 +58,14 @@ def test_registry_dispatch(spark):
     assert sorted(got, key=lambda r: r[1]) == [("ERROR", 1, "v1"), (None, 9, None)]
 
 
+def test_each_schema_has_its_own_layout(spark):
+    second = json.dumps({"time": "2024-01-01T00:00:00+00:00", "severity": "INFO", "text": "x"}).encode()
+    vals = [framed(ev("2024-01-01T00:00:00+00:00"), 1), framed(second, 2), framed(second, 1)]
+    reg = spark.createDataFrame([(1, "v1"), (2, "v2")], "schema_id long, version string")
+    got = rows(CD.decode_by_schema(wire(spark, vals), reg), "schema_id", "level", "message")
+    assert sorted(got, key=str) == [(1, "ERROR", "m"), (1, None, None), (2, "INFO", "x")]
+
+
 def test_plain_json(spark):
     got = rows(CD.decode_plain(wire(spark, [ev("2024-01-01T00:00:05+00:00", "INFO", "x")])))
     assert got == [(dt.datetime(2024, 1, 1, 0, 0, 5), "INFO", "x")]
