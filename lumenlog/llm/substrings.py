@@ -40,7 +40,7 @@ from .recompress import anchors, mix, window_names
 WINDOW = 13
 #: Words that are recompressed at once, and anchors that are reduced at once.
 CHUNK_WORDS = 200_000
-BATCH_ROWS = 1_000_000
+BATCH_ROWS = 500_000
 TIE_BITS = 20
 #: What is known of a row: nothing yet; other documents have it; a smaller one has it; no smaller one can have it.
 OPEN, SHARED, SMALLER, GIVES = 0, 1, 2, 3
