@@ -36,7 +36,7 @@ END_ID = 2
 SHARD_IDS = 1 << 20
 #: Entries of one cache generation.
 CACHE = 300_000
-_TAIL = ".,!?;:%&*#$"
+_TAIL = b".,!?;:%&*#$"
 #: Below it lower-casing a letter is the same anywhere and stays one letter (but for U+0130).
 _LATIN = "\u0250"
 
@@ -56,6 +56,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         vocab = self.tokenizer.get_vocab()
+        self.dtype = "<u2" if max(vocab.values()) < 1 << 16 else "<u4"
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.words: dict = {}
@@ -64,67 +65,85 @@ class Encoder:
         self.old_stems: dict = {}
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn_stems(self, stems: list[str]) -> None:
-        known = [(s, self.old_stems[s]) for s in stems if s in self.old_stems]
-        new = [s for s in stems if s not in self.old_stems]
+    def _learn_stems(self, stems: list[bytes]) -> dict:
+        """The ids of ``stems``, which are kept."""
+        old = self.old_stems
+        found = {s: old[s] for s in stems if s in old}
+        new = [s for s in stems if s not in found]
         parts = [new[k:k + 200] for k in range(0, len(new), 200)]
-        for part, e in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+        size = np.dtype(self.dtype).itemsize
+        for part, e in zip(parts, self.tokenizer.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, self.dtype)
+            ends = ((np.flatnonzero(self.last[ids]) + 1) * size).tolist()
             raw = ids.tobytes()
             if len(ends) == len(part):
-                known += [(s, raw[4 * b:4 * e_]) for s, b, e_ in zip(part, [0, *ends], ends, strict=False)]
+                found.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=True))
             else:       # a vocabulary without marked ends
-                known += [(s, self._ids(s)) for s in part]
-        if len(self.stems) + len(known) > CACHE:
+                found.update((s, self._ids(s.decode())) for s in part)
+        if len(self.stems) + len(found) > CACHE:
             self.old_stems, self.stems = self.stems, {}
-        self.stems.update(known)
-
-    def _learn(self, words) -> None:
-        """Keeps the ids of ``words``."""
-        ids = {w: self.old_words[w] for w in words if w in self.old_words}
-        split = []
+        self.stems.update(found)
+        return found
+
+    def _learn(self, words: set[bytes]) -> dict:
+        """The ids of ``words``, which are kept."""
+        old, stems = self.old_words, self.stems
+        found = {w: old[w] for w in words if w in old}
+        split, wanted = [], set()
         for w in words:
-            if w not in ids:
-                text = w.decode("utf-8", "replace")
-                stem = text.rstrip(_TAIL)
-                if stem.isalpha() and max(stem) < _LATIN and "\u0130" not in stem:
-                    split.append((w, stem.lower(), text[len(stem):]))
-                else:
-                    ids[w] = self._ids(text)
-        self._learn_stems(list({s for _, s, _ in split if s not in self.stems}))
-        tails = {t: self._ids(t) if t else b"" for t in {t for _, _, t in split}}
-        for w, s, t in split:
-            ids[w] = (self.stems[s] if s in self.stems else self._ids(s)) + tails[t]
-        if len(self.words) + len(ids) > CACHE:
+            if w in found:
+                continue
+            stem = w.rstrip(_TAIL)
+            if stem.isalpha():          # ASCII letters only
+                key = stem.lower()
+            elif stem.isascii():
+                found[w] = self._ids(w.decode())
+                continue
+            else:
+                text = stem.decode("utf-8", "replace")
+                if not text.isalpha() or max(text) >= _LATIN or "\u0130" in text:
+                    found[w] = self._ids(w.decode("utf-8", "replace"))
+                    continue
+                key = text.lower().encode()
+            split.append((w, key, len(stem)))
+            if key not in stems:
+                wanted.add(key)
+        fresh = self._learn_stems(list(wanted)) if wanted else {}
+        tails: dict = {b"": b""}
+        for w, key, n in split:
+            tail = w[n:]
+            if tail not in tails:
+                tails[tail] = self._ids(tail.decode())
+            found[w] = (fresh.get(key) or stems[key]) + tails[tail]
+        if len(self.words) + len(found) > CACHE:
             self.old_words, self.words = self.words, {}
-        self.words.update(ids)
+        self.words.update(found)
+        return found
 
-    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of every text, some hundred thousand words at a time."""
-        out, held, n = [], [], 0
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The bytes of every text's ids, some hundred thousand words at a time."""
+        out, words, ends = [], [], []
         for text in texts:
-            held.append((text or "").encode("utf-8", "replace").split())
-            n += len(held[-1])
-            if n > 100_000:
-                out += self._encode_words(held)
-                held, n = [], 0
-        return out + self._encode_words(held)
-
-    def _encode_words(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        new = set().union(*texts) - self.words.keys() if texts else set()
-        if new:
-            kept = self.words
-            self._learn(new)
-            if kept is not self.words:      # the younger generation has just become the older
-                self._learn([w for w in set().union(*texts) if w not in self.words])
-        find = self.words.__getitem__
-        return [np.frombuffer(b"".join(map(find, words)), "<u4") for words in texts]
+            words += (text or "").encode("utf-8", "replace").split()
+            ends.append(len(words))
+            if len(words) > 100_000:
+                out += self._encode_words(words, ends)
+                words, ends = [], []
+        return out + self._encode_words(words, ends)
+
+    def _encode_words(self, words: list[bytes], ends: list[int]) -> list[bytes]:
+        ids = list(map(self.words.get, words))
+        missing = [k for k, x in enumerate(ids) if x is None]
+        if missing:
+            found = self._learn({words[k] for k in missing})
+            for k in missing:
+                ids[k] = found[words[k]]
+        return [b"".join(ids[s:e]) for s, e in zip([0, *ends], ends, strict=False)]
 
     def encode(self, text: str | None) -> np.ndarray:
-        return self.encode_all([text])[0]
+        return np.frombuffer(self.encode_all([text])[0], self.dtype)
 
 
 def worker_encoder(path: str) -> Encoder:
@@ -145,16 +164,22 @@ def worker_encoder(path: str) -> Encoder:
 LENGTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.int64)
 
 
-def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """(control, data) of one document's ranks."""
-    r = np.ascontiguousarray(ranks, "<u4")
-    size = 1 + (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
-    codes = np.zeros(-(-len(r) // 4) * 4, np.uint8)
-    codes[: len(r)] = size - 1
+def pack(ranks: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """(control, data) of consecutive documents with ``counts`` ranks each; every
+    document starts a control byte of its own."""
+    most = int(ranks.max(initial=0))
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    r = np.ascontiguousarray(ranks, f"<u{width}")
+    size = np.zeros(len(r), np.uint8)       # bytes less one
+    for bits in (8, 16, 24)[: width - 1]:
+        size += r > (1 << bits) - 1
+    slots = -(-counts // 4) * 4
+    shift = np.cumsum(slots - counts) - (slots - counts)
+    codes = np.zeros(int(slots.sum()), np.uint8)
+    codes[np.arange(len(r)) + np.repeat(shift, counts)] = size
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | (codes[:, 1] << 2) | (codes[:, 2] << 4) | (codes[:, 3] << 6)
-    used = np.arange(4) < size[:, None]
-    return control.tobytes(), r.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    return control.tobytes(), r.view(np.uint8).reshape(-1, width)[np.arange(width) <= size[:, None]].tobytes()
 
 
 def unpack(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -174,15 +199,16 @@ def unpack(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndar
 
 def encoded(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
     """(doc_id, tie, ids): little-endian unsigned ids of every text, end id last."""
-    narrow = 2 if end_id < 1 << 16 else 4
-
     def run(batches):
         enc = worker_encoder(tokenizer_path)
-        width = "<u2" if narrow == 2 and enc.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        width = int(enc.dtype[2]) if end_id < 1 << 16 else 4
+        end = np.array([end_id], f"<u{width}").tobytes()
         for b in batches:
-            ids = [np.append(x, np.uint32(end_id)).astype(width).tobytes() for x in enc.encode_all(b.column("text").to_pylist())]
-            flat = pa.array(ids, pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tie"), pa.array([int(width[2])] * len(ids), pa.int32()), flat], ["doc_id", "tie", "width", "ids"])
+            ids = enc.encode_all(b.column("text").to_pylist())
+            if width != int(enc.dtype[2]):
+                ids = [np.frombuffer(x, enc.dtype).astype("<u4").tobytes() for x in ids]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tie"), pa.array([width] * len(ids), pa.int32()), pa.array([x + end for x in ids], pa.binary())],
+                                             ["doc_id", "tie", "width", "ids"])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
     return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, tie bigint, width int, ids binary")
@@ -199,8 +225,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     def count(batches):
         total = np.zeros(vocab, np.int64)
         for b in batches:
-            for w, x in zip(b.column("width").to_pylist(), b.column("ids"), strict=True):
-                total += np.bincount(np.frombuffer(x.as_buffer(), f"<u{w}"), minlength=vocab)
+            if b.num_rows:      # one width in all rows
+                w = b.column("width")[0].as_py()
+                total += np.bincount(np.frombuffer(b"".join(b.column("ids").to_pylist()), f"<u{w}"), minlength=vocab)
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(total[ids], pa.int64())], ["token_id", "n"])
 
@@ -217,29 +244,28 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     def shards(batches):
         from pyspark import TaskContext
         part, seq = TaskContext.get().partitionId(), 0
-        ids, n, control, data = [], [], [], []
+        ids, n, raw_ids, held = [], [], [], 0
 
         def flush():
+            counts = np.array(n, np.int64)
+            control, data = pack(ranks.value[np.frombuffer(b"".join(raw_ids), f"<u{w}")], counts)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([ids], pa.list_(id_kind)), pa.array([n], pa.list_(pa.int64())),
-                 pa.array([b"".join(control)], pa.binary()), pa.array([b"".join(data)], pa.binary())],
+                 pa.array([control], pa.binary()), pa.array([data], pa.binary())],
                 ["part", "seq", "doc_ids", "n_tokens", "control", "data"])
 
         for b in batches:
             id_kind = b.column("doc_id").type
             for d, w, x in zip(*(b.column(name).to_pylist() for name in ("doc_id", "width", "ids")), strict=True):
                 k = len(x) // w
-                if ids and sum_n + k > SHARD_IDS:
+                if ids and held + k > SHARD_IDS:
                     yield flush()
                     seq += 1
-                    ids, n, control, data = [], [], [], []
-                if not ids:
-                    sum_n = 0
-                sum_n += k
+                    ids, n, raw_ids, held = [], [], [], 0
+                held += k
                 ids.append(d)
                 n.append(k)
-                for out, part_ in zip((control, data), pack(ranks.value[np.frombuffer(x, f"<u{w}")]), strict=True):
-                    out.append(part_)
+                raw_ids.append(x)
         if ids:
             yield flush()
 

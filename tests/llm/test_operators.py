@@ -98,10 +98,10 @@ def test_token_files_round_trip(spark, con, tmp_dir):
 @pytest.mark.parametrize("values", [[], [0], [255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1], list(range(0, 70000, 7))])
 def test_coding_round_trip(values):
     r = np.array(values, np.uint32)
-    control, data = tokens.pack(r)
-    assert len(control) == -(-len(r) // 4)
-    two = tokens.unpack(np.frombuffer(control * 2, np.uint8), np.frombuffer(data * 2, np.uint8), np.array([len(r), len(r)]))
-    assert two.tolist() == values * 2
+    counts = np.array([len(r), 0, 1, len(r)])
+    control, data = tokens.pack(np.concatenate([r, [7], r]).astype(np.uint32), counts)
+    assert len(control) == 2 * -(-len(r) // 4) + 1
+    assert tokens.unpack(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), counts).tolist() == [*values, 7, *values]
 
 
 def test_word_encoder_equals_whole_text():
@@ -109,7 +109,7 @@ def test_word_encoder_equals_whole_text():
     t = Tokenizer.from_file(tokens.tokenizer_file())
     enc = tokens.Encoder(tokens.tokenizer_file())
     for text in ["Hello, World!! it's I'M don't 3.14 a_b e-mail", "x<|endoftext|>y <|ENDOFTEXT|>", "Élan naïve ß Ǆ İstanbul ﬁ", "tab\tnew\nline\x0bv\x0cf\rr\x1cs\x85n\xa0b",
-                 "é ́ a‍b", "日本語 テスト。", "$$$ a$$$ b&&&c ...", "", "  ", "ABC.def, 'quoted' ''s 's"]:
+                 "é ́ a‍b", "日本語 テスト。", "$$$ a$$$ b&&&c ...", "", "  ", "ABC.def, 'quoted' ''s 's", "Été, ÉTÉ! naïve. caf3 x2. ²a ªb", ". ,. !?"]:
         assert enc.encode(text).tolist() == t.encode(text, add_special_tokens=False).ids, text
 
 
