@@ -103,8 +103,6 @@ class Page(HTMLParser):
         inside = inside or tag in ("article", "main")
         if tag not in BLOCK and tag not in DROPPED:
             self.open.append((parent, tag, dropped, inside))
-            if dropped != self.open[-2][2]:
-                self._flush_inline()
             return
         # a sibling like the one before it is the same outline node again
         kin = self.nodes[parent][2]
@@ -116,13 +114,6 @@ class Page(HTMLParser):
             kin.append(node)
         self.open.append((node, tag, dropped, inside))
 
-    def _flush_inline(self):
-        """Text before a dropped inline element belongs to the block around it."""
-        last = self.open.pop()
-        held = self.text
-        self.open.append(last)
-        self.before = held
-
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -287,8 +278,7 @@ def slots(pages: DataFrame) -> DataFrame:
 
 def constants(pages: DataFrame, aligned: DataFrame) -> DataFrame:
     """(host, fixed): per host the digests of (slot, text) that are template."""
-    key = F.xxhash64("slot", "b.text")
-    small = pages.select("host", "outline", F.monotonically_increasing_id().alias("row"),
+    small = pages.select("host", "outline",
                          F.transform("blocks", lambda b: F.struct(b["node"].alias("node"), F.xxhash64(b["text"]).alias("text"))).alias("blocks"))
     rows = (small.join(aligned, ["host", "outline"])
             .select("host", F.explode(F.array_distinct(F.transform("blocks", lambda b: F.struct(F.get("slot_of", b["node"]).alias("slot"), b["text"].alias("text"))))).alias("b"))
@@ -297,7 +287,6 @@ def constants(pages: DataFrame, aligned: DataFrame) -> DataFrame:
     have = (small.join(aligned, ["host", "outline"])
             .select("host", F.explode(F.array_distinct(F.transform("blocks", lambda b: F.get("slot_of", b["node"])))).alias("slot"))
             .groupBy("host", "slot").agg(F.count("*").alias("pages")).where(F.col("pages") >= MIN_PAGES))
-    del key
     return (texts.join(have, ["host", "slot"]).where(F.col("n") >= CONSTANT_SHARE * F.col("pages"))
             .groupBy("host").agg(F.collect_set(F.xxhash64("slot", "text")).alias("fixed")))
 
