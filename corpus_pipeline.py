@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from lumenlog.llm import decontaminate, mix, neardup, quality, tokens
 from lumenlog.llm.common import scratch, stored, table
 
+#: Similarity of near-duplicates in per cent, on sets of 5-word shingles.
+NEAR = 80
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity passes their language's bar."""
@@ -22,7 +25,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return neardup.dedup(docs)
+    return neardup.dedup(docs, NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

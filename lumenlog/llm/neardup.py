@@ -7,10 +7,11 @@ one class, represented by the smallest doc_id; the join runs on representatives.
   documents by one minwise token; which one is a hash of the path so far, so each
   node chooses its own.  Spark counts the nodes level by level: single documents
   leave, nodes of at most ``NODE`` documents are leaves, larger ones branch again,
-  down to ``DEPTH`` levels.  ``TREES`` trees start from different tokens: a pair at
-  the threshold (0.85) shares a leaf of depth d in one tree with probability
-  0.85^d, so all trees miss it with (1 - 0.85^d)^TREES: under 1e-13 at depth 1,
-  1e-8 at depth 3.
+  down to a number of levels.  The trees start from different tokens: a pair at the
+  threshold t shares a leaf of depth d in one tree with probability t^d, so all
+  trees miss it with (1 - t^d)^trees.  ``FORESTS`` has (trees, levels) by threshold:
+  at 0.85 under 1e-13 at depth 1, 1e-6 at depth 3 and 8e-5 at the last, 5; at 0.80
+  under 1e-16 at depth 1, 1e-7 at depth 3 and 4e-6 at the last, 4.
 * Leaves are compared exhaustively on one-byte sketches of the tokens.  The bar is
   so far below the threshold (``SLACK``) that a linked pair falls under it less
   than once in 10^5.  A node that is still large at the last level shares all its
@@ -39,12 +40,12 @@ from .common import ASCII_LOWER, packed, stored, table
 from .components import components
 
 SHINGLE = 5
-THRESHOLD = 85          # per cent
+THRESHOLD = 85          # per cent, of the query
 MINHASHES = 128
-TREES = 16
-DEPTH = 5
+#: (lowest threshold in per cent, trees, levels)
+FORESTS = ((85, 16, 5), (80, 24, 4))
 NODE = 64
-SLACK = 0.15
+SLACK = 0.16
 BLOCK = 256
 #: Candidates (of 32 bytes) that are broadcast to the scan of the texts; beyond, the texts are shuffled to them.
 MAX_BROADCAST = 1_000_000
@@ -98,14 +99,22 @@ def minhashes(s: np.ndarray) -> np.ndarray:
     return (_mix(low) >> np.uint64(32)).astype(np.uint32)
 
 
-def paths(tokens: np.ndarray) -> np.ndarray:
-    """Node ids of all trees and levels: (rows, TREES, DEPTH)."""
+def forest_of(threshold: int) -> tuple[int, int]:
+    """(trees, levels) for a threshold in per cent."""
+    for least, trees, depth in FORESTS:
+        if threshold >= least:
+            return trees, depth
+    raise ValueError(f"no forest for a threshold of {threshold} per cent")
+
+
+def paths(tokens: np.ndarray, trees: int, depth: int) -> np.ndarray:
+    """Node ids of all trees and levels: (rows, trees, depth)."""
     rows = np.arange(len(tokens))[:, None]
-    step = MINHASHES // TREES
-    p = np.broadcast_to(_mix(np.arange(1, TREES + 1, dtype=np.uint64)), (len(tokens), TREES))
-    chosen = np.broadcast_to(np.arange(TREES) * step, p.shape)
-    out = np.empty((len(tokens), TREES, DEPTH), np.uint64)
-    for level in range(DEPTH):
+    step = MINHASHES // trees
+    p = np.broadcast_to(_mix(np.arange(1, trees + 1, dtype=np.uint64)), (len(tokens), trees))
+    chosen = np.broadcast_to(np.arange(trees) * step, p.shape)
+    out = np.empty((len(tokens), trees, depth), np.uint64)
+    for level in range(depth):
         p = _mix(p ^ _mix(tokens[rows, chosen].astype(np.uint64) + np.uint64(level + 1)))
         out[:, :, level] = p
         chosen = ((p >> np.uint64(40)) % np.uint64(MINHASHES)).astype(np.int64)
@@ -133,30 +142,30 @@ def _tokens(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, MINHASHES)
 
 
-def tree_roots(reps: DataFrame) -> DataFrame:
+def tree_roots(reps: DataFrame, trees: int, depth: int) -> DataFrame:
     """(doc_id, tree, node) at the first level of every tree."""
     def run(batches):
         for b in batches:
             if b.num_rows:
-                p = paths(_tokens(b.column("tokens")))[:, :, 0]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column("doc_id").to_numpy(zero_copy_only=False), TREES), pa.int64()),
-                                                  pa.array(np.tile(np.arange(TREES, dtype=np.int32), b.num_rows)), pa.array(p.ravel().view(np.int64))],
+                p = paths(_tokens(b.column("tokens")), trees, depth)[:, :, 0]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column("doc_id").to_numpy(zero_copy_only=False), trees), pa.int64()),
+                                                  pa.array(np.tile(np.arange(trees, dtype=np.int32), b.num_rows)), pa.array(p.ravel().view(np.int64))],
                                                  ["doc_id", "tree", "node"])
 
     return reps.mapInArrow(run, "doc_id bigint, tree int, node bigint")
 
 
-def branches(shared: DataFrame) -> DataFrame:
+def branches(shared: DataFrame, trees: int, depth: int) -> DataFrame:
     """``shared`` (doc_id, tree, node, size, tokens) with sketch and the deeper path."""
     def run(batches):
         for b in batches:
             if b.num_rows:
                 tokens = _tokens(b.column("tokens"))
-                p = paths(tokens)[np.arange(b.num_rows), b.column("tree").to_numpy()]
+                p = paths(tokens, trees, depth)[np.arange(b.num_rows), b.column("tree").to_numpy()]
                 sketch = tokens.astype(np.uint8)
                 below = p[:, 1:].view(np.int64)
                 flat = pa.array(below.ravel())
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * (DEPTH - 1)), flat)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * (depth - 1)), flat)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("node"), b.column("size"), lists, pa.array([x.tobytes() for x in sketch], pa.binary())],
                                                  ["doc_id", "node", "size", "below", "sketch"])
 
@@ -212,10 +221,10 @@ def _edges(pairs: list[tuple[int, int]]):
     return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], ["a", "b"])
 
 
-def leaf_edges(leaves: DataFrame) -> DataFrame:
+def leaf_edges(leaves: DataFrame, threshold: int) -> DataFrame:
     """Candidate edges (a, b): a spanning forest of every leaf's pairs whose
     sketches agree well enough."""
-    bar = MINHASHES * (THRESHOLD / 100 - SLACK)
+    bar = MINHASHES * (threshold / 100 - SLACK)
 
     def run(batches):
         out = []
@@ -239,41 +248,42 @@ def leaf_edges(leaves: DataFrame) -> DataFrame:
     return leaves.repartition("node").sortWithinPartitions("node", "doc_id").mapInArrow(run, "a bigint, b bigint")
 
 
-def candidate_edges(reps: DataFrame) -> DataFrame:
+def candidate_edges(reps: DataFrame, threshold: int) -> DataFrame:
     """Edges (a, b) whose components hold every linked pair."""
-    roots = tree_roots(reps)
+    trees, depth = forest_of(threshold)
+    roots = tree_roots(reps, trees, depth)
     sizes = roots.groupBy("tree", "node").agg(F.count("*").alias("size")).where("size > 1")
     shared = roots.join(sizes, ["tree", "node"])
-    rows = branches(shared.join(reps, "doc_id").select("doc_id", "tree", "node", "size", "tokens"))
+    rows = branches(shared.join(reps, "doc_id").select("doc_id", "tree", "node", "size", "tokens"), trees, depth)
     rows = stored(rows, "tree-rows")
     leaves = rows.where(F.col("size") <= NODE).select("node", "doc_id", "sketch")
-    found = leaf_edges(leaves)
+    found = leaf_edges(leaves, threshold)
     open_rows = rows.where(F.col("size") > NODE).select("doc_id", "below", "sketch")
-    for level in range(DEPTH - 1):
+    for level in range(depth - 1):
         at = open_rows.withColumn("node", F.col("below")[level])
         sizes = at.groupBy("node").agg(F.count("*").alias("size"), F.min("doc_id").alias("least")).where("size > 1")
         at = stored(at.join(sizes, "node"), "tree-level")
-        found = found.union(leaf_edges(at.where(F.col("size") <= NODE).select("node", "doc_id", "sketch")))
+        found = found.union(leaf_edges(at.where(F.col("size") <= NODE).select("node", "doc_id", "sketch"), threshold))
         big = at.where(F.col("size") > NODE)
         open_rows = big.select("doc_id", "below", "sketch")
-        if level == DEPTH - 2:
+        if level == depth - 2:
             found = found.union(big.select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
         elif big.isEmpty():
             break
     return found.where("a <> b").distinct()
 
 
-def _confirm(ids: np.ndarray, sets: list[np.ndarray], out: list[tuple[int, int]]) -> None:
+def _confirm(ids: np.ndarray, sets: list[np.ndarray], out: list[tuple[int, int]], threshold: int) -> None:
     """Appends a spanning forest of the pairs with enough common shingles."""
     m, n = len(ids), np.array([len(s) for s in sets], np.int64)
     forest = Forest(m)
     if m <= 12:
         for i in range(m):
             for j in range(i + 1, m):
-                if 100 * min(n[i], n[j]) < THRESHOLD * max(n[i], n[j]) or forest.root(i) == forest.root(j):
+                if 100 * min(n[i], n[j]) < threshold * max(n[i], n[j]) or forest.root(i) == forest.root(j):
                     continue
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * both >= THRESHOLD * (n[i] + n[j] - both):
+                if 100 * both >= threshold * (n[i] + n[j] - both):
                     forest.join(i, j)
                     out.append((ids[i], ids[j]))
         return
@@ -289,13 +299,13 @@ def _confirm(ids: np.ndarray, sets: list[np.ndarray], out: list[tuple[int, int]]
         has[owner[s:e], at[s:e] - lo] = 1
         both += has @ has.T
     both = both.astype(np.int64)
-    linked = np.triu(100 * both >= THRESHOLD * (n[:, None] + n[None, :] - both), 1)
+    linked = np.triu(100 * both >= threshold * (n[:, None] + n[None, :] - both), 1)
     for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
         if forest.join(i, j):
             out.append((ids[i], ids[j]))
 
 
-def confirmed_links(groups: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed_links(groups: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
     """Links (a, b) on full sets inside the groups (node, component): a spanning
     forest of each piece of work."""
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
@@ -322,7 +332,7 @@ def confirmed_links(groups: DataFrame, docs: DataFrame) -> DataFrame:
         out: list[tuple[int, int]] = []
         for parts in _runs(batches, ["component", "i", "j"]):
             ids = np.concatenate([p.column("node").to_numpy(zero_copy_only=False) for p in parts])
-            _confirm(ids, [np.frombuffer(x, np.uint64) for p in parts for x in p.column("shingles").to_pylist()], out)
+            _confirm(ids, [np.frombuffer(x, np.uint64) for p in parts for x in p.column("shingles").to_pylist()], out, threshold)
             if len(out) > 10_000:
                 yield _edges(out)
                 out = []
@@ -332,8 +342,9 @@ def confirmed_links(groups: DataFrame, docs: DataFrame) -> DataFrame:
     return pieces.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "node").mapInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``; documents
+    whose similarity is ``threshold`` per cent or more are linked."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = stored(signatures(docs), "signatures")
     usable = sig.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
@@ -341,8 +352,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stored(classes, "classes")
     reps = stored(usable.join(classes, (usable["doc_id"] == classes["rep"]) & (usable["set_key"] == classes["set_key"]), "left_semi")
                   .select("doc_id", "tokens"), "representatives")
-    groups = components(candidate_edges(reps))
-    links = components(confirmed_links(groups, docs))
+    groups = components(candidate_edges(reps, threshold))
+    links = components(confirmed_links(groups, docs, threshold))
     # a class is the component of its representative; ids shared by several rows tie their classes together
     final = classes.join(links, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
     return (sig.select("doc_id", "n_shingles", F.coalesce("set_key", F.concat(F.lit("empty"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")).alias("set_key"))
@@ -351,10 +362,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns; of rows that repeat a
     kept doc_id, the first by text hash stays."""
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = near_duplicates(docs, threshold).where("kept and doc_id is not null").select("doc_id").distinct()
     rows = packed(docs, k=F.col("doc_id").cast("long"), t=F.xxhash64("text"))
     named = rows.where(F.col("k").isNotNull()).join(kept, F.col("k") == F.col("doc_id"), "left_semi")
     first = named.withColumn("nth", F.row_number().over(Window.partitionBy("k").orderBy("t"))).where("nth = 1")
