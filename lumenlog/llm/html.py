@@ -3,13 +3,15 @@
 1. A page is parsed once into a tree.  Runs of siblings that look alike (a list's
    items, an article's paragraphs) count as one repeated node, which gives the
    page's outline, and every text block belongs to one outline node.
-2. A host's wrapper is the outline of its first page (smallest page_id).  The other
+2. A host's wrapper is the outline that most of its pages with text have.  The other
    distinct outlines of the host are aligned with it by simple tree matching (the
    largest ordered mapping of equal tags), so blocks of different pages get the
-   same slot.  The work is per distinct outline, not per page.
-3. Over all pages of a host, a text that the same slot repeats on at least
-   ``CONSTANT_SHARE`` of the pages that have the slot (``MIN_PAGES`` at least) is
-   template; slots that vary are content.
+   same slot.  Nodes that the wrapper lacks are aligned with each other by their tags
+   below the nearest node that it has.  The work is per distinct outline, not per page.
+3. Over all different pages of a host (pages with the same blocks count once), a text
+   that the same slot repeats on at least ``CONSTANT_SHARE`` of the pages that have the
+   slot (``MIN_PAGES`` at least) is template; slots that vary are content.  A page that
+   would lose all its blocks so keeps those of slots that vary.
 4. Slots under menus, headers, footers, sidebars, notices, adverts, forms, scripts
    and comments by tag, role or class are template whatever they hold.  Where the
    outline has an article (else a main element), content is what lies inside.
@@ -27,6 +29,7 @@ import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -228,6 +231,20 @@ def matched(a: str, b: str) -> list[int]:
     return partner
 
 
+def slots_of(outline: str, wrapper: str) -> list[int]:
+    """The slot of every node: its partner in the wrapper, or a negative number
+    named by the nearest partner above it and the tags from there."""
+    partner = matched(outline, wrapper)
+    tags, children = tree_of(outline)
+    slot, below = list(partner), [""] * len(tags)
+    for x, kids in enumerate(children):         # preorder: parents first
+        for y in kids:
+            if partner[y] < 0:
+                below[y] = (below[x] if partner[x] < 0 else str(partner[x])) + "/" + tags[y]
+                slot[y] = -1 - (xxhash.xxh3_64_intdigest(below[y]) >> 1)
+    return slot
+
+
 def parse(html: str | None):
     """(outline, [(outline node, text)]) of the blocks that tags do not exclude."""
     page = Page().result(html or "")
@@ -257,9 +274,10 @@ def parsed(pages: DataFrame) -> DataFrame:
 
 def slots(pages: DataFrame) -> DataFrame:
     """(host, outline, slot_of): for every distinct outline of a host, the slot of
-    each of its nodes: the wrapper's node, or -1 - node for what the wrapper lacks."""
-    wrappers = pages.groupBy(F.col("host").alias("__host")).agg(F.min_by("outline", F.struct("page_id", "outline")).alias("wrapper"))
-    outlines = pages.groupBy("host", "outline").agg(F.count("*").alias("n")).join(wrappers, F.col("host") == F.col("__host"))
+    each of its nodes.  ``pages`` has (host, outline, filled: whether it has blocks)."""
+    outlines = stored(pages.groupBy("host", "outline").agg(F.count_if("filled").alias("n")), "page-outlines")
+    wrappers = outlines.groupBy(F.col("host").alias("__host")).agg(F.max_by("outline", F.struct("n", "outline")).alias("wrapper"))
+    outlines = outlines.join(wrappers, F.col("host") == F.col("__host"))
 
     def run(batches):
         memo: dict = {}
@@ -269,38 +287,48 @@ def slots(pages: DataFrame) -> DataFrame:
                 if (o, w) not in memo:
                     if len(memo) > 10_000:
                         memo.clear()
-                    memo[o, w] = [y if y >= 0 else -1 - x for x, y in enumerate(matched(o, w))]
+                    memo[o, w] = slots_of(o, w)
                 out.append(memo[o, w])
-            yield pa.RecordBatch.from_arrays([b.column("host"), b.column("outline"), pa.array(out, pa.list_(pa.int32()))], ["host", "outline", "slot_of"])
+            yield pa.RecordBatch.from_arrays([b.column("host"), b.column("outline"), pa.array(out, pa.list_(pa.int64()))], ["host", "outline", "slot_of"])
 
-    return outlines.select("host", "outline", "wrapper").mapInArrow(run, "host string, outline string, slot_of array<int>")
+    return outlines.select("host", "outline", "wrapper").mapInArrow(run, "host string, outline string, slot_of array<bigint>")
 
 
 def constants(pages: DataFrame, aligned: DataFrame) -> DataFrame:
-    """(host, fixed): per host the digests of (slot, text) that are template."""
-    small = pages.select("host", "outline",
-                         F.transform("blocks", lambda b: F.struct(b["node"].alias("node"), F.xxhash64(b["text"]).alias("text"))).alias("blocks"))
+    """(host, fixed, firm): per host the digests of (slot, text) that are template,
+    and those of them whose slot never holds another text."""
+    small = pages.where(F.size("blocks") > 0).select("host", "outline", F.transform(
+        "blocks", lambda b: F.struct(b["node"].alias("node"), F.xxhash64(b["text"]).alias("text"))).alias("blocks"))
+    # pages with the same texts are one page
+    small = (small.groupBy("host", F.col("blocks.text").alias("texts")).agg(F.min(F.struct("outline", "blocks")).alias("page"))
+             .select("host", "page.outline", "page.blocks"))
+    small = stored(small, "page-contents")
     rows = (small.join(aligned, ["host", "outline"])
             .select("host", F.explode(F.array_distinct(F.transform("blocks", lambda b: F.struct(F.get("slot_of", b["node"]).alias("slot"), b["text"].alias("text"))))).alias("b"))
             .select("host", "b.slot", "b.text"))
-    texts = rows.groupBy("host", "slot", "text").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES * CONSTANT_SHARE)
+    counts = rows.groupBy("host", "slot", "text").agg(F.count("*").alias("n"))
+    kinds = counts.groupBy("host", "slot").agg(F.count("*").alias("kinds"))
+    texts = counts.where(F.col("n") >= MIN_PAGES * CONSTANT_SHARE)
     have = (small.join(aligned, ["host", "outline"])
             .select("host", F.explode(F.array_distinct(F.transform("blocks", lambda b: F.get("slot_of", b["node"])))).alias("slot"))
             .groupBy("host", "slot").agg(F.count("*").alias("pages")).where(F.col("pages") >= MIN_PAGES))
-    return (texts.join(have, ["host", "slot"]).where(F.col("n") >= CONSTANT_SHARE * F.col("pages"))
-            .groupBy("host").agg(F.collect_set(F.xxhash64("slot", "text")).alias("fixed")))
+    digest = F.xxhash64("slot", "text")
+    return (texts.join(have, ["host", "slot"]).where(F.col("n") >= CONSTANT_SHARE * F.col("pages")).join(kinds, ["host", "slot"])
+            .groupBy("host").agg(F.collect_set(digest).alias("fixed"), F.collect_set(F.when(F.col("kinds") == 1, digest)).alias("firm")))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars."""
     rows = stored(parsed(pages), "page-blocks")
-    aligned = stored(slots(rows.select("host", "outline", "page_id")), "page-slots")
+    aligned = stored(slots(rows.select("host", "outline", (F.size("blocks") > 0).alias("filled"))), "page-slots")
     fixed = stored(constants(rows, aligned), "page-constants")
     few = fixed.count() <= MAX_BROADCAST
     # only pages of hosts that have constants meet the alignment again
-    with_slots = fixed.join(aligned, "host").select(F.col("host").alias("__h"), F.col("outline").alias("__o"), "slot_of", "fixed")
+    with_slots = fixed.join(aligned, "host").select(F.col("host").alias("__h"), F.col("outline").alias("__o"), "slot_of", "fixed", "firm")
     with_slots = F.broadcast(with_slots) if few and with_slots.count() <= MAX_BROADCAST else with_slots
-    kept = F.filter("blocks", lambda b: F.col("fixed").isNull() | ~F.array_contains("fixed", F.xxhash64(F.get("slot_of", b["node"]), F.xxhash64(b["text"]))))
+    without = lambda gone: F.filter("blocks", lambda b: F.col(gone).isNull() | ~F.array_contains(
+        gone, F.xxhash64(F.get("slot_of", b["node"]), F.xxhash64(b["text"]))))
+    kept = F.when(F.size(without("fixed")) > 0, without("fixed")).otherwise(without("firm"))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     return (rows.join(with_slots, (F.col("host") == F.col("__h")) & (F.col("outline") == F.col("__o")), "left")
             .select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long")))
