@@ -67,12 +67,17 @@ def shapes(path):
         .otherwise(s)))
 
 
+def _from(d: int):
+    """The segments from ``d`` (0-based) on, to the path's end."""
+    return F.slice("segs", d + 1, F.greatest(F.size("segs"), F.lit(1)))
+
+
 def _generalise(a: DataFrame, d: int) -> DataFrame:
     """``a`` (host, segs, tmpl, n, m, g) with segment ``d`` (0-based) moved from
     ``segs`` to ``tmpl``, as a wildcard where it varies or its branch is like its siblings."""
     up = ["host", "tmpl"]
     a = a.withColumn("seg", F.coalesce(F.get("segs", F.lit(d)), F.lit("")))
-    a = a.withColumn("below", F.array_join(F.slice("segs", d + 2, 1000), "/"))
+    a = a.withColumn("below", F.array_join(_from(d + 1), "/"))
     parent = a.groupBy(*up).agg(F.sum("n").alias("pn"), F.sum("m").alias("pm"), F.sum("g").alias("pg"), F.count_distinct("seg").alias("kids"))
     pooled = a.groupBy(*up, "below").agg(F.sum("n").alias("rn"))
     child = a.groupBy(*up, "seg", "below").agg(F.sum("n").alias("o"), F.sum("m").alias("m"), F.sum("g").alias("g"))
@@ -102,7 +107,7 @@ def templates(urls: DataFrame, depth: int = DEPTH) -> DataFrame:
     a = stored(a, "url-shapes")
     for d in range(depth):
         a = stored(_generalise(a, d), "url-tree")
-    a = a.withColumn("tmpl", F.concat("tmpl", F.lit("/"), F.array_join(F.slice("segs", depth + 1, 1000), "/")))
+    a = a.withColumn("tmpl", F.concat("tmpl", F.lit("/"), F.array_join(_from(depth), "/")))
     overall = urls.agg(((F.coalesce(F.sum("good"), F.lit(0)) + 1.0) / (F.count("good") + 1.0)).alias("prior"))
     purity = (a.groupBy("host", "tmpl").agg(F.sum("m").alias("tm"), F.sum("g").alias("tg"))
               .join(F.broadcast(overall))        # one row
