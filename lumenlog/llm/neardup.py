@@ -10,7 +10,7 @@ one class, represented by the smallest doc_id; the join runs on representatives.
   down to a number of levels.  The trees start from different tokens: a pair at the
   threshold t shares a leaf of depth d in one tree with probability t^d, so all
   trees miss it with (1 - t^d)^trees.  ``FORESTS`` has (trees, levels) by threshold:
-  at 0.85 under 1e-13 at depth 1, 1e-6 at depth 3 and 8e-5 at the last, 5; at 0.80
+  at 0.85 under 1e-13 at depth 1, 1e-6 at depth 3 and 9e-5 at the last, 5; at 0.80
   under 1e-16 at depth 1, 1e-7 at depth 3 and 4e-6 at the last, 4.
 * Leaves are compared exhaustively on one-byte sketches of the tokens.  The bar is
   so far below the threshold (``SLACK``) that a linked pair falls under it less
