@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html, lm, mix, neardup, quality, rules, substrings, tokens, urls
+from . import decontaminate, fim, html, lm, mix, neardup, phrases, pieces, quality, rules, substrings, tokens, urls
 
 
 def queries() -> dict:
@@ -17,6 +17,9 @@ def queries() -> dict:
         "op8_quality_classifier": quality.op8_quality_classifier,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_token_ids": tokens.op10_token_ids,
+        "op11_sentence_pieces": pieces.op11_sentence_pieces,
+        "op12_fill_in_middle": fim.op12_fill_in_middle,
+        "op13_phrases": phrases.op13_phrases,
     }
 
 
@@ -28,4 +31,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_near_dedup": neardup.ORACLE,
         "op7_url_filters": urls.ORACLE,
         "op9_decontaminate": decontaminate.ORACLE,
+        "op12_fill_in_middle": fim.ORACLE,
+        "op13_phrases": phrases.ORACLE,
     }
