@@ -24,11 +24,15 @@ from ..operators import windows as WN
 from ..schemas import ENRICHED_COLUMNS
 from ..session import run_folder
 from ..sinks import files as SK
+from ..sinks import lookup as LK
 from ..sources import codec as CD
 from ..sources import files as SF
 from ..sources import fixtures as FX
 from ..sources import stream as SS
 from ..sources.fixtures import load_incidents
+from ..streaming import batchlog as BL
+from ..streaming import crossing as CX
+from ..streaming import intake as IN
 from ..streaming import jobs as ST
 from . import readside as RS
 
@@ -199,6 +203,16 @@ def q_lookup_incident(spark, sf_dir):
     return _out(FD.lookup_incident(enr, chosen_incident(enr), tiebreak=["event_id"]))
 
 
+@register("lookup_indexed")
+def q_lookup_indexed(spark, sf_dir):
+    """The same lookup on a table laid out for it: file ranges and Bloom filters on the id."""
+    path = run_folder(spark, "lookup")
+    LK.write_lookup(enriched(spark, sf_dir), path)
+    rows = spark.read.parquet(f"{path}/rows")
+    wanted = rows.agg(chosen_incident(rows).alias("id")).first().id
+    return _out(FD.latest_per_incident(LK.lookup(spark, path, wanted), tiebreak=["event_id"]))
+
+
 # --- versions and files --------------------------------------------------------
 
 VERSION_SPLIT = "2024-01-01 06:00:00"
@@ -435,3 +449,58 @@ def q_stream_alerts_final(spark, sf_dir):
                             state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return _out(ST.final_alerts(spark, f"{root}/alerts"))
+
+
+@register("stream_first_crossing")
+def q_stream_first_crossing(spark, sf_dir):
+    """Keyed state with timers: every window alerts once."""
+    root = run_folder(spark, "stream-crossing")
+    wire = SS.read_wire_files(spark, _land_topic(spark, sf_dir))
+    q = CX.start_first_crossings(ST.incident_stream(wire), f"{root}/out", f"{root}/_checkpoint", trigger={"availableNow": True},
+                                 state_partitions=spark.sparkContext.defaultParallelism)
+    q.awaitTermination()
+    return _out(CX.read_crossings(spark, f"{root}/out"))
+
+
+def _intake(spark, sf_dir) -> str:
+    """The damaged topic of two schemas through the intake job; its folder."""
+    root = run_folder(spark, "stream-intake")
+    FX.wire_records(load_incidents(spark, sf_dir), layouts=True).select("key", "value").write.parquet(f"{root}/topic")
+    spark.createDataFrame([(1, "v1"), (2, "v2")], IN.REGISTRY_SCHEMA).coalesce(1).write.parquet(f"{root}/registry")
+    q = IN.start_intake(SS.read_wire_files(spark, f"{root}/topic"), f"{root}/out", f"{root}/registry", f"{root}/_checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    return f"{root}/out"
+
+
+@register("stream_intake_valid")
+def q_stream_intake_valid(spark, sf_dir):
+    return _out(IN.read_valid(spark, _intake(spark, sf_dir)).drop("batch_id"))
+
+
+@register("stream_intake_quarantine")
+def q_stream_intake_quarantine(spark, sf_dir):
+    rows = IN.read_quarantine(spark, _intake(spark, sf_dir))
+    return _out(rows.select("event_time", "level", "message", "schema_id", "version", "reason"))
+
+
+@register("stream_intake_batches")
+def q_stream_intake_batches(spark, sf_dir):
+    """Rows of all batches by the job's own lines."""
+    return IN.read_batches(spark, _intake(spark, sf_dir)).agg(*(F.sum(c).alias(c) for c in IN.COUNTS))
+
+
+@register("stream_batch_log")
+def q_stream_batch_log(spark, sf_dir):
+    """Rows per query of the batch log, which a listener writes."""
+    root = run_folder(spark, "stream-log")
+    name = f"incidents_{root[-12:]}"
+    listener = BL.BatchLog(spark, f"{root}/log", {name})
+    spark.streams.addListener(listener)
+    try:
+        wire = SS.read_wire_files(spark, _land_topic(spark, sf_dir))
+        q = ST.start_enriched_sink(ST.incident_stream(wire), f"{root}/out", f"{root}/_checkpoint", trigger={"availableNow": True}, query_name=name)
+        q.awaitTermination()
+        BL.drain(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    return BL.read_batch_log(spark, f"{root}/log").agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_observed").alias("rows_observed"), F.sum("late_rows").alias("late_rows"))

@@ -411,5 +411,31 @@ dec_enr AS (
 SELECT window_start, window_end, level, count,
        {alert_text_sql('count', 'level', 'window_start', 'window_end')} AS alert_text
 FROM wc WHERE level = 'ERROR' AND count >= 3""")
+    q["stream_first_crossing"] = with_(INC, dec_enr, body=f"""
+SELECT window_start, window_end, level, event_time AS crossing_time, message AS crossing_message
+FROM (
+  SELECT make_timestamp((epoch_us(event_time) // {WINDOW_US}) * {WINDOW_US}) AS window_start,
+         make_timestamp((epoch_us(event_time) // {WINDOW_US}) * {WINDOW_US} + {WINDOW_US}) AS window_end,
+         level, event_time, message,
+         row_number() OVER (PARTITION BY epoch_us(event_time) // {WINDOW_US} ORDER BY event_time, message) AS rn
+  FROM dec_enr WHERE level = 'ERROR' AND event_time IS NOT NULL
+) t WHERE rn = 3""")
+    intake = f"""
+taken AS (
+  SELECT *, CAST(CASE WHEN event_id % 109 = 0 THEN 2 ELSE 1 END AS BIGINT) AS schema_id, CASE WHEN event_id % 109 = 0 THEN 'v2' ELSE 'v1' END AS version,
+         CASE WHEN event_time IS NULL AND level IS NULL AND message IS NULL THEN 'unreadable'
+              WHEN event_time IS NULL THEN 'missing_event_time' WHEN level IS NULL THEN 'missing_level' WHEN message IS NULL THEN 'missing_message' END AS reason
+  FROM dec
+)"""
+    q["stream_intake_valid"] = with_(INC, DEC, intake, body=f"""
+SELECT event_time, level, message, {_ex('message', INCIDENT_ID)} AS incident_id, {_ex('message', SERVICE)} AS service,
+       {_ex('message', CATEGORY)} AS category, schema_id, version
+FROM taken WHERE reason IS NULL""")
+    q["stream_intake_quarantine"] = with_(INC, DEC, intake, body="SELECT event_time, level, message, schema_id, version, reason FROM taken WHERE reason IS NOT NULL")
+    q["stream_intake_batches"] = with_(INC, DEC, intake, body="""
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) - count(reason) AS BIGINT) AS valid, CAST(count(reason) AS BIGINT) AS quarantined,
+       CAST(0 AS BIGINT) AS unknown_schema FROM taken""")
+    q["stream_batch_log"] = with_(INC, body="SELECT CAST(count(*) AS BIGINT) AS rows_in, CAST(count(*) AS BIGINT) AS rows_observed, CAST(0 AS BIGINT) AS late_rows FROM inc")
+    q["lookup_indexed"] = q["lookup_incident"]
 
     return q

@@ -25,7 +25,7 @@ from ..functions.timefmt import render_ts
 from ..operators.enrich import enrich, fixed_order
 from ..operators.windows import alert_rule, flatten_window
 from ..sinks.files import CSV_WRITE_OPTIONS, with_hour
-from ..sources.codec import decode_framed, decode_plain
+from ..sources.codec import decode_by_schema, decode_framed, decode_plain
 
 DEFAULT_TRIGGER = {"processingTime": "1 minute"}
 
@@ -35,9 +35,16 @@ ALERT_TABLE_SCHEMA = ("window_start timestamp, window_end timestamp, level strin
 
 
 def incident_stream(wire: DataFrame, framed: bool = True,
-                    watermark: str = WATERMARK_DELAY) -> DataFrame:
-    """Wire records -> enriched incidents with an event-time watermark."""
-    decoded = decode_framed(wire) if framed else decode_plain(wire)
+                    watermark: str = WATERMARK_DELAY, registry: DataFrame | None = None) -> DataFrame:
+    """Wire records -> enriched incidents with an event-time watermark.
+
+    With ``registry`` (schema_id, version) every record is decoded by its schema's
+    layout, through a stream-static join; the table is the one at the query's start
+    (``streaming.intake`` reads it again in every batch)."""
+    if registry is not None:
+        decoded = decode_by_schema(wire, registry).select("event_time", "level", "message")
+    else:
+        decoded = decode_framed(wire) if framed else decode_plain(wire)
     return enrich(decoded.withWatermark("event_time", watermark))
 
 
