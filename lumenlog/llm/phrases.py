@@ -3,20 +3,24 @@
 1. Tasks cut their rows into shards of one language and about ``SHARD_WORDS`` words.  A
    shard numbers its own words, sorts its positions by the next four words (no phrase
    is longer) and stores the Burrows-Wheeler transform: the word before each position
-   in that order.  Words and their counts are stored beside it.
+   in that order.  Its words and their counts are stored beside it.
 2. A phrase is an interval of that order.  ``extend`` takes all intervals of d-1 words
    one word to the left at once: the position before each one is its rank among equal
    words (the last-to-first mapping), which carries an interval over into one
-   sub-interval per word before it.  The interval of d words lies inside that of its first d-1
-   words, which gives the extension to the right: each one is known by its two
+   sub-interval per word before it.  The interval of d words lies inside that of its first
+   d-1 words, which gives the extension to the right: each one is known by its two
    phrases of d-1 words.
-3. Counts are summed across shards per number of words; the frequent phrases go back
-   to the shards that hold them (one row per shard and phrase) and only they are
-   extended.  A phrase below the bar has no frequent extension, so nothing is lost.
+3. Per number of words the shards' counts are summed.  A shard deals its phrases by hash
+   to parts, one packed row per part; a part has about ``PART_WORDS`` entries at any size
+   of the input, as their number grows with it.  The part sums equal phrases, names
+   those that reach the bar, and tells each shard which of the entries it sent they
+   are.  Only these are extended: a phrase below the bar has no frequent extension.
 4. Scores, containment and ranks are joins and aggregates over the frequent phrases.
 
-A shard's state is bounded by its words; no task sees a language whole and nothing is
-collected.  Shards are a stored table, so a lost executor's work is redone from it.
+A shard's state is bounded by its words and a part's by its entries, of which a phrase
+has one per shard; no task sees a language whole and nothing is collected but the
+number of words.  Shards and sums are stored tables, so a lost executor's work is
+done again from them.
 
 Defined results: null or empty texts have no words; a null language is ``und``; rows
 that repeat count each for itself; ids are not read; other columns, also of clashing
@@ -25,6 +29,8 @@ names, are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -32,8 +38,8 @@ from pyspark.sql import functions as F
 
 from .common import ASCII_LOWER, stored, table
 
-#: Words of one shard; one text with more is a shard of its own.
-SHARD_WORDS = 1 << 21
+#: Words of one shard, unless one text has more, and words of the corpus per part.
+SHARD_WORDS, PART_WORDS = 1 << 20, 1 << 20
 DEPTH = 4
 MIN_COUNT, CONTAINED, TOP = 30, 80, 2000
 #: What ends a piece.
@@ -71,7 +77,7 @@ def transform(text: np.ndarray, depth: int = DEPTH) -> np.ndarray:
         _, rank = np.unique(rank * (n + 2) + after, return_inverse=True)
         known += step
     order = np.argsort(rank, kind="stable")
-    return text[order - 1].astype(np.int32)         # before the first stands the last, a piece's end
+    return text[order - 1]          # before the first stands the last, a piece's end
 
 
 class Index:
@@ -105,8 +111,9 @@ class Index:
         return out, a[new], b[new], np.bincount(number, minlength=int(new.sum()))
 
 
-def shards(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(shard, lang, before, words, counts): one row per shard, stored."""
+def shards(docs: DataFrame, shard_words: int) -> DataFrame:
+    """(shard, lang, before, n, words, counts, bytes): one row per shard, stored.  ``words`` are
+    joined by line ends, which no word holds."""
     def run(batches):
         from pyspark import TaskContext
         part, made = TaskContext.get().partitionId(), 0
@@ -121,11 +128,14 @@ def shards(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
             text = np.concatenate([*chunks, np.zeros(1, np.int32)])
             counts = np.bincount(text, minlength=len(ids))
             made += 1
+            joined = b"\n".join(list(ids)[1:])
             return pa.RecordBatch.from_arrays(
-                [pa.array([part << 32 | made], pa.int64()), pa.array([lang], pa.string()), pa.array([pa.compress(transform(text).tobytes(), "zstd", asbytes=True)], pa.binary()),
-                 pa.array([len(text)], pa.int64()), pa.array([[w.decode() for w in list(ids)[1:]]], pa.list_(pa.string())), pa.array([counts[1:]], pa.list_(pa.int64()))],
-                ["shard", "lang", "before", "size", "words", "counts"])
+                [pa.array([part << 32 | made], pa.int64()), pa.array([lang], pa.string()), pa.array([packed(transform(text))], pa.binary()),
+                 pa.array([int(counts[1:].sum())], pa.int64()), pa.array([pa.compress(joined, "zstd", asbytes=True)], pa.binary()), pa.array([packed(counts[1:])], pa.binary()),
+                 pa.array([len(joined)], pa.int64())],
+                columns)
 
+        columns = ["shard", "lang", "before", "n", "words", "counts", "bytes"]
         for b in batches:
             by_lang: dict = {}
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text"), strict=True):
@@ -145,77 +155,187 @@ def shards(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
             yield flush(lang)
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    return stored(rows.mapInArrow(run, "shard bigint, lang string, before binary, size bigint, words array<string>, counts array<bigint>"), "phrase-shards")
-
-
-def _extended(index: DataFrame, kept: list[DataFrame]) -> DataFrame:
-    """(shard, number, head, tail, n): the phrases of every shard that are made of
-    two phrases kept before.  ``kept`` has (shard, number, id) for each length so far."""
-    depth = len(kept) + 1
-    back = kept[0].withColumn("length", F.lit(1))
-    for k, x in enumerate(kept[1:], 2):
-        back = back.unionByName(x.withColumn("length", F.lit(k)))
-
-    def run(left, right):
-        shard = left.column("shard")[0].as_py()
-        size = left.column("size")[0].as_py()
-        before = np.frombuffer(pa.decompress(left.column("before")[0].as_py(), size * 4, "zstd"), np.int32)
-        fm = Index(before)
-        length, number, name = (right.column(c).to_numpy() for c in ("length", "number", "id"))
-        keep = np.zeros(int(before.max()) + 1, bool)
-        keep[number[length == 1] + 1] = True
-        at = fm.words(keep)
+    return stored(rows.mapInArrow(run, "shard bigint, lang string, before binary, n bigint, words binary, counts binary, bytes bigint"), "phrase-shards")
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers; many of them compressed, their bytes by place as the high ones are mostly zero."""
+    x = np.ascontiguousarray(x, "<i8")
+    if len(x) < 64:
+        return b"\0" + x.tobytes()
+    return b"\1" + len(x).to_bytes(8, "little") + pa.compress(x.view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    if raw[0] == 0:
+        return np.frombuffer(raw, "<i8", offset=1)
+    n = int.from_bytes(raw[1:9], "little")
+    return np.frombuffer(pa.decompress(raw[9:], 8 * n, "zstd", asbytes=True), np.uint8).reshape(8, n).T.copy().view("<i8").ravel()
+
+
+def part_of(head: np.ndarray, tail: np.ndarray, parts: int) -> np.ndarray:
+    """The part to which a phrase of two phrases is dealt."""
+    x = head.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + tail.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> np.uint64(29))) % np.uint64(parts)).astype(np.int64)
+
+
+def _dealt(shard: int, part: np.ndarray, parts: int, columns) -> pa.Table:
+    """One row per part with the shard's entries, in their order."""
+    order = np.argsort(part, kind="stable")
+    ends = np.searchsorted(part[order], np.arange(parts + 1))
+    used = np.flatnonzero(np.diff(ends))
+    rows = [[c(order[ends[p]:ends[p + 1]]) for p in used] for c in columns]
+    return pa.table([pa.array(used, pa.int64()), pa.array([shard] * len(used), pa.int64()), *(pa.array(r, pa.binary()) for r in rows)],
+                    names=["part", "shard", *(f"c{k}" for k in range(len(columns)))])
+
+
+def _words_dealt(index: DataFrame, parts: int) -> DataFrame:
+    """(part, shard, lang, c0, c1): the words of every shard and their counts."""
+    def run(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                words = pa.decompress(r["words"], r["bytes"], "zstd", asbytes=True).split(b"\n") if r["n"] else []
+                counts = unpacked(r["counts"])
+                part = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
+                out = _dealt(r["shard"], part, parts, [lambda k, w=words: b"\n".join([w[i] for i in k]), lambda k, c=counts: packed(c[k])])
+                yield from out.append_column("lang", pa.array([r["lang"]] * out.num_rows, pa.string())).to_batches()
+
+    rows = index.select("shard", "lang", "n", "words", "counts", "bytes")
+    return rows.mapInArrow(run, "part bigint, shard bigint, c0 binary, c1 binary, lang string")
+
+
+_SUMMED = "part bigint, shard bigint, places binary, ids binary, phrases array<struct<id: bigint, lang: string, word: string, head: bigint, tail: bigint, f: bigint>>"
+
+
+def _summed_table(part: int, back: list, phrases: pa.StructArray) -> pa.Table:
+    """The rows of one part: those that tell a shard its frequent entries, and the phrases themselves."""
+    n = len(back)
+    lists = pa.ListArray.from_arrays(pa.array([0] * (n + 1) + [len(phrases)], pa.int32()), phrases)
+    shards_, places, ids = zip(*back) if back else ((), (), ())
+    return pa.table([pa.array([part] * (n + 1), pa.int64()), pa.array([*shards_, None], pa.int64()), pa.array([*map(packed, places), None], pa.binary()),
+                     pa.array([*map(packed, ids), None], pa.binary()), lists], names=["part", "shard", "places", "ids", "phrases"])
+
+
+def _words_summed(dealt: DataFrame, parts: int, min_count: int) -> DataFrame:
+    def run(t: pa.Table) -> pa.Table:
+        p = t.column("part")[0].as_py()
+        rows = [(r["shard"], r["lang"], r["c0"].split(b"\n"), unpacked(r["c1"])) for r in t.to_pylist()]
+        total: dict = {}
+        for _, lang, words, counts in rows:
+            mine = total.setdefault(lang, {})
+            for w, n in zip(words, counts.tolist(), strict=True):
+                mine[w] = mine.get(w, 0) + n
+        named = [(lang, w, n) for lang in sorted(total) for w, n in sorted(total[lang].items()) if n >= min_count]
+        name = {(lang, w): k * parts + p for k, (lang, w, _) in enumerate(named)}
+        back = []
+        for shard, lang, words, _ in rows:
+            ids = np.array([name.get((lang, w), -1) for w in words], np.int64)
+            back.append((shard, np.flatnonzero(ids >= 0), ids[ids >= 0]))
+        none = pa.nulls(len(named), pa.int64())
+        langs, words, counts = zip(*named) if named else ((), (), ())
+        phrases = pa.StructArray.from_arrays([pa.array(np.arange(len(named)) * parts + p, pa.int64()), pa.array(langs, pa.string()), pa.array([w.decode() for w in words], pa.string()),
+                                              none, none, pa.array(counts, pa.int64())], ["id", "lang", "word", "head", "tail", "f"])
+        return _summed_table(p, back, phrases)
+
+    return stored(dealt.groupBy("part").applyInArrow(run, _SUMMED), "phrases-summed")
+
+
+def _phrases_summed(dealt: DataFrame, parts: int, min_count: int) -> DataFrame:
+    def run(t: pa.Table) -> pa.Table:
+        p = t.column("part")[0].as_py()
+        shard, sent = t.column("shard").to_pylist(), [unpacked(x.as_py()).reshape(3, -1) for x in t.column("c0")]
+        ends = np.cumsum([x.shape[1] for x in sent])
+        head, tail, n = np.concatenate(sent, axis=1)
+        order = np.lexsort((tail, head))
+        h, x = head[order], tail[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (x[1:] != x[:-1])
+        first = np.flatnonzero(new)
+        f = np.add.reduceat(n[order], first)
+        often = f >= min_count
+        group = np.empty(len(h), np.int64)
+        group[order] = np.where(often, np.cumsum(often) - 1, -1)[np.cumsum(new) - 1]
+        back = []
+        for s, lo, hi in zip(shard, [0, *ends[:-1]], ends, strict=True):
+            places = np.flatnonzero(group[lo:hi] >= 0)
+            back.append((s, places, group[lo:hi][places] * parts + p))
+        k = int(often.sum())
+        none = pa.nulls(k, pa.string())
+        phrases = pa.StructArray.from_arrays([pa.array(np.arange(k) * parts + p, pa.int64()), none, none, pa.array(h[first[often]], pa.int64()), pa.array(x[first[often]], pa.int64()),
+                                              pa.array(f[often], pa.int64())], ["id", "lang", "word", "head", "tail", "f"])
+        return _summed_table(p, back, phrases)
+
+    return stored(dealt.groupBy("part").applyInArrow(run, _SUMMED), "phrases-summed")
+
+
+def _extended(index: DataFrame, summed: list[DataFrame], parts: int) -> DataFrame:
+    """(part, shard, c0): heads, tails and counts of the phrases of every shard that
+    are made of two frequent ones.  ``summed`` has the sums of each length so far."""
+    depth = len(summed) + 1
+    back = None
+    for k, x in enumerate(summed, 1):
+        x = x.where(F.col("shard").isNotNull()).select("shard", F.lit(k).alias("length"), "part", "places", "ids")
+        back = x if back is None else back.unionByName(x)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.to_pylist()[0]
+        told: dict = {}
+        for r in right.to_pylist():
+            told.setdefault(r["length"], {})[r["part"]] = unpacked(r["places"]), unpacked(r["ids"])
+
+        def names(part: np.ndarray, length: int) -> np.ndarray:
+            """The id of each entry the shard sent, -1 where it is not frequent."""
+            order = np.argsort(part, kind="stable")
+            first = np.searchsorted(part[order], np.arange(parts))
+            out = np.full(len(part) + 1, -1, np.int64)         # the last for -1
+            for p, (places, ids) in told.get(length, {}).items():
+                out[order[first[p] + places]] = ids
+            return out
+
+        fm = Index(unpacked(row["before"]).astype(np.int32))
+        words = pa.decompress(row["words"], row["bytes"], "zstd", asbytes=True).split(b"\n") if row["n"] else []
+        known = names(np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words)), 1)
+        known = np.concatenate([[-1], known])               # word 0 is a piece's end
+        at = fm.words(known[:-1] >= 0)
         for k in range(2, depth + 1):
             at, head, tail, count = fm.extend(at)
-            if k < depth:       # only those that are frequent everywhere go on
-                keep = np.zeros(len(count) + 1, bool)
-                keep[number[length == k]] = True
-                at = np.where(keep[at], at, -1)
-        names = np.zeros(max(len(before) + 1, 1), np.int64)
-        last = length == depth - 1
-        names[number[last] + (depth == 2)] = name[last]
-        m = len(count)
-        return pa.table([pa.array(x, pa.int64()) for x in (np.full(m, shard), np.arange(m), names[head], names[tail], count)], names=columns)
-
-    columns = ["shard", "number", "head", "tail", "n"]
-    none = pa.table({c: pa.array([], pa.int64()) for c in columns})
-    return (index.select("shard", "before", "size").groupBy("shard").cogroup(back.groupBy("shard"))
-            .applyInArrow(lambda a, b: run(a, b) if a.num_rows and b.num_rows else none, ", ".join(f"{c} bigint" for c in columns)))
-
-
-def counts(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, list[DataFrame]]:
+            head, tail = known[head], known[tail]
+            part = part_of(head, tail, parts)
+            if k < depth:           # only those that are frequent everywhere go on
+                known = names(part, k)
+                at = np.where(known[at] >= 0, at, -1)
+        return _dealt(row["shard"], part, parts, [lambda k: packed(np.concatenate([head[k], tail[k], count[k]]))])
+
+    none = pa.table([pa.array([], pa.int64())] * 2 + [pa.array([], pa.binary())], names=["part", "shard", "c0"])
+    return (index.select("shard", "before", "n", "words", "bytes").groupBy("shard").cogroup(back.groupBy("shard"))
+            .applyInArrow(lambda a, b: run(a, b) if a.num_rows and b.num_rows else none, "part bigint, shard bigint, c0 binary"))
+
+
+def counts(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, shard_words: int | None = None) -> tuple[DataFrame, list[DataFrame]]:
     """(lang, n) with the number of words, and for each length the phrases with at least
     ``min_count`` occurrences: (id, lang, phrase, last, f, starts, ends, head, tail).
     ``starts`` and ``ends`` are the counts of its first and last 1, 2, … words; ``head`` and
     ``tail`` the ids of the two phrases it is made of."""
-    index = shards(docs, shard_words)
-    words = index.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts"))).select(
-        "shard", "lang", F.col("pos").cast("long").alias("number"), F.col("col.words").alias("word"), F.col("col.counts").alias("n"))
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    frequent = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-    one = stored(frequent.select(F.monotonically_increasing_id().alias("id"), "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f",
-                                 F.array("f").alias("starts"), F.array("f").alias("ends"), F.lit(None).cast("bigint").alias("head"), F.lit(None).cast("bigint").alias("tail")), "phrases")
-    levels = [one]
-    kept = [stored(words.join(one.select("id", F.col("lang").alias("l"), F.col("phrase").alias("p")), (F.col("lang") == F.col("l")) & (F.col("word") == F.col("p")))
-                   .select("shard", "number", "id"), "phrases-kept")]
-    for k in range(2, depth + 1):
-        found = stored(_extended(index, kept), "phrases-found")
-        frequent = found.groupBy("head", "tail").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-        named = frequent.select(F.monotonically_increasing_id().alias("id"), "head", "tail", "f")
-        named = stored(named, "phrases-named")
+    index = shards(docs, shard_words or SHARD_WORDS)
+    totals = index.groupBy("lang").agg(F.sum("n").alias("n")).where(F.col("n") > 0)
+    parts = 1 + (index.agg(F.sum("n")).first()[0] or 0) // PART_WORDS
+    summed = [_words_summed(_words_dealt(index, parts), parts, min_count)]
+    rows = summed[0].select(F.inline("phrases"))
+    levels = [rows.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("starts"), F.array("f").alias("ends"), "head", "tail")]
+    for _ in range(2, depth + 1):
+        summed.append(_phrases_summed(_extended(index, summed, parts), parts, min_count))
+        named = summed[-1].select(F.inline("phrases")).select("id", "head", "tail", "f")
         h = levels[-1].select(F.col("id").alias("head"), "lang", F.col("phrase").alias("start"), "starts")
         t = levels[-1].select(F.col("id").alias("tail"), "last", "ends")
         levels.append(stored(named.join(h, "head").join(t, "tail").select(
             "id", "lang", F.concat_ws(" ", "start", "last").alias("phrase"), "last", "f",
             F.concat("starts", F.array("f")).alias("starts"), F.concat("ends", F.array("f")).alias("ends"), "head", "tail"), "phrases"))
-        if k < depth:
-            kept.append(stored(found.join(named.select("id", F.col("head").alias("h"), F.col("tail").alias("t")), (F.col("head") == F.col("h")) & (F.col("tail") == F.col("t")))
-                               .select("shard", "number", "id"), "phrases-kept"))
     return totals, levels
 
 
 def collocations(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, contained: int = CONTAINED, top: int | None = TOP,
-                 shard_words: int = SHARD_WORDS) -> DataFrame:
+                 shard_words: int | None = None) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of every language's best phrases."""
     totals, levels = counts(docs, depth, min_count, shard_words)
     wide = lambda c: F.col(c).cast("decimal(20,0)")        # noqa: E731  products may pass 64 bits
