@@ -34,8 +34,8 @@ def split_words(text: Column, separators: str = SPACE) -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only where that is unset (local sessions, tests) a folder is made and
-    registered, so that ``checkpoint()`` works too.
+    Where that is unset a local session gets a folder of its own, registered so that
+    ``checkpoint()`` works too; on a cluster that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -43,6 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
         if set_dir.isDefined():
             root = os.path.dirname(set_dir.get().rstrip("/"))
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="llm-shared-")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(root)

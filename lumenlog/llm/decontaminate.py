@@ -1,10 +1,11 @@
 """Benchmark decontamination: a broadcast hash set of normalised test n-grams.
 
 Every training text is scanned once.  Its token windows are hashed inside the
-row, exploded as (position, length, hash) and probed against the hashed
-benchmark windows; a hit is then verified on the words themselves.  The probe
-side is broadcast only while the benchmark has at most ``MAX_BROADCAST_GRAMS``
-windows (counted first); beyond that the same join is a shuffled one.
+row, exploded as (position, length, hash) and probed against the hashes of the
+benchmark's windows; the hits are stored, and the words of the documents that have
+one are compared with the benchmark's.  The hash set is broadcast only while the
+benchmark has at most ``MAX_BROADCAST_GRAMS`` windows (counted first); beyond that the
+same join is a shuffled one.
 
 Defined results: null or word-less texts have no windows and are never
 contaminated; null, empty or word-less items match nothing; every input row of
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, packed, split_words, table
+from .common import lower_ascii, packed, split_words, stored, table
 
 WINDOW = 10
 MAX_BROADCAST_GRAMS = 200_000
@@ -61,16 +62,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> Dat
     counted = base.select("doc_id", "text_key", F.size("w").cast("long").alias("n_words"))
     if not sizes:
         return counted.withColumns({"spans": F.array().cast("array<struct<s:int,e:int>>"), "items": F.array().cast("array<string>")})
-    probe = F.broadcast(grams) if sum(r["count"] for r in sizes) <= MAX_BROADCAST_GRAMS else grams
+    probe = grams.select("h", "gram", "items")
+    hashes = probe.select("h").distinct()
+    if sum(r["count"] for r in sizes) <= MAX_BROADCAST_GRAMS:
+        hashes = F.broadcast(hashes)
     windows = [_windows(m) for m in sorted(r["m"] for r in sizes)]
-    hits = (base.withColumn("hw", _hashes(F.col("w")))
-            .select("doc_id", "text_key", "w", F.inline(F.concat(*windows) if len(windows) > 1 else windows[0]))
-            .join(probe, "h")
-            .where(F.slice("w", F.col("p"), F.col("m")) == F.col("gram"))
-            .groupBy("doc_id", "text_key")
+    # a window is a few numbers; the words of the documents with a hit follow for those alone
+    found = stored(base.select("doc_id", "text_key", _hashes(F.col("w")).alias("hw"))
+                   .select("doc_id", "text_key", F.inline(F.concat(*windows) if len(windows) > 1 else windows[0]))
+                   .join(hashes, "h", "left_semi")
+                   .groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("p", "m", "h")).alias("at"))
+                   .select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "at"), "window-hits")
+    # one row per text, however often its document is repeated
+    texts = base.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k"))).groupBy("d", "k").agg(F.first("w").alias("w"), F.first("at").alias("at"))
+    said = texts.select("d", "k", F.inline(F.transform("at", lambda x: F.struct(x["p"].alias("p"), x["m"].alias("m"), x["h"].alias("h"), F.slice("w", x["p"], x["m"]).alias("words")))))
+    hits = (said.join(probe, "h").where(F.col("words") == F.col("gram"))
+            .groupBy("d", "k")
             .agg(F.array_sort(F.collect_set(F.struct((F.col("p") - 1).alias("s"), (F.col("p") + F.col("m") - 1).alias("e")))).alias("spans"),
-                 F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-            .select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "spans", "items"))
+                 F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")))
     return (counted.join(hits, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left")
             .select("doc_id", "text_key", "n_words",
                     F.coalesce("spans", F.array().cast("array<struct<s:int,e:int>>")).alias("spans"),

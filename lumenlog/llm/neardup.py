@@ -47,8 +47,6 @@ FORESTS = ((85, 16, 5), (80, 24, 4))
 NODE = 64
 SLACK = 0.16
 BLOCK = 256
-#: Candidates (of 32 bytes) that are broadcast to the scan of the texts; beyond, the texts are shuffled to them.
-MAX_BROADCAST = 1_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
@@ -321,9 +319,8 @@ def confirmed_links(groups: DataFrame, docs: DataFrame, threshold: int) -> DataF
                                              ["node", "component", "blocks", "block", "shingles"])
 
     texts = docs.select(F.col("doc_id").alias("node"), "text")
-    if groups.count() <= MAX_BROADCAST:
-        members = F.broadcast(members)
-    rows = texts.join(members, "node").select("node", "component", "blocks", "block", "text")
+    # one plan at every size: texts and members meet by a shuffled join on the id
+    rows = texts.join(members.hint("merge"), "node").select("node", "component", "blocks", "block", "text")
     rows = rows.mapInArrow(sets, "node bigint, component bigint, blocks int, block int, shingles binary")
     pieces = (rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "shingles"))

@@ -22,6 +22,7 @@ ordered by text hash; an empty table gives no shards; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -44,7 +45,7 @@ _LATIN = "\u0250"
 class Encoder:
     """Texts to the bytes of their ids.
 
-    The tokenizer drops white space and no token spans it, so a text's ids are
+    A tokenizer of another layout than ``LAYOUT`` encodes whole texts.  Of that layout, the tokenizer drops white space and no token spans it, so a text's ids are
     its words' ids, and words repeat: words and stems are kept in two generations
     each, of which the older goes when the younger is full.  A word of letters with
     punctuation after it is its lower-case stem's ids and the punctuation's, as the
@@ -52,9 +53,13 @@ class Encoder:
     stems are encoded many at a time: a stem is one piece to the splitter, and a
     piece's last token is marked as such in the vocabulary."""
 
+    #: The layout that allows encoding word by word (fixed values of the file format).
+    LAYOUT = (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"], "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+", "</w>")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_words = self._layout() == self.LAYOUT
         vocab = self.tokenizer.get_vocab()
         self.dtype = "<u2" if max(vocab.values()) < 1 << 16 else "<u4"
         self.last = np.zeros(max(vocab.values()) + 1, bool)
@@ -64,6 +69,13 @@ class Encoder:
         self.stems: dict = {}
         self.old_stems: dict = {}
 
+    def _layout(self) -> tuple:
+        d = json.loads(self.tokenizer.to_str())
+        normal, pre = ((d[k] or {}) for k in ("normalizer", "pre_tokenizer"))
+        pre = pre.get("pretokenizers", [])
+        return ([x["type"] for x in normal.get("normalizers", [])], [x["type"] for x in pre],
+                pre[0].get("pattern", {}).get("Regex") if pre else None, d["model"].get("end_of_word_suffix"))
+
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
@@ -124,6 +136,8 @@ class Encoder:
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """The bytes of every text's ids, some hundred thousand words at a time."""
+        if not self.by_words:
+            return [self._ids(t or "") for t in texts]
         out, words, ends = [], [], []
         for text in texts:
             words += (text or "").encode("utf-8", "replace").split()

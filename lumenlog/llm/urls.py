@@ -18,8 +18,10 @@ pseudo-labels of the overall share, is below ``MIN_PURITY``.
 
 Defined results: a null url or one without ``://`` has empty host and path, no
 rule, and the root template's verdict for the empty host; unlabelled templates
-take the overall share; every row gives one row; labels with null quality count
-as none and several labels of one page count each.
+take the overall share; every row gives one row, also rows that repeat and those
+with a null id, and each row counts in the tree with its own url's labels; labels
+with null quality count as none and several labels of one document count each.
+Segments below ``DEPTH`` keep their shapes: a documented bound of the tree.
 """
 
 from __future__ import annotations
@@ -100,15 +102,16 @@ def _generalise(a: DataFrame, d: int) -> DataFrame:
 
 def templates(urls: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(host, shape, template, purity) of every distinct shape of ``urls``
-    (host, path, good: 1, 0 or null).  Segments below ``depth`` keep their shapes."""
+    (host, path, n, m, g: rows, labels and good labels).  Segments below ``depth`` keep
+    their shapes."""
     a = (urls.withColumn("segs", shapes(F.col("path"))).groupBy("host", "segs")
-         .agg(F.count("*").alias("n"), F.count("good").alias("m"), F.coalesce(F.sum("good"), F.lit(0)).alias("g"))
+         .agg(*(F.sum(c).alias(c) for c in ("n", "m", "g")))
          .withColumn("tmpl", F.lit("")))
     a = stored(a, "url-shapes")
     for d in range(depth):
         a = stored(_generalise(a, d), "url-tree")
     a = a.withColumn("tmpl", F.concat("tmpl", F.lit("/"), F.array_join(_from(depth), "/")))
-    overall = urls.agg(((F.coalesce(F.sum("good"), F.lit(0)) + 1.0) / (F.count("good") + 1.0)).alias("prior"))
+    overall = a.agg(((F.coalesce(F.sum("g"), F.lit(0)) + 1.0) / (F.coalesce(F.sum("m"), F.lit(0)) + 1.0)).alias("prior"))
     purity = (a.groupBy("host", "tmpl").agg(F.sum("m").alias("tm"), F.sum("g").alias("tg"))
               .join(F.broadcast(overall))        # one row
               .select("host", "tmpl", ((F.col("tg") + ALPHA * F.col("prior")) / (F.col("tm") + ALPHA)).alias("purity")))
@@ -117,11 +120,18 @@ def templates(urls: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 def judge(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
     """Per row of ``pages``: host, path, rule and verdict; with the template and
-    its purity.  ``labels`` has (page_id, good)."""
+    its purity.  ``labels`` has a row per label, (url, good) or (page_id, good): every row of
+    that url or page has them all.  Rows and labels are counted per url or page before
+    they meet, so a page that is repeated a thousand times is one row of the tree's input."""
     found, verdict = rule_of(rules)
+    by = "url" if "url" in labels.columns else "page_id"
+    rows = pages.groupBy(*dict.fromkeys((by, "url"))).agg(F.count(F.lit(1)).alias("rows"))
+    said = labels.where(F.col("good").isNotNull() & F.col(by).isNotNull()).groupBy(F.col(by).alias("__by")).agg(F.count(F.lit(1)).alias("lm"), F.sum(F.col("good").cast("long")).alias("lg"))
+    known = rows.join(said, F.col(by) == F.col("__by"), "left").na.fill(0, ["lm", "lg"])
+    known = known.withColumn("__id", F.struct((F.col("rows") * F.greatest(F.lit(1), F.col("lm"))).alias("n"), (F.col("rows") * F.col("lm")).alias("m"), (F.col("rows") * F.col("lg")).alias("g")))
+    counted = parsed(known.select(F.col("__id").alias("page_id"), "url"))
+    t = templates(counted.select("host", "path", "page_id.n", "page_id.m", "page_id.g"))
     p = parsed(pages).withColumn("rule", found).withColumn("by_rule", verdict).withColumn("shape", F.array_join(shapes(F.col("path")), "/"))
-    known = p.join(labels.select(F.col("page_id").alias("__p"), F.col("good").cast("int").alias("good")), F.col("page_id") == F.col("__p"), "left")
-    t = templates(known.select("host", "path", "good"))
     return (p.join(t, ["host", "shape"], "left")
             .select("page_id", "host", "path", "rule",
                     F.coalesce("by_rule", F.when(F.col("purity") < MIN_PURITY, "block").otherwise("allow")).alias("verdict"),
@@ -129,10 +139,10 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
 
 
 def document_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labels of pages by the document number that their path ends in."""
+    """(url, good): the labels of every url's document, whose number its path ends in."""
     number = F.regexp_extract(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^?#]*", 0), r"/([0-9]{1,18})(?:/|\.[a-z]+)?$", 1)
-    p = pages.select("page_id", F.when(number != "", number.cast("long")).alias("doc_id"))
-    return p.join(labels.where(F.col("quality").isNotNull()).select("doc_id", F.col("quality").alias("good")), "doc_id").select("page_id", "good")
+    p = pages.select("url").distinct().select("url", F.when(number != "", number.cast("long")).alias("doc_id"))
+    return p.join(labels.where(F.col("quality").isNotNull()).select("doc_id", F.col("quality").alias("good")), "doc_id").select("url", "good")
 
 
 def op7_url_filters(spark, sf_dir):

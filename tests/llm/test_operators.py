@@ -44,7 +44,7 @@ def shingle_set(text, width=5):
     return {tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
 
 
-def brute_components(sets):
+def brute_components(sets, per_cent=85):
     up = {d: d for d in sets}
 
     def root(x):
@@ -56,7 +56,7 @@ def brute_components(sets):
     for i, a in enumerate(ids):
         for b in ids[i + 1:]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            if both and 100 * both >= per_cent * (len(sets[a]) + len(sets[b]) - both):
                 x, y = root(a), root(b)
                 up[max(x, y)] = min(x, y)
     return {d: root(d) for d in sets}

@@ -1,0 +1,25 @@
+"""Token output with vocabularies whose texts cannot be encoded word by word."""
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from lumenlog.llm import tokens
+from lumenlog.llm.common import scratch, table
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_layouts():
+    assert tokens.Encoder(public_tokenizers.path("word_bpe_49k.json")).by_words
+    assert not tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json")).by_words
+
+
+def test_byte_vocabulary_gives_the_librarys_ids(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lib = Tokenizer.from_file(path)
+    docs = table(spark, SF, "documents")
+    out = scratch(spark, "other-vocabulary")
+    tokens.write_tokens(docs, out, path, end_id=50256)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in tokens.read_tokens(spark, out, ids=True).collect()}
+    assert got == {r.doc_id: lib.encode(r.text or "", add_special_tokens=False).ids + [50256] for r in docs.collect()}

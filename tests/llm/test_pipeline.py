@@ -23,7 +23,7 @@ def test_stages_on_their_own_input(spark):
         given = {r["doc_id"]: r["text"] for r in rows}
         assert set(ids) <= set(given) and ids
         if k == 1:
-            comp = brute_components({d: shingle_set(t) for d, t in given.items()})
+            comp = brute_components({d: shingle_set(t) for d, t in given.items()}, corpus_pipeline.NEAR)
             assert sorted(ids) == sorted(d for d in comp if comp[d] == d)
         if k == 2:
             hit = {r.doc_id for r in decontaminate.report(docs, table(spark, SF, "benchmark")).where("contaminated").collect()}
