@@ -247,12 +247,6 @@ def test_classifier_keeps_clean_and_rejects_junk(spark, con):
     assert sum(clean) >= 0.99 * len(clean) and sum(junk) <= 0.2 * len(junk)
 
 
-def test_kneser_ney_sums_to_one(spark):
-    texts = spark.createDataFrame([("the cat sat on the mat",), ("a hat on a cat",)], "text string")
-    classes = quality.symbol_classes(texts)
-    p = 10 ** quality.dense(quality.kneser_ney(quality.gram_counts(texts, classes))).astype(np.float64)
-    assert np.allclose(p.reshape(-1, quality.CLASSES).sum(axis=1), 1, atol=1e-3)
-
 
 def test_ablation(spark, con):
     led = rules.ledger(spark.read.parquet(f"{SF}/documents.parquet"))
