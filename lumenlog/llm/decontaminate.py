@@ -23,6 +23,8 @@ from .common import lower_ascii, packed, split_words, stored, table
 
 WINDOW = 10
 MAX_BROADCAST_GRAMS = 200_000
+#: Bits of the filter for texts with a hit: bounds what is broadcast at any size.
+BUCKETS = 1 << 20
 #: Everything in ASCII that is neither a letter nor a digit, after lower-casing.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -73,8 +75,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> Dat
                    .join(hashes, "h", "left_semi")
                    .groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("p", "m", "h")).alias("at"))
                    .select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "at"), "window-hits")
+    # at most BUCKETS numbers tell which texts may have a hit; only those are shuffled
+    bucket = lambda d, k: F.pmod(F.xxhash64(d, k), F.lit(BUCKETS))       # noqa: E731
+    marked = F.broadcast(found.select(bucket("d", "k").alias("bucket")).distinct())
+    few = docs.select("doc_id", key, "text").withColumn("bucket", bucket("doc_id", "text_key")).join(marked, "bucket", "left_semi")
     # one row per text, however often its document is repeated
-    texts = base.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k"))).groupBy("d", "k").agg(F.first("w").alias("w"), F.first("at").alias("at"))
+    few = few.groupBy("doc_id", "text_key").agg(F.first("text").alias("text"))
+    texts = (few.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
+             .select("d", "k", norm_words(F.col("text")).alias("w"), "at"))
     said = texts.select("d", "k", F.inline(F.transform("at", lambda x: F.struct(x["p"].alias("p"), x["m"].alias("m"), x["h"].alias("h"), F.slice("w", x["p"], x["m"]).alias("words")))))
     hits = (said.join(probe, "h").where(F.col("words") == F.col("gram"))
             .groupBy("d", "k")
