@@ -51,17 +51,30 @@ MARKS = frozenset(("nav navbar navigation menu sidebar ad ads advert adverts adv
                    "alert comment comments reply replies respond disqus breadcrumb breadcrumbs social share sharing related newsletter subscribe popup modal widget login signup "
                    "search copyright footer complementary contentinfo").split())
 OUTER_MARKS = frozenset("header banner masthead".split())
+#: Words that a mark's name may have beside it; a name with any other word ("related-work") marks nothing.
+BESIDE = frozenset("area bar block bottom box button buttons container global inner item items left link links list outer page panel primary right secondary section site top wrapper".split())
 WORDS = re.compile(r"[^a-z0-9]+")
 
 
+#: Why a region is left out: by a name in its class, id or role, or by its element.
+KEPT, MARKED, EXCLUDED = 0, 1, 2
+
+
+def _marks(name: str, inside: bool) -> bool:
+    """Whether one name in class, id or role marks a template region."""
+    words = {x for x in WORDS.split(name) if x}
+    marks = words & (MARKS if inside else MARKS | OUTER_MARKS)
+    return bool(marks) and words <= marks | BESIDE
+
+
 class Page(HTMLParser):
     """Outline nodes [tag, parent, children] and blocks (node, text) of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.nodes = [["", -1, []]]
-        self.open = [(0, "", False, False)]         # node, tag, dropped, inside article or main
-        self.blocks: list[tuple[int, str, bool, bool]] = []
+        self.open = [(0, "", KEPT, False)]         # node, tag, dropped, inside article or main
+        self.blocks: list[tuple[int, str, int, bool]] = []
         self.text: list[str] = []
 
     def _flush(self):
@@ -96,13 +109,13 @@ class Page(HTMLParser):
         if tag in BLOCK or tag in DROPPED:
             self._flush()
         if not dropped:
-            dropped = tag in DROPPED or (tag == "header" and not inside)
+            dropped = EXCLUDED if tag in DROPPED or (tag == "header" and not inside) else KEPT
             for name, value in attrs:
-                if value and name in ("class", "id", "role") and not dropped:
-                    words = set(WORDS.split(value.lower()))
-                    dropped = tag not in ("body", "html", "article", "main") and bool(words & MARKS or (not inside and words & OUTER_MARKS))
+                if value and name in ("class", "id", "role") and dropped == KEPT:
+                    if tag not in ("body", "html", "article", "main") and any(_marks(x, inside) for x in value.lower().split()):
+                        dropped = MARKED
                 elif name in ("hidden", "aria-hidden") and value in ("", "true", None):
-                    dropped = True
+                    dropped = EXCLUDED
         inside = inside or tag in ("article", "main")
         if tag not in BLOCK and tag not in DROPPED:
             self.open.append((parent, tag, dropped, inside))
@@ -151,17 +164,19 @@ class Page(HTMLParser):
     def outline(self) -> str:
         """The tree as nested tags in page order, nodes numbered in preorder."""
         out: list[str] = []
-
-        def walk(n):
-            out.append(self.nodes[n][0])
-            if self.nodes[n][2]:
+        stack: list = [0]
+        while stack:
+            n = stack.pop()
+            if isinstance(n, str):
+                out.append(n)
+                continue
+            tag, _, kids = self.nodes[n]
+            out.append(tag)
+            if kids:
                 out.append("(")
-                for c in self.nodes[n][2]:
-                    walk(c)
-                    out.append(" ")
-                out.append(")")
-
-        walk(0)
+                stack.append(")")
+                for c in reversed(kids):
+                    stack += [" ", c]
         return "".join(out)
 
     def preorder(self) -> dict[int, int]:
@@ -190,44 +205,85 @@ def tree_of(outline: str):
     return tags, children
 
 
+def _same_subtrees(tags: list[str], children: list[list[int]], names: dict) -> list[int]:
+    """A number per node that equal subtrees share; ``names`` is shared between trees."""
+    out = [0] * len(tags)
+    for x in range(len(tags) - 1, -1, -1):          # children have larger numbers
+        out[x] = names.setdefault((tags[x], *(out[c] for c in children[x])), len(names))
+    return out
+
+
 def matched(a: str, b: str) -> list[int]:
     """Simple tree matching: for every node of ``a`` its partner in ``b``, or -1,
-    in the largest mapping that keeps order and depth."""
+    in a largest mapping that keeps order and depth.
+
+    Equal subtrees at the front or the end of two lists of children are partners in some
+    largest mapping, so only what is between them is aligned."""
     tags_a, kids_a = tree_of(a)
     tags_b, kids_b = tree_of(b)
-    memo: dict = {}
-
-    def match(x, y):
-        if tags_a[x] != tags_b[y]:
-            return 0, None
-        if (x, y) in memo:
-            return memo[x, y]
+    names: dict = {}
+    same_a, same_b = _same_subtrees(tags_a, kids_a, names), _same_subtrees(tags_b, kids_b, names)
+    size = [1] * len(tags_a)
+    for x in range(len(tags_a) - 1, -1, -1):
+        size[x] += sum(size[c] for c in kids_a[x])
+
+    def ends(x, y):
+        """How many children at the front and at the end are equal."""
         p, q = kids_a[x], kids_b[y]
+        n, front = min(len(p), len(q)), 0
+        while front < n and same_a[p[front]] == same_b[q[front]]:
+            front += 1
+        back = 0
+        while back < n - front and same_a[p[-1 - back]] == same_b[q[-1 - back]]:
+            back += 1
+        return front, back
+
+    # the pairs to align, parents first; a pair has one pair of parents
+    todo, pairs = [(0, 0)], []
+    while todo:
+        x, y = todo.pop()
+        front, back = ends(x, y)
+        p, q = kids_a[x][front:len(kids_a[x]) - back], kids_b[y][front:len(kids_b[y]) - back]
+        pairs.append((x, y, front, back, p, q))
+        todo += [(i, j) for i in p for j in q if tags_a[i] == tags_b[j] and same_a[i] != same_b[j]]
+    weight: dict = {}
+    best_of: dict = {}
+
+    def w(i, j):
+        if same_a[i] == same_b[j]:
+            return size[i]
+        return weight[i, j] if tags_a[i] == tags_b[j] else 0
+
+    for x, y, front, back, p, q in reversed(pairs):
         best = [[0] * (len(q) + 1) for _ in range(len(p) + 1)]
         for i in range(1, len(p) + 1):
             for j in range(1, len(q) + 1):
-                best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + match(p[i - 1], q[j - 1])[0])
-        memo[x, y] = best[-1][-1] + 1, best
-        return memo[x, y]
+                best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + w(p[i - 1], q[j - 1]))
+        best_of[x, y] = best, p, q, front, back
+        weight[x, y] = best[-1][-1] + 1 + sum(size[c] for c in kids_a[x][:front]) + sum(size[c] for c in kids_a[x][len(kids_a[x]) - back:])
 
     partner = [-1] * len(tags_a)
-
-    def follow(x, y):
+    stack = [(0, 0)]
+    while stack:
+        x, y = stack.pop()
         partner[x] = y
-        best, p, q = memo[x, y][1], kids_a[x], kids_b[y]
+        if same_a[x] == same_b[y]:
+            stack += zip(kids_a[x], kids_b[y], strict=True)
+            continue
+        best, p, q, front, back = best_of[x, y]
+        stack += zip(kids_a[x][:front], kids_b[y][:front], strict=True)
+        if back:
+            stack += zip(kids_a[x][-back:], kids_b[y][-back:], strict=True)
         i, j = len(p), len(q)
         while i and j:
-            w = match(p[i - 1], q[j - 1])[0]
-            if w and best[i][j] == best[i - 1][j - 1] + w:
+            both = w(p[i - 1], q[j - 1])
+            if both and best[i][j] == best[i - 1][j - 1] + both:
                 i, j = i - 1, j - 1
-                follow(p[i], q[j])
+                stack.append((p[i], q[j]))
             elif best[i][j] == best[i - 1][j]:
                 i -= 1
             else:
                 j -= 1
-
-    match(0, 0)
-    follow(0, 0)
     return partner
 
 
@@ -246,10 +302,11 @@ def slots_of(outline: str, wrapper: str) -> list[int]:
 
 
 def parse(html: str | None):
-    """(outline, [(outline node, text)]) of the blocks that tags do not exclude."""
+    """(outline, [(outline node, text)]) of the blocks that tags and names do not exclude;
+    where names exclude all that tags leave, they decide nothing."""
     page = Page().result(html or "")
     order = page.preorder()
-    kept = [b for b in page.blocks if not b[2]]
+    kept = [b for b in page.blocks if b[2] == KEPT] or [b for b in page.blocks if b[2] == MARKED]
     if any(b[3] for b in kept):
         kept = [b for b in kept if b[3]]
     return page.outline(), [(order[n], t) for n, t, _, _ in kept]
