@@ -23,8 +23,11 @@ from ..operators import versions as VS
 from ..operators import windows as WN
 from ..schemas import ENRICHED_COLUMNS
 from ..session import run_folder
+from ..sinks import compaction as CO
 from ..sinks import files as SK
+from ..sinks import latest as LA
 from ..sinks import lookup as LK
+from ..sinks import rollup as RO
 from ..sources import codec as CD
 from ..sources import files as SF
 from ..sources import fixtures as FX
@@ -504,3 +507,55 @@ def q_stream_batch_log(spark, sf_dir):
     finally:
         spark.streams.removeListener(listener)
     return BL.read_batch_log(spark, f"{root}/log").agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_observed").alias("rows_observed"), F.sum("late_rows").alias("late_rows"))
+
+
+# --- maintained tables -------------------------------------------------------------
+
+#: Batches of the maintained tables' queries: rows by a hash of their id, so not in order of time.
+BATCHES = 3
+
+
+def _batches(enr: DataFrame) -> list[DataFrame]:
+    return [enr.where(F.pmod(F.xxhash64("event_id"), F.lit(BATCHES)) == k) for k in range(BATCHES)]
+
+
+@register("latest_maintained")
+def q_latest_maintained(spark, sf_dir):
+    """The latest row per incident as a table kept by batches that come out of order."""
+    enr, path = enriched(spark, sf_dir), run_folder(spark, "latest")
+    for k, batch in enumerate(_batches(enr)):
+        LA.upsert(batch, k, path, tiebreak=["event_id"])
+    return _out(LA.read_latest(spark, path, enr.schema))
+
+
+def _rolled_up(spark, sf_dir) -> DataFrame:
+    path = run_folder(spark, "rollup")
+    for k, batch in enumerate(_batches(enriched(spark, sf_dir))):
+        RO.add_batch(batch, k, path)
+    return RO.read_rollup(spark, path)
+
+
+@register("kpis_rollup")
+def q_kpis_rollup(spark, sf_dir):
+    """The headline counts from the hourly rollup of all batches."""
+    return RO.kpis_of(_rolled_up(spark, sf_dir))
+
+
+HOURS = ("2024-01-01 02:00:00", "2024-01-01 07:00:00")
+
+
+@register("kpis_rollup_hours")
+def q_kpis_rollup_hours(spark, sf_dir):
+    """The headline counts of five hours, from the rollup."""
+    return RO.kpis_of(_rolled_up(spark, sf_dir), *HOURS)
+
+
+@register("compacted_hours")
+def q_compacted_hours(spark, sf_dir):
+    """All rows of an hour-partitioned table after its hours were packed by bytes."""
+    live, root = run_folder(spark, "live"), run_folder(spark, "packed")
+    enr = EN.fixed_order(enriched(spark, sf_dir))
+    for k in range(BATCHES):
+        SK.write_incidents(enr.where(F.pmod(F.xxhash64("message"), F.lit(BATCHES)) == k), live)
+    CO.compact_hours(spark, live, root, enr.schema, before="2024-01-01_09")
+    return _out(CO.read_hours(spark, live, root, enr.schema).select(*ENRICHED_COLUMNS))

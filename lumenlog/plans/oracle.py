@@ -438,4 +438,15 @@ SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) - count(reason) AS BIGINT
     q["stream_batch_log"] = with_(INC, body="SELECT CAST(count(*) AS BIGINT) AS rows_in, CAST(count(*) AS BIGINT) AS rows_observed, CAST(0 AS BIGINT) AS late_rows FROM inc")
     q["lookup_indexed"] = q["lookup_incident"]
 
+    # --- maintained tables ---------------------------------------------------------
+    q["latest_maintained"] = q["latest_per_incident"]
+    q["kpis_rollup"] = q["kpis"]
+    q["kpis_rollup_hours"] = with_(INC, ENR, body="""
+SELECT count(*) AS total,
+       count(*) FILTER (WHERE level = 'ERROR') AS critical,
+       count(*) FILTER (WHERE level = 'WARNING') AS warning,
+       count(DISTINCT service) AS services
+FROM enr WHERE event_time >= TIMESTAMP '2024-01-01 02:00:00' AND event_time < TIMESTAMP '2024-01-01 07:00:00'""")
+    q["compacted_hours"] = q["parquet_roundtrip"]
+
     return q
