@@ -7,14 +7,16 @@ a hash of its id, weight its quality), and the documents with the smallest keys
 are taken until their sizes fill the rest.
 
 The prefix sum never sorts a whole source in one task.  Keys fall into
-``BUCKETS`` ordered buckets, sizes are pre-aggregated per (source, bucket) and
-summed over the buckets; only the one bucket of each source in which the rest
-runs out is sorted, which holds about 1 / ``BUCKETS`` of the source.
+ordered buckets, ``STEPS`` to every doubling of the key whatever the weights are; sizes are
+pre-aggregated per (source, bucket) and summed over the buckets; only the one bucket of
+each source in which the rest runs out is sorted.  An exponential key of any
+weight falls into one bucket with a chance of at most ln(2) / (e * ``STEPS``), 1 in 4,000.
 
 Defined results: a null text has size 0; null sources are one source, ordered
 last; a null or non-positive weight counts as the smallest weight ``MIN_WEIGHT``;
 repeated ids draw equal keys and are ordered by text hash; identical rows are
-interchangeable.  An empty table or a corpus without words takes nothing.
+interchangeable; other columns, also of clashing names, are ignored by ``report`` and
+kept by ``mix``.  An empty table or a corpus without words takes nothing.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from .common import SPACE, packed, stored, table
 SOURCE_WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_EPOCHS = 2.0
-BUCKETS = 4096
+STEPS = 1024
 MIN_WEIGHT = 1e-6
 #: Sources whose plan is broadcast to the documents; beyond, both are shuffled by source.
 MAX_BROADCAST = 100_000
@@ -74,15 +76,15 @@ def sized(docs: DataFrame, seed: int = 0, weight=None) -> DataFrame:
     weight = quality_weight(F.col("text")) if weight is None else weight
     weight = F.when(weight > MIN_WEIGHT, weight.cast("double")).otherwise(MIN_WEIGHT)
     key = -F.log(u) / weight
+    # keys are between 2^-49 and 2^25, which bounds the number of buckets
     return docs.select("doc_id", F.xxhash64("text").alias("tie"), "source", word_count(F.col("text")).alias("size"), key.alias("key")).withColumn(
-        # 1 - exp(-key) is uniform for weight 1 and monotone in the key for any
-        "bucket", F.least(F.lit(BUCKETS - 1), F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * BUCKETS)).cast("int"))
+        "bucket", F.floor((F.log2("key") + 64.0) * STEPS).cast("int"))
 
 
 def take(rows: DataFrame, weights=SOURCE_WEIGHTS, share: float = SHARE, most: float = MAX_EPOCHS) -> DataFrame:
     """``rows`` (as from ``sized``) with source_size, target and copies."""
     filled = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    filled = stored(filled, "mix-buckets")      # at most BUCKETS small rows per source
+    filled = stored(filled, "mix-buckets")      # at most 75 * STEPS small rows per source
     plan = targets(filled.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, most)
     plan = (plan.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int"))
             .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")))
