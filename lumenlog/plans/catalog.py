@@ -322,6 +322,13 @@ def q_correlate_pairs(spark, sf_dir):
     return _out(CR.correlate_pairs(primaries(enr.select(*PRIMARY_KEY_COLUMNS)), enr))
 
 
+@register("correlate_pairs_cut")
+def q_correlate_pairs_cut(spark, sf_dir):
+    """The same pairs with heavy (service, bucket) keys cut by a histogram."""
+    enr = enriched(spark, sf_dir)
+    return _out(CR.correlate_pairs(primaries(enr.select(*PRIMARY_KEY_COLUMNS)), enr, rows_per_key=200))
+
+
 def chosen_primary(enr: DataFrame) -> DataFrame:
     return FD.lookup_incident(enr, chosen_incident(enr), tiebreak=["event_id"])
 
