@@ -376,6 +376,13 @@ def q_correlate_counts_granular(spark, sf_dir):
     return _out(CR.correlate_counts(primaries(enr), enr, granule_seconds=10))
 
 
+@register("correlate_counts_cut")
+def q_correlate_counts_cut(spark, sf_dir):
+    """The same counts with granules bounded by their rows."""
+    enr = enriched(spark, sf_dir)
+    return _out(CR.correlate_counts(primaries(enr), enr, granule_seconds=600, rows_per_granule=50))
+
+
 # --- prompts -------------------------------------------------------------------
 
 @register("rca_prompt")

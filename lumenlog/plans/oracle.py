@@ -448,6 +448,7 @@ SELECT count(*) AS total,
        count(DISTINCT service) AS services
 FROM enr WHERE event_time >= TIMESTAMP '2024-01-01 02:00:00' AND event_time < TIMESTAMP '2024-01-01 07:00:00'""")
     q["compacted_hours"] = q["parquet_roundtrip"]
+    q["correlate_counts_cut"] = q["correlate_counts"]
     q["correlate_pairs_cut"] = q["correlate_pairs"]
 
     return q
