@@ -23,12 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..functions.patterns import ALERT_LEVEL, ALERT_MIN_COUNT, ALERT_WINDOW
+from .jobs import DEFAULT_TRIGGER, STATE_CONF, start_with
 
-#: Set when a crossing query starts.
-STATE_CONF = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
 OUTPUT = "window_start timestamp, window_end timestamp, level string, crossing_time timestamp, crossing_message string"
 _EVENT = "start bigint, end bigint, at bigint, message string"
 
@@ -108,20 +104,12 @@ def start_first_crossings(incidents: DataFrame, path: str, checkpoint: str, trig
     """Append the crossings to ``path``, partitioned by the window's date.  The state
     settings are read when the query first starts and then fixed by its checkpoint,
     so the session's own are put back."""
-    spark = incidents.sparkSession
     out = first_crossings(incidents, **rule).withColumn("window_date", F.to_date("window_start"))
     w = out.writeStream.outputMode("append").format("parquet").partitionBy("window_date").option("checkpointLocation", checkpoint).option("path", path)
     if query_name:
         w = w.queryName(query_name)
     conf = STATE_CONF | ({"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {})
-    before = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        return w.trigger(**(trigger or {"processingTime": "1 minute"})).start()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return start_with(incidents.sparkSession, w.trigger(**(trigger or DEFAULT_TRIGGER)), conf)
 
 
 def read_crossings(spark: SparkSession, path: str) -> DataFrame:

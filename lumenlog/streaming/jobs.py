@@ -113,29 +113,41 @@ def alert_batch_writer(path: str, first_only: bool = False):
 
 def start_alert_sink(incidents: DataFrame, path: str, checkpoint: str,
                      trigger: dict | None = None, query_name: str | None = None,
-                     first_only: bool = False, state_partitions: int | None = None) -> StreamingQuery:
+                     first_only: bool = False, state_partitions: int | None = None, rocksdb: bool = False) -> StreamingQuery:
     """Start the stateful window count in update mode with the alert writer.
 
-    ``state_partitions`` sets the number of state-store partitions.  It is
-    read from ``spark.sql.shuffle.partitions`` when the query first starts
-    and then fixed by the checkpoint, so it is applied for the start call
-    only and the session value is restored afterwards.
+    ``state_partitions`` sets the number of state-store partitions and ``rocksdb`` keeps the
+    state in RocksDB with changelog checkpoints: it may outgrow an executor's heap, and
+    a batch uploads what it changed.  Both are read from the session when the query
+    first starts and then fixed by the checkpoint, so they are applied for the start
+    call only and the session's values are put back afterwards.
     """
     w = (window_count_stream(incidents).writeStream.outputMode("update")
          .foreachBatch(alert_batch_writer(path, first_only))
          .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
-    if state_partitions is None:
-        return _trigger(w, trigger).start()
-    spark = incidents.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
+    return start_with(incidents.sparkSession, _trigger(w, trigger), (STATE_CONF if rocksdb else {}) | (
+        {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {}))
+
+
+#: State in RocksDB, a batch's changes as its checkpoint.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def start_with(spark: SparkSession, writer, conf: dict[str, str]) -> StreamingQuery:
+    """Start a query under settings that a stream takes from the session at its first start."""
+    before = {k: spark.conf.get(k, None) for k in conf}
     try:
-        return _trigger(w, trigger).start()
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return writer.start()
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def read_alert_table(spark: SparkSession, path: str) -> DataFrame:
