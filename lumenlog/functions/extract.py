@@ -56,3 +56,13 @@ def template_field(message: Column, name: str) -> Column:
     if name in P.TEMPLATE_INT_FIELDS:
         return extract_int(message, pattern)
     return extract_or_null(message, pattern)
+
+
+def service_with_prose(message: Column, prefixes: list[str]) -> Column:
+    """The named service, or else the word behind the first of ``prefixes`` (plain text, in
+    the caller's order) that the message holds: messages that tell the service in prose."""
+    found = [template_field(message, "service_lenient")]
+    for prefix in prefixes:
+        quoted = "\\Q" + prefix.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+        found.append(F.nullif(F.regexp_extract(message, quoted + r"([\w-]+)", 1), F.lit("")))
+    return F.coalesce(*found)

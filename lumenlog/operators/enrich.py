@@ -51,6 +51,11 @@ def enrich_template_fields(enriched: DataFrame, fields: list[str] | None = None)
     return enriched.select("*", *[X.template_field(msg, n).alias(n) for n in names])
 
 
+def enrich_service_prose(enriched: DataFrame, prefixes: list[str]) -> DataFrame:
+    """Opt-in: ``service_any``, also from messages that name the service behind one of ``prefixes``."""
+    return enriched.withColumn("service_any", X.service_with_prose(F.col("message"), prefixes))
+
+
 def fixed_order(enriched: DataFrame) -> DataFrame:
     """The sink's fixed six-column order."""
     return enriched.select(*ENRICHED_COLUMNS)

@@ -80,6 +80,15 @@ def q_enrich_template_fields(spark, sf_dir):
     return _out(EN.enrich_template_fields(enriched(spark, sf_dir)))
 
 
+PROSE = ["error reading ", "click reading "]
+
+
+@register("enrich_service_prose")
+def q_enrich_service_prose(spark, sf_dir):
+    """Services also from the prose of two kinds of messages."""
+    return _out(EN.enrich_service_prose(enriched(spark, sf_dir), PROSE))
+
+
 # --- windows and alerts -------------------------------------------------------
 
 @register("window_counts")

@@ -174,6 +174,9 @@ def oracle_sql() -> dict[str, str]:
                     + [f"{_ex_int('message', p)} AS {n}" for n, p in INT_FIELDS.items()])
     q["enrich_template_fields"] = with_(INC, ENR, body=f"SELECT *, {tf} FROM enr")
 
+    q["enrich_service_prose"] = with_(INC, ENR, body=f"""
+SELECT *, coalesce({_ex('message', TEXT_FIELDS['service_lenient'])}, {_ex('message', 'error reading ([-A-Za-z0-9_]+)')}, {_ex('message', 'click reading ([-A-Za-z0-9_]+)')}) AS service_any FROM enr""")
+
     q["window_counts"] = with_(INC, ENR, WINDOW_COUNTS, body="SELECT * FROM wc")
 
     q["alerts"] = with_(INC, ENR, WINDOW_COUNTS, body=f"""

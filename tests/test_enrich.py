@@ -63,3 +63,12 @@ def test_huge_number_does_not_fail(spark):
     df = spark.createDataFrame([(None, "INFO", "Affected users: 99999999999999999999")],
                                "event_time timestamp, level string, message string")
     assert enrich_extended(enrich(df)).first().affected_users is None
+
+
+def test_service_from_prose(spark):
+    from lumenlog.operators.enrich import enrich_service_prose
+    rows = [("work finished on node-4. all fine", "node-4"), ("slow answers (seen) at db_2, Service: web", "web"), ("slow answers (seen) at db_2", "db_2"), ("work finished on ", None),
+            ("slow answers (seen) at a work finished on b", "b"), ("nothing", None), (None, None), (r"odd \E prefix x1", "x1")]
+    df = spark.createDataFrame(rows, "message string, want string")
+    got = enrich_service_prose(df, ["work finished on ", "slow answers (seen) at ", r"odd \E prefix "]).collect()
+    assert [r.service_any for r in got] == [r.want for r in got]
