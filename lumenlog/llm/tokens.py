@@ -23,6 +23,7 @@ ordered by text hash; an empty table gives no shards; other columns are ignored.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 
 import numpy as np
@@ -36,22 +37,43 @@ END_ID = 2
 #: Ids of one shard at most, unless a single document has more.
 SHARD_IDS = 1 << 20
 #: Entries of one cache generation.
-CACHE = 300_000
+CACHE = 600_000
 _TAIL = b".,!?;:%&*#$"
 #: Below it lower-casing a letter is the same anywhere and stays one letter (but for U+0130).
 _LATIN = "\u0250"
 
 
+#: Lead bytes of the marks that compose with letters: j and a caron are one letter, J and a caron two.
+_MARKS = (b"\xcc", b"\xcd")
+#: Bytes by kind: a letter or digit, white space, full stop or comma, anything else.
+_KINDS = bytes(x if x in b" .,\t\n\v\f\r" else 97 if chr(x).isalnum() and x < 128 else 112 for x in range(256))
+_RUNS = tuple(a + b for a in (b"p", b".", b",") for b in (b".", b","))
+_AFTER_LETTER = re.compile(rb"(?<=[a-z])([.,])(?=[ \t-\r])")
+
+
+def parted(raw: bytes) -> bytes:
+    """``raw`` with a-z for A-Z and blanks before the full stops and commas that end a word: the
+    same pieces to the splitter, which joins only punctuation to punctuation."""
+    if any(m in raw for m in _MARKS):
+        return raw
+    raw = raw.lower()
+    kinds = raw.translate(_KINDS)
+    if any(r in kinds for r in _RUNS):
+        return _AFTER_LETTER.sub(rb" \1", raw)
+    return raw.replace(b". ", b" . ").replace(b", ", b" , ").replace(b".\n", b" .\n")
+
+
 class Encoder:
     """Texts to the bytes of their ids.
 
     A tokenizer of another layout than ``LAYOUT`` encodes whole texts.  Of that layout, the tokenizer drops white space and no token spans it, so a text's ids are
-    its words' ids, and words repeat: words and stems are kept in two generations
-    each, of which the older goes when the younger is full.  A word of letters with
-    punctuation after it is its lower-case stem's ids and the punctuation's, as the
-    splitter parts letters from punctuation and the normaliser lower-cases.  New
-    stems are encoded many at a time: a stem is one piece to the splitter, and a
-    piece's last token is marked as such in the vocabulary."""
+    its words' ids, and words repeat: they are kept in two generations, of which the
+    older goes when the younger is full.  A word of letters with punctuation after it
+    is its lower-case stem's ids and the punctuation's, as the splitter parts letters
+    from punctuation and the normaliser lower-cases; ``parted`` does both for most
+    words of a text at once, so fewer different words are looked up.  New stems are
+    encoded many at a time: a stem is one piece to the splitter, and a piece's last
+    token is marked as such in the vocabulary."""
 
     #: The layout that allows encoding word by word (fixed values of the file format).
     LAYOUT = (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"], "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+", "</w>")
@@ -66,8 +88,6 @@ class Encoder:
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.words: dict = {}
         self.old_words: dict = {}
-        self.stems: dict = {}
-        self.old_stems: dict = {}
 
     def _layout(self) -> tuple:
         d = json.loads(self.tokenizer.to_str())
@@ -79,12 +99,10 @@ class Encoder:
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn_stems(self, stems: list[bytes]) -> dict:
-        """The ids of ``stems``, which are kept."""
-        old = self.old_stems
-        found = {s: old[s] for s in stems if s in old}
-        new = [s for s in stems if s not in found]
-        parts = [new[k:k + 200] for k in range(0, len(new), 200)]
+    def _encode_stems(self, stems: list[bytes]) -> dict:
+        """The ids of ``stems``."""
+        found: dict = {}
+        parts = [stems[k:k + 200] for k in range(0, len(stems), 200)]
         size = np.dtype(self.dtype).itemsize
         for part, e in zip(parts, self.tokenizer.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, self.dtype)
@@ -94,21 +112,18 @@ class Encoder:
                 found.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=True))
             else:       # a vocabulary without marked ends
                 found.update((s, self._ids(s.decode())) for s in part)
-        if len(self.stems) + len(found) > CACHE:
-            self.old_stems, self.stems = self.stems, {}
-        self.stems.update(found)
         return found
 
     def _learn(self, words: set[bytes]) -> dict:
         """The ids of ``words``, which are kept."""
-        old, stems = self.old_words, self.stems
+        old = self.old_words
         found = {w: old[w] for w in words if w in old}
-        split, wanted = [], set()
-        for w in words:
-            if w in found:
-                continue
+        new = words.difference(found)
+        wanted = {w for w in new if w.isalpha() and w.islower()}        # ASCII letters only: stems themselves
+        split = []
+        for w in new.difference(wanted):
             stem = w.rstrip(_TAIL)
-            if stem.isalpha():          # ASCII letters only
+            if stem.isalpha():
                 key = stem.lower()
             elif stem.isascii():
                 found[w] = self._ids(w.decode())
@@ -120,15 +135,15 @@ class Encoder:
                     continue
                 key = text.lower().encode()
             split.append((w, key, len(stem)))
-            if key not in stems:
-                wanted.add(key)
-        fresh = self._learn_stems(list(wanted)) if wanted else {}
+        known = (found, self.words, old)
+        wanted.update(key for _, key, _ in split if not any(key in d for d in known))
+        found.update(self._encode_stems(list(wanted)))
         tails: dict = {b"": b""}
         for w, key, n in split:
             tail = w[n:]
             if tail not in tails:
                 tails[tail] = self._ids(tail.decode())
-            found[w] = (fresh.get(key) or stems[key]) + tails[tail]
+            found[w] = next(d[key] for d in known if key in d) + tails[tail]
         if len(self.words) + len(found) > CACHE:
             self.old_words, self.words = self.words, {}
         self.words.update(found)
@@ -140,7 +155,7 @@ class Encoder:
             return [self._ids(t or "") for t in texts]
         out, words, ends = [], [], []
         for text in texts:
-            words += (text or "").encode("utf-8", "replace").split()
+            words += parted((text or "").encode("utf-8", "replace")).split()
             ends.append(len(words))
             if len(words) > 100_000:
                 out += self._encode_words(words, ends)
