@@ -2,10 +2,12 @@
 
 * Tokens are the words between white space, A-Z lower-cased; a word is known by its
   64-bit hash and a pair of words by the hash of both.
-* The model is fitted on trusted text: documents labelled quality 1 and not toxic, a
-  sample of about ``TRAIN_DOCS`` of them by a hash of the id, at most ``TRAIN_SHARE`` of
-  all (the documented bound of the model; bars and means are taken from all).  A
-  second model of the same kind is fitted on rejected text: quality 0 or toxic.
+* The model is fitted on trusted text: all documents labelled quality 1 and not toxic.  A
+  second model of the same kind is fitted on rejected text: all of quality 0 or toxic.
+  (A caller may ask for a sample of about ``most`` of each; the query does not.)
+* Trusted documents set the bars, so none is judged by a model that has seen it: they fall
+  into ``FOLDS`` folds by a hash of the id, the counts are kept per fold, and a trusted
+  document's values are those of the model without its fold.  All others have the whole model's.
 * Pair counts, continuation counts and context sums are Spark tables sharded by pair and
   by word; discounted probabilities and back-off weights come from joins of a pair's
   count with its context's sums.  Pairs seen once are left to the lower order, the usual
@@ -37,7 +39,8 @@ from pyspark.sql import functions as F
 
 from .common import lower_ascii, packed, split_words, stored, table
 
-TRAIN_DOCS, TRAIN_SHARE, MIN_PAIR = 2000, 0.5, 2
+TRAIN_SHARE, MIN_PAIR = 0.5, 2
+FOLDS = 2
 PRIOR = 30.0
 QUANTILE = 0.995
 MARGIN, PEAK_MARGIN = 0.03, 0.2         # in log10 per word, in log10
@@ -57,8 +60,8 @@ def bad_ids(labels: DataFrame) -> DataFrame:
     return labels.where("doc_id is not null and (quality = 0 or toxic = 1)").select("doc_id").distinct()
 
 
-def trusted_ids(good: DataFrame, most: int = TRAIN_DOCS, share: float = TRAIN_SHARE) -> DataFrame:
-    """doc_id of a sample: those of ``good`` whose hash is in the share that leaves
+def trusted_ids(good: DataFrame, most: int, share: float = TRAIN_SHARE) -> DataFrame:
+    """doc_id of a sample, for callers that bound the model: those of ``good`` whose hash is in the share that leaves
     about ``most``, at most ``share``."""
     n = good.count()
     cut = min(share, most / max(n, 1))
@@ -80,78 +83,113 @@ def exploded(rows: DataFrame, *keep: str) -> DataFrame:
     return rows.select(*keep, F.explode(word_pairs(F.col("text"))).alias("pair")).select(*keep, F.col("pair.prev").alias("prev"), F.col("pair.w").alias("w"))
 
 
+def fold(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id, F.lit("fold")), F.lit(FOLDS)).cast("int")
+
+
 def _discount(counts: DataFrame, n: str) -> Column:
     """Modified Kneser-Ney discount of count ``n``, from how many counts are 1, 2, 3, 4."""
     n1, n2, n3, n4 = counts.agg(*(F.count(F.when(F.col(n) == c, 1)) for c in (1, 2, 3, 4))).first()
     y = n1 / (n1 + 2 * n2) if n1 else 0.5
     d = [max(0.0, min(c, c - (c + 1) * y * b / a if a else 0.75 * c / (c + 1))) for c, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-    return F.when(F.col(n) == 1, d[0]).when(F.col(n) == 2, d[1]).otherwise(d[2])
+    return F.when(F.col(n) == 0, 0.0).when(F.col(n) == 1, d[0]).when(F.col(n) == 2, d[1]).otherwise(d[2])
 
 
 class Model:
-    """``words`` (w, uni, back), ``pairs`` (key, p) and the probability of an unknown word."""
+    """``words`` (w, uni, back), ``pairs`` (key, p) and the probability of an unknown word; with
+    folds also the columns uni_0, back_0, p_0 ... of the models without one fold, and ``without``,
+    their probabilities of an unknown word."""
 
-    def __init__(self, words: DataFrame, pairs: DataFrame, unknown: float):
-        self.words, self.pairs, self.unknown = words, pairs, unknown
+    def __init__(self, words: DataFrame, pairs: DataFrame, unknown: float, without: list[float]):
+        self.words, self.pairs, self.unknown, self.without = words, pairs, unknown, without
 
 
 def kneser_ney(texts: DataFrame, least: int = MIN_PAIR) -> Model:
-    """The interpolated model of order 2 of ``texts``, with pairs from ``least`` occurrences on."""
-    counts = stored(exploded(texts).where("w is not null").groupBy("prev", "w").agg(F.count(F.lit(1)).alias("n")), "pair-counts")
-    taken = _discount(counts, "n")
-    named = F.col("n") >= least
-    contexts = stored(counts.groupBy("prev").agg(F.sum("n").alias("all"), F.sum(F.when(named, taken).otherwise(F.col("n"))).alias("taken")), "contexts")
-    pairs = counts.where(named).join(contexts, "prev").select(pair_key(F.col("prev"), F.col("w")).alias("key"), ((F.col("n") - taken) / F.col("all")).alias("p"))
+    """The interpolated model of order 2 of ``texts``, with pairs from ``least`` occurrences on; if
+    ``texts`` have a fold, also the models without one."""
+    folds = range(FOLDS) if "fold" in texts.columns else range(0)
+    ends = ["", *(f"_{f}" for f in folds)]
+    n = [F.count(F.lit(1)).alias("n"), *(F.count(F.when(F.col("fold") != f, 1)).alias(f"n_{f}") for f in folds)]
+    counts = stored(exploded(texts, *["fold"] * bool(folds)).where("w is not null").groupBy("prev", "w").agg(*n), "pair-counts")
+    taken = {e: _discount(counts, f"n{e}") for e in ends}
+    named = {e: F.col(f"n{e}") >= least for e in ends}
+    contexts = stored(counts.groupBy("prev").agg(*(c for e in ends for c in (
+        F.sum(f"n{e}").alias(f"all{e}"), F.sum(F.when(named[e], taken[e]).otherwise(F.col(f"n{e}"))).alias(f"taken{e}")))), "contexts")
+    pairs = (counts.where(named[""]).join(contexts, "prev")
+             .select(pair_key(F.col("prev"), F.col("w")).alias("key"), *(F.when(named[e], (F.col(f"n{e}") - taken[e]) / F.col(f"all{e}")).alias(f"p{e}") for e in ends)))
     # the lower order counts the distinct words in front
-    follows = stored(counts.groupBy("w").agg(F.count(F.lit(1)).alias("a")), "continuations")
-    less = _discount(follows, "a")
-    total, rest, size = follows.agg(F.sum("a"), F.sum(less), F.count(F.lit(1))).first()
-    if not total:
-        return Model(follows.select("w", F.lit(0.0).alias("uni"), F.lit(1.0).alias("back")), pairs, 1.0)
-    unknown = rest / total / (size + 1)
-    uni = follows.select("w", ((F.col("a") - less) / total + unknown).alias("uni"))
-    back = contexts.select(F.col("prev").alias("c"), (F.col("taken") / F.col("all")).alias("back"))
-    words = uni.join(back, F.col("w") == F.col("c"), "full_outer").select(F.coalesce("w", "c").alias("w"), "uni", "back")
-    return Model(words, pairs, unknown)
+    follows = stored(counts.groupBy("w").agg(*(F.count(F.when(F.col(f"n{e}") > 0, 1)).alias(f"a{e}") for e in ends)), "continuations")
+    less = {e: _discount(follows, f"a{e}") for e in ends}
+    sums = follows.agg(*(c for e in ends for c in (F.sum(f"a{e}"), F.sum(less[e]), F.count(F.when(F.col(f"a{e}") > 0, 1))))).first()
+    unknown, uni = {}, [F.col("w")]
+    for k, e in enumerate(ends):
+        total, rest, size = sums[3 * k: 3 * k + 3]
+        unknown[e] = rest / total / (size + 1) if total else 1.0
+        # a word that only the missing fold has is unknown
+        uni.append(F.when(F.col(f"a{e}") > 0, (F.col(f"a{e}") - less[e]) / (total or 1) + unknown[e]).alias(f"uni{e}"))
+    back = contexts.select(F.col("prev").alias("c"), *(F.when(F.col(f"all{e}") > 0, F.col(f"taken{e}") / F.col(f"all{e}")).alias(f"back{e}") for e in ends))
+    words = follows.select(*uni).join(back, F.col("w") == F.col("c"), "full_outer")
+    return Model(words.select(F.coalesce("w", "c").alias("w"), *(f"{x}{e}" for x in ("uni", "back") for e in ends)), pairs, unknown[""], [unknown[e] for e in ends[1:]])
 
 
 def _words(good: Model, bad: Model) -> DataFrame:
-    """(w, g_uni, g_back, b_uni): the words of both models, stored."""
-    g = good.words.select(F.col("w").alias("gw"), F.col("uni").alias("g_uni"), F.col("back").alias("g_back"))
+    """(w, g_uni, g_back, b_uni): the words of both models, stored; also g_uni_0, g_back_0 ..."""
+    g = good.words.select(*(F.col(c).alias("gw" if c == "w" else f"g_{c}") for c in good.words.columns))
     b = bad.words.where("uni is not null").select(F.col("w").alias("bw"), F.col("uni").alias("b_uni"))
-    return stored(g.join(b, F.col("gw") == F.col("bw"), "full_outer").select(F.coalesce("gw", "bw").alias("w"), "g_uni", "g_back", "b_uni"), "model-words")
+    return stored(g.join(b, F.col("gw") == F.col("bw"), "full_outer").select(F.coalesce("gw", "bw").alias("w"), *g.columns[1:], "b_uni"), "model-words")
 
 
-def train(docs: DataFrame, good: DataFrame, bad: DataFrame, most: int = TRAIN_DOCS) -> tuple[Model, Model]:
-    """The models of a sample of the trusted and of the rejected documents."""
+def train(docs: DataFrame, good: DataFrame, bad: DataFrame, most: int | None = None) -> tuple[Model, Model]:
+    """The models of the trusted documents, with folds, and of the rejected; of samples of about
+    ``most`` if that is given."""
     def texts(ids: DataFrame, name: str) -> DataFrame:
         rows = docs.where("text is not null").select(F.col("doc_id"), "text")
-        return stored(rows.join(stored(ids, f"{name}-ids").select(F.col("doc_id").alias("d")), F.col("doc_id") == F.col("d"), "left_semi").select("text"), f"{name}-text")
+        return stored(rows.join(ids.select(F.col("doc_id").alias("d")), F.col("doc_id") == F.col("d"), "left_semi").select(fold(F.col("doc_id")).alias("fold"), "text"), f"{name}-text")
 
-    return kneser_ney(texts(trusted_ids(good, most), "trusted")), kneser_ney(texts(trusted_ids(bad, most, 1.0), "rejected"))
+    if most is not None:
+        good, bad = stored(trusted_ids(good, most), "trusted-ids"), stored(trusted_ids(bad, most, 1.0), "rejected-ids")
+    return kneser_ney(texts(good, "trusted")), kneser_ney(texts(bad, "rejected").drop("fold"))
 
 
 def code_lengths(docs: DataFrame, good: Model, bad: Model) -> DataFrame:
     """(doc_id, tie, lang, n_bytes, n_words, length, peak) of every row; the length is in decimal
-    digits under the trusted model."""
+    digits under the trusted model.  With folds also length_0, peak_0 ... without one."""
+    unknown = {"": good.unknown, **{f"_{f}": x for f, x in enumerate(good.without)}}
     words = _words(good, bad)
-    pairs = stored(good.pairs.select("key", F.col("p").alias("g_p")), "model-pairs")
+    pairs = stored(good.pairs.select("key", *(F.col(f"p{e}").alias(f"g_p{e}") for e in unknown)), "model-pairs")
     pairs = F.broadcast(pairs) if pairs.count() <= MAX_ROWS else pairs
     keep = ["rid", "doc_id", "tie", "lang", "n_bytes"]
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     rows = exploded(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.xxhash64("text").alias("tie"), "lang", size.alias("n_bytes"), "text"), *keep)
-    # the same four columns twice: one broadcast serves both joins
-    before, own = (words.select(*(F.col(c).alias(f"{x}_{c}") for c in ("w", "g_uni", "g_back", "b_uni"))) for x in ("before", "own"))
+    # the same columns twice: one broadcast serves both joins
+    before, own = (words.select(*(F.col(c).alias(f"{x}_{c}") for c in words.columns)) for x in ("before", "own"))
     if words.count() <= MAX_ROWS:
         before, own = F.broadcast(before), F.broadcast(own)
     rows = (rows.withColumn("key", pair_key(F.col("prev"), F.col("w"))).join(pairs, "key", "left")
             .join(before, F.col("prev") == F.col("before_w"), "left").join(own, F.col("w") == F.col("own_w"), "left"))
 
-    lower, lower_bad = F.coalesce("own_g_uni", F.lit(good.unknown)), F.coalesce("own_b_uni", F.lit(bad.unknown))
-    log_p = F.log10(F.coalesce("g_p", F.lit(0.0)) + F.coalesce("before_g_back", F.lit(1.0)) * lower)
     real = F.col("w").isNotNull()
-    rows = rows.select(*keep, "w", F.when(real, log_p).alias("log_p"), F.when(real, F.log10(lower_bad / lower)).alias("ratio"))
-    return (rows.groupBy(*keep).agg(F.count("w").alias("n_words"), F.coalesce(-F.sum("log_p"), F.lit(0.0)).alias("length"), F.max("ratio").alias("peak")).drop("rid"))
+    lower_bad = F.coalesce("own_b_uni", F.lit(bad.unknown))
+    scores, sums = [], []
+    for e, x in unknown.items():
+        lower = F.coalesce(f"own_g_uni{e}", F.lit(x))
+        log_p = F.log10(F.coalesce(f"g_p{e}", F.lit(0.0)) + F.coalesce(f"before_g_back{e}", F.lit(1.0)) * lower)
+        scores += [F.when(real, log_p).alias(f"log_p{e}"), F.when(real, F.log10(lower_bad / lower)).alias(f"ratio{e}")]
+        sums += [F.coalesce(-F.sum(f"log_p{e}"), F.lit(0.0)).alias(f"length{e}"), F.max(f"ratio{e}").alias(f"peak{e}")]
+    return rows.select(*keep, "w", *scores).groupBy(*keep).agg(F.count("w").alias("n_words"), *sums).drop("rid")
+
+
+def unseen(lengths: DataFrame, trained: DataFrame) -> DataFrame:
+    """``lengths`` with length and peak of the documents ``trained`` under the model without their fold."""
+    ids = trained.select(F.col("doc_id").alias("__d"))
+    rows = lengths.join(ids, F.col("doc_id") == F.col("__d"), "left")
+    def own(name: str) -> Column:
+        value = F.col(name)
+        for f in range(FOLDS):
+            value = F.when(F.col("__d").isNotNull() & (fold(F.col("doc_id")) == f), F.col(f"{name}_{f}")).otherwise(value)
+        return value.alias(name)
+
+    return rows.select("doc_id", "tie", "lang", "n_bytes", "n_words", own("length"), own("peak"))
 
 
 def bars(lengths: DataFrame, good: DataFrame) -> DataFrame:
@@ -177,12 +215,12 @@ def _first(df: DataFrame):
     return float(row[0]) if row and row[0] is not None else 0.0
 
 
-def classify(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, most: int | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, tie, lang, n_bytes, n_words, perplexity (of a word) and its bar,
     peak (0 without words) and its bar, kept."""
     docs = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
     good, bad = stored(good_ids(labels), "good"), stored(bad_ids(labels), "bad")
-    lengths = stored(code_lengths(docs, *train(docs, good, bad, most)), "code-lengths")
+    lengths = stored(unseen(code_lengths(docs, *train(docs, good, bad, most)), good), "code-lengths")
     table_ = stored(bars(lengths, good), "bars")        # a row per language
     whole = table_.where("whole").first()
     mean, bar, top = (whole["mean"], whole["bar"], whole["peak_bar"]) if whole and whole["bar"] is not None else (0.0, float("inf"), float("inf"))
@@ -196,7 +234,7 @@ def classify(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Data
                     peak.alias("peak"), top.alias("peak_bar"), (~over).alias("kept"))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
+def accepted(docs: DataFrame, labels: DataFrame, most: int | None = None) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns."""
     gone = classify(docs, labels, most).where("not kept").select("doc_id", "tie").distinct()
     rows = packed(docs, k=F.col("doc_id"), t=F.xxhash64("text"))
