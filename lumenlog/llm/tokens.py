@@ -51,12 +51,14 @@ _RUNS = tuple(a + b for a in (b"p", b".", b",") for b in (b".", b","))
 _AFTER_LETTER = re.compile(rb"(?<=[a-z])([.,])(?=[ \t-\r])")
 
 
-def parted(raw: bytes) -> bytes:
+def parted(raw: bytes, added: tuple = ()) -> bytes:
     """``raw`` with a-z for A-Z and blanks before the full stops and commas that end a word: the
-    same pieces to the splitter, which joins only punctuation to punctuation."""
-    if any(m in raw for m in _MARKS):
+    same pieces to the splitter, which joins only punctuation to punctuation.  Texts with one of the tokens ``added`` to the vocabulary
+    (lower-cased here), which count letter by letter as they are written, stay unchanged."""
+    low = raw.lower()
+    if any(m in raw for m in _MARKS) or any(a in low for a in added):
         return raw
-    raw = raw.lower()
+    raw = low
     kinds = raw.translate(_KINDS)
     if any(r in kinds for r in _RUNS):
         return _AFTER_LETTER.sub(rb" \1", raw)
@@ -86,6 +88,7 @@ class Encoder:
         self.dtype = "<u2" if max(vocab.values()) < 1 << 16 else "<u4"
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.added = tuple(t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values())
         self.words: dict = {}
         self.old_words: dict = {}
 
@@ -155,7 +158,7 @@ class Encoder:
             return [self._ids(t or "") for t in texts]
         out, words, ends = [], [], []
         for text in texts:
-            words += parted((text or "").encode("utf-8", "replace")).split()
+            words += parted((text or "").encode("utf-8", "replace"), self.added).split()
             ends.append(len(words))
             if len(words) > 100_000:
                 out += self._encode_words(words, ends)

@@ -21,7 +21,7 @@ def test_words_that_differ_in_case_or_stop_are_one():
 def test_parted_texts_keep_the_ids():
     enc = tokens.Encoder(tokens.tokenizer_file())
     rng = random.Random(10)
-    texts = ["J̌. ǰ, T̈ H̱ W̊ Y̊ İ.", "a.. b., c). d”. 5. it's. 's, x'. .\n,\n. , é. é. É, Σ. K.", "", "."]
+    texts = ["J̌. ǰ, T̈ H̱ W̊ Y̊ İ.", "a.. b., c). d”. 5. it's. 's, x'. .\n,\n. , é. é. É, Σ. K.", "", ".", "A, b. <|ENDOFTEXT|> C.", "A. <|endoftext|>, B. <|StartOfText|>."]
     for letters in ("aAbJjHTWYIiéÉßΣσ.,;:!?'\"-() \n\t5٣”̱̌̈̊̇漢K#", "aAbZ's.,. ,\n \t'5)é”"):
         texts += ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(3000)]
     assert enc.encode_all(texts) == [whole(enc, t) for t in texts]
