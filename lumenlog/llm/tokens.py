@@ -81,9 +81,14 @@ class Encoder:
     LAYOUT = (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"], "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+", "</w>")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.by_words = self._layout() == self.LAYOUT
+        # stems are normal already and hold letters only: neither the normaliser nor the splitter changes them
+        self.stems = Tokenizer.from_file(path)
+        if self.by_words:
+            self.stems.normalizer = normalizers.Sequence([])
+            self.stems.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab()
         self.dtype = "<u2" if max(vocab.values()) < 1 << 16 else "<u4"
         self.last = np.zeros(max(vocab.values()) + 1, bool)
@@ -107,7 +112,7 @@ class Encoder:
         found: dict = {}
         parts = [stems[k:k + 200] for k in range(0, len(stems), 200)]
         size = np.dtype(self.dtype).itemsize
-        for part, e in zip(parts, self.tokenizer.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False), strict=True):
+        for part, e in zip(parts, self.stems.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, self.dtype)
             ends = ((np.flatnonzero(self.last[ids]) + 1) * size).tolist()
             raw = ids.tobytes()
@@ -138,15 +143,16 @@ class Encoder:
                     continue
                 key = text.lower().encode()
             split.append((w, key, len(stem)))
-        known = (found, self.words, old)
-        wanted.update(key for _, key, _ in split if not any(key in d for d in known))
+        words = self.words
+        stems = {key: words.get(key) or old.get(key) or found.get(key) for _, key, _ in split}       # no stem is without ids
+        wanted.update(key for key, ids in stems.items() if not ids)
         found.update(self._encode_stems(list(wanted)))
         tails: dict = {b"": b""}
         for w, key, n in split:
             tail = w[n:]
             if tail not in tails:
                 tails[tail] = self._ids(tail.decode())
-            found[w] = next(d[key] for d in known if key in d) + tails[tail]
+            found[w] = (stems[key] or found[key]) + tails[tail]
         if len(self.words) + len(found) > CACHE:
             self.old_words, self.words = self.words, {}
         self.words.update(found)

@@ -25,3 +25,13 @@ def test_parted_texts_keep_the_ids():
     for letters in ("aAbJjHTWYIiéÉßΣσ.,;:!?'\"-() \n\t5٣”̱̌̈̊̇漢K#", "aAbZ's.,. ,\n \t'5)é”"):
         texts += ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(3000)]
     assert enc.encode_all(texts) == [whole(enc, t) for t in texts]
+
+
+def test_stems_skip_normaliser_and_splitter():
+    enc = tokens.Encoder(tokens.tokenizer_file())
+    rng = random.Random(4)
+    letters = [chr(x) for x in range(97, 0x250) if chr(x).isalpha() and chr(x) == chr(x).lower()]
+    stems = list({"".join(rng.choices(letters if k % 2 else letters[:26], k=rng.randrange(1, 15))) for k in range(3000)})
+    assert enc.stems.encode("A  B", add_special_tokens=False).ids != enc.tokenizer.encode("A  B", add_special_tokens=False).ids       # it does not lower-case
+    got = enc._encode_stems([s.encode() for s in stems])
+    assert all(got[s.encode()] == whole(enc, s) for s in stems)
