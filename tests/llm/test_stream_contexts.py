@@ -1,0 +1,76 @@
+"""The model over whole texts: contexts run over blanks, so the order of words counts."""
+
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from lumenlog.llm import lm, ppm
+
+
+def definition(training, text):
+    """log10 probability of the text's bytes, symbol by symbol."""
+    table = Counter()
+    for t in training:
+        s = ppm.stream(lm.tokens_of(t))
+        for i in range(1, len(s)):
+            for k in range(min(i, ppm.ORDER) + 1):
+                table[s[i - k:i], s[i]] += 1
+    follow = {}
+    for (context, symbol), n in table.items():
+        follow.setdefault(context, {})[symbol] = n
+    total, s = 0.0, ppm.stream(lm.tokens_of(text))
+    for i in range(1, len(s)):
+        gone = set()
+        for k in range(min(i, ppm.ORDER), -1, -1):
+            seen = {x: n for x, n in follow.get(s[i - k:i], {}).items() if x not in gone}
+            whole = sum(seen.values()) + len(seen)
+            if s[i] in seen:
+                total += np.log10(seen[s[i]] / whole)
+                break
+            if seen:
+                total += np.log10(len(seen) / whole)
+                gone |= set(seen)
+        else:
+            total -= np.log10(256 - len(gone))
+    return total
+
+
+@pytest.mark.parametrize("head, size, flush", [(1 << 22, 4_000_000, 6_000_000), (5, 300, 20), (0, 1, 1)])
+def test_streams_against_definition(spark, monkeypatch, head, size, flush):
+    for name, value in (("STREAM_HEAD", head), ("STREAM_BYTES", size), ("STREAM_FLUSH", flush)):
+        monkeypatch.setattr(lm, name, value)
+    r = np.random.default_rng(7)
+    words = ["red", "Fox", "é", "a\x00b", "jumps", "overlong\x01word", "x"]
+    docs = [(d, " ".join(r.choice(words, r.integers(0, 30)))) for d in range(40)]
+    docs += [(None, "red fox"), (None, None), (3, None), (4, "\t fox \n red "), (4, "\t fox \n red "), (6, "fox never seen zebra")]
+    rows = lm.scores(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    training = [t for d, t in docs if any(x.doc_id == d and not x.held_out for x in rows)]
+    assert 0 < len(training) < len(docs) == len(rows)
+    want = sorted((str(d), definition(training, t)) for d, t in docs)
+    got = sorted((str(x.doc_id), x.stream_score) for x in rows)
+    assert [d for d, _ in got] == [d for d, _ in want]
+    assert [x for _, x in got] == pytest.approx([x for _, x in want], rel=1e-6)
+
+
+def test_the_order_of_words_counts(spark):
+    line = "the quick brown fox jumps over the lazy dog again"
+    docs = [(d, line) for d in (1, 2, 3, 4, 5)] + [(6, line), (8, " ".join(sorted(line.split(), key=lambda w: w[::-1])))]
+    got = {r.doc_id: r for r in lm.scores(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[6].score == pytest.approx(got[8].score)
+    assert got[6].stream_score > got[8].stream_score + 3
+
+
+def test_no_training_text_and_no_text(spark):
+    held = spark.createDataFrame([(6, "ab")], "doc_id long, text string")
+    assert [(r.held_out, r.stream_score) for r in lm.scores(held).collect()] == [(True, pytest.approx(-4 * np.log10(256)))]
+    assert lm.scores(held.limit(0)).collect() == []
+
+
+def test_key_slots():
+    r = np.random.default_rng(3)
+    keys = np.unique(r.integers(0, 1 << 63, 5000).astype(np.uint64))
+    known, slots = np.append(keys, np.uint64(0xFFFFFFFFFFFFFFFF)), ppm.slots_of(keys)
+    assert (ppm.found(known, slots, keys) == np.arange(len(keys))).all()
+    assert (ppm.found(known, slots, keys + np.uint64(1 << 63)) == -1).all()
+    assert (ppm.found(known[-1:], ppm.slots_of(keys[:0]), keys) == -1).all()
